@@ -85,3 +85,45 @@ def _etl_mart_roundtrip(spark, sf_dir):
     write_mart(mart, path)
     write_mart(mart, path)  # a rerun replaces the day instead of appending it again
     return read_mart(spark, path)
+
+
+# ---------------------------------------------------------------- feed / app metrics
+from pulsekit.operators import audience, pivots  # noqa: E402
+from pulsekit.plans import reports  # noqa: E402
+
+
+def _both(fn, **kw):
+    def run(spark, sf_dir):
+        lg = logs(spark, sf_dir)
+        return fn(lg.feed, lg.messages, P.AS_OF, **kw)
+    return run
+
+
+def _feed_only(fn, **kw):
+    def run(spark, sf_dir):
+        return fn(logs(spark, sf_dir).feed, P.AS_OF, **kw)
+    return run
+
+
+QUERIES["feed_daily_metrics"] = _feed_only(audience.feed_daily_metrics)
+QUERIES["dau_both_services"] = _both(audience.dau_both_services)
+QUERIES["dau_both_same_day"] = _both(audience.dau_both_same_day)
+QUERIES["dau_only_feed"] = _both(audience.dau_only_feed)
+QUERIES["dau_only_messenger"] = _both(audience.dau_only_messenger)
+QUERIES["dau_segments"] = _both(audience.dau_segments)
+QUERIES["activity_by_hour"] = _both(audience.activity_by_hour)
+QUERIES["new_posts_daily"] = _feed_only(audience.new_posts_daily)
+QUERIES["app_daily_actions"] = _both(audience.app_daily_actions)
+QUERIES["retention_cohorts"] = _both(audience.retention_cohorts)
+QUERIES["acquisition_by_source"] = _both(audience.acquisition_by_source)
+QUERIES["activity_heatmap"] = _both(pivots.activity_heatmap)
+QUERIES["retention_matrix_organic"] = _both(pivots.retention_matrix, source="organic")
+QUERIES["retention_matrix_ads"] = _both(pivots.retention_matrix, source="ads")
+QUERIES["retention_rate_by_source"] = lambda s, d: round_doubles(
+    _both(audience.retention_rate_by_source, cohorts=P.RETENTION_COHORTS)(s, d))
+QUERIES["ads_cohort_dau"] = _both(audience.cohort_dau, source="ads",
+                                  start_from=P.CAMPAIGN_START, start_to=P.CAMPAIGN_END)
+QUERIES["dau_drop_by_city"] = lambda s, d: round_doubles(_feed_only(audience.dau_change_by, dimension="city")(s, d))
+QUERIES["feed_report_latest"] = _feed_only(reports.feed_report_latest)
+QUERIES["app_report_latest"] = _both(reports.app_report_latest)
+QUERIES["app_week_series"] = _both(reports.app_week_series)
