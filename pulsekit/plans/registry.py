@@ -127,3 +127,44 @@ QUERIES["dau_drop_by_city"] = lambda s, d: round_doubles(_feed_only(audience.dau
 QUERIES["feed_report_latest"] = _feed_only(reports.feed_report_latest)
 QUERIES["app_report_latest"] = _both(reports.app_report_latest)
 QUERIES["app_week_series"] = _both(reports.app_week_series)
+
+
+# ---------------------------------------------------------------- experiment facts
+from pulsekit.operators import experiment as X  # noqa: E402
+from pulsekit.operators.histogram import equal_width_histogram  # noqa: E402
+
+
+def user_metrics(spark, sf_dir, groups=P.ALL_GROUPS, first=P.EXPERIMENT_START, last=P.EXPERIMENT_END, extra=()):
+    return X.user_ctr(logs(spark, sf_dir).feed, first, last, groups, extra)
+
+
+def ab_users(spark, sf_dir):
+    return user_metrics(spark, sf_dir, (P.AB_CONTROL, P.AB_TEST))
+
+
+def split_users(spark, sf_dir):
+    demo = user_metrics(spark, sf_dir, (P.AB_CONTROL, P.AB_TEST), extra=("gender", "city", "age"))
+    return X.ctr_split(demo, P.AB_TEST, P.CTR_SPLIT_THRESHOLD).drop("city")
+
+
+query("user_ctr", rounded=True)(lambda s, d: user_metrics(s, d))
+query("global_ctr", rounded=True)(lambda s, d: X.group_ctr(user_metrics(s, d)))
+query("aa_group_counts")(lambda s, d: X.column_counts(user_metrics(s, d, P.AA_GROUPS)))
+query("describe_by_group", rounded=True)(lambda s, d: X.describe(ab_users(s, d), ["exp_group"], ["ctr", "views"]))
+query("ctr_histogram", rounded=True)(
+    lambda s, d: equal_width_histogram(ab_users(s, d), "ctr", P.HIST_BINS, by=["exp_group"]))
+query("smoothed_ctr", rounded=True)(lambda s, d: X.smoothed_ctr(ab_users(s, d), P.SMOOTHING_ALPHA))
+query("smoothed_ctr_histogram", rounded=True)(lambda s, d: equal_width_histogram(
+    X.to_long(X.smoothed_ctr(ab_users(s, d), P.SMOOTHING_ALPHA), ["exp_group"], ["ctr", "smoothed_ctr"]),
+    "value", P.HIST_BINS, by=["metric", "exp_group"], edges_by=["metric"]))
+query("smoothing_effect", rounded=True)(lambda s, d: X.smoothing_effect(
+    X.smoothed_ctr(ab_users(s, d), P.SMOOTHING_ALPHA), P.AB_CONTROL, P.AB_TEST))
+query("linearized_likes", rounded=True)(lambda s, d: X.linearized_likes(user_metrics(s, d), P.LINEARIZATION_PAIRS))
+query("bucket_ctr", rounded=True)(lambda s, d: X.bucket_ctr(ab_users(s, d), P.N_BUCKETS))
+query("bucket_counts")(lambda s, d: X.bucket_counts(X.bucket_ctr(ab_users(s, d), P.N_BUCKETS)))
+query("pre_period_ctr_histogram", rounded=True)(lambda s, d: equal_width_histogram(
+    user_metrics(s, d, (P.AB_TEST,), P.PRE_PERIOD_START, P.PRE_PERIOD_END), "ctr", P.HIST_BINS, by=["exp_group"]))
+query("user_ctr_demographics", rounded=True)(lambda s, d: user_metrics(
+    s, d, (P.AB_CONTROL, P.AB_TEST), extra=("gender", "city", "age")).drop("city"))
+query("ctr_split_users", rounded=True)(split_users)
+query("ctr_split_describe", rounded=True)(lambda s, d: X.describe(split_users(s, d), ["segment"], ["likes", "views"]))
