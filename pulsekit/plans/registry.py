@@ -168,3 +168,36 @@ query("user_ctr_demographics", rounded=True)(lambda s, d: user_metrics(
     s, d, (P.AB_CONTROL, P.AB_TEST), extra=("gender", "city", "age")).drop("city"))
 query("ctr_split_users", rounded=True)(split_users)
 query("ctr_split_describe", rounded=True)(lambda s, d: X.describe(split_users(s, d), ["segment"], ["likes", "views"]))
+
+
+# ---------------------------------------------------------------- hypothesis tests
+from pulsekit.operators.hypothesis import mann_whitney_u, welch_ttest  # noqa: E402
+
+AB_PAIRS_WELCH = [(P.AB_CONTROL, P.AB_TEST), P.AA_GROUPS, P.LINEARIZATION_PAIRS[0]]
+AB_PAIRS_MWU = [(P.AB_TEST, P.AB_CONTROL), P.AA_GROUPS]
+TEST_FIRST = [(P.AB_TEST, P.AB_CONTROL)]
+
+
+def _metric(df, name):
+    return df.select(F.lit(name).alias("metric"), "*")
+
+
+query("welch_ctr", rounded=True)(lambda s, d: _metric(
+    welch_ttest(user_metrics(s, d), "exp_group", "ctr", AB_PAIRS_WELCH), "ctr"))
+query("mwu_ctr", rounded=True)(lambda s, d: _metric(
+    mann_whitney_u(user_metrics(s, d), "exp_group", "ctr", AB_PAIRS_MWU), "ctr"))
+query("welch_smoothed_ctr", rounded=True)(lambda s, d: _metric(welch_ttest(
+    X.smoothed_ctr(ab_users(s, d), P.SMOOTHING_ALPHA), "exp_group", "smoothed_ctr", TEST_FIRST), "smoothed_ctr"))
+query("mwu_smoothed_ctr", rounded=True)(lambda s, d: _metric(mann_whitney_u(
+    X.smoothed_ctr(ab_users(s, d), P.SMOOTHING_ALPHA), "exp_group", "smoothed_ctr", TEST_FIRST), "smoothed_ctr"))
+query("welch_linearized", rounded=True)(lambda s, d: welch_ttest(
+    X.to_long(X.linearized_likes(user_metrics(s, d), P.LINEARIZATION_PAIRS),
+              ["control_group", "test_group", "exp_group"], ["ctr", "linearized_likes"]),
+    "exp_group", "value", P.LINEARIZATION_PAIRS, by=["metric", "control_group", "test_group"]))
+query("welch_bucket", rounded=True)(lambda s, d: _metric(
+    welch_ttest(X.bucket_ctr(ab_users(s, d), P.N_BUCKETS), "exp_group", "bucket_ctr", TEST_FIRST), "bucket_ctr"))
+query("mwu_bucket", rounded=True)(lambda s, d: _metric(
+    mann_whitney_u(X.bucket_ctr(ab_users(s, d), P.N_BUCKETS), "exp_group", "bucket_ctr", TEST_FIRST), "bucket_ctr"))
+query("ctr_split_mwu", rounded=True)(lambda s, d: mann_whitney_u(
+    X.to_long(split_users(s, d), ["segment"], ["age", "gender", "likes", "views"]),
+    "segment", "value", [("low", "high")], by=["metric"]))
