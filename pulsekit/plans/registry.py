@@ -201,3 +201,52 @@ query("mwu_bucket", rounded=True)(lambda s, d: _metric(
 query("ctr_split_mwu", rounded=True)(lambda s, d: mann_whitney_u(
     X.to_long(split_users(s, d), ["segment"], ["age", "gender", "likes", "views"]),
     "segment", "value", [("low", "high")], by=["metric"]))
+
+
+# ---------------------------------------------------------------- resampling
+from pulsekit.operators import resampling as RS  # noqa: E402
+
+
+def boot_means(s, d):
+    return RS.bootstrap_means(ab_users(s, d), "exp_group", "ctr", P.REPLICATES, P.SEED)
+
+
+def poisson(s, d):
+    return RS.poisson_bootstrap_ctr(ab_users(s, d), P.REPLICATES, P.SEED)
+
+
+def aa_tests(s, d):
+    return RS.aa_simulation(user_metrics(s, d, P.AA_GROUPS), P.AA_GROUPS[0], P.AA_GROUPS[1],
+                            P.AA_ITERATIONS, P.AA_SAMPLE, P.SEED)
+
+
+def _series(df, prefix, value):
+    return df.select(F.concat(F.lit(prefix), F.col("exp_group").cast("string")).alias("series"),
+                     F.col(value).cast("double").alias("value"))
+
+
+def boot_histograms(s, d):
+    pb = poisson(s, d)
+    long = (
+        _series(boot_means(s, d), "resample_mean_g", "mean")
+        .unionByName(_series(pb, "poisson_ctr_g", "ctr"))
+        .unionByName(RS.replicate_difference(pb, P.AB_CONTROL, P.AB_TEST).select(
+            F.lit("poisson_diff").alias("series"), F.col("diff").alias("value")))
+    )
+    return equal_width_histogram(long, "value", P.HIST_BINS, by=["series"], edges_by=["series"])
+
+
+query("bootstrap_means", rounded=True)(boot_means)
+query("welch_bootstrap", rounded=True)(lambda s, d: welch_ttest(
+    boot_means(s, d), "exp_group", "mean", [(P.AB_CONTROL, P.AB_TEST)]))
+query("mwu_bootstrap", rounded=True)(lambda s, d: mann_whitney_u(
+    boot_means(s, d), "exp_group", "mean", [(P.AB_CONTROL, P.AB_TEST)]))
+query("poisson_bootstrap_ctr", rounded=True)(poisson)
+query("poisson_bootstrap_diff", rounded=True)(lambda s, d: RS.replicate_difference(
+    poisson(s, d), P.AB_CONTROL, P.AB_TEST))
+query("welch_poisson_bootstrap", rounded=True)(lambda s, d: welch_ttest(
+    poisson(s, d), "exp_group", "ctr", [(P.AB_CONTROL, P.AB_TEST)]))
+query("bootstrap_histograms", rounded=True)(boot_histograms)
+query("aa_simulation", rounded=True)(aa_tests)
+query("aa_pvalue_histogram", rounded=True)(lambda s, d: equal_width_histogram(aa_tests(s, d), "p_value", P.PVALUE_BINS))
+query("aa_false_positive_rate", rounded=True)(lambda s, d: RS.false_positive_rate(aa_tests(s, d)))
