@@ -96,7 +96,9 @@ def mann_whitney_u(df: DataFrame, group: str, value: str, pairs, alternatives=AL
     )
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     u1 = (F.col("_r2").cast("double") / 2) - na * (na + 1) / 2
-    stats = sums.select(*keys, "n_a", "n_b", u1.alias("u_stat"), F.col("_tie").cast("double").alias("_tie"))
+    nonempty = (F.col("n_a") > 0) & (F.col("n_b") > 0)  # an empty sample has no U (SciPy raises)
+    stats = sums.select(*keys, "n_a", "n_b", F.when(nonempty, u1).alias("u_stat"),
+                        F.col("_tie").cast("double").alias("_tie"))
     spec = _spec(df, group, pairs, alternatives)
     tested = stats.join(F.broadcast(spec), ["group_a", "group_b"])
     u2 = na * nb - F.col("u_stat")
@@ -111,5 +113,6 @@ def mann_whitney_u(df: DataFrame, group: str, value: str, pairs, alternatives=AL
     p = normal_pvalue(F.col("z"), F.col("_factor"))
     # all values tied (s = 0): the continuity-corrected z is -inf and every alternative gives p = 1
     return out.withColumn(
-        "p_value", F.when(F.col("z").isNotNull(), _nan_to_null(p)).when(F.col("_s") == 0, F.lit(1.0))
+        "p_value", F.when(F.col("z").isNotNull(), _nan_to_null(p))
+        .when((F.col("_s") == 0) & F.col("u_stat").isNotNull(), F.lit(1.0))
     ).drop("_factor", "_s")

@@ -250,3 +250,12 @@ query("bootstrap_histograms", rounded=True)(boot_histograms)
 query("aa_simulation", rounded=True)(aa_tests)
 query("aa_pvalue_histogram", rounded=True)(lambda s, d: equal_width_histogram(aa_tests(s, d), "p_value", P.PVALUE_BINS))
 query("aa_false_positive_rate", rounded=True)(lambda s, d: RS.false_positive_rate(aa_tests(s, d)))
+
+
+# ---------------------------------------------------------------- streaming
+from pulsekit.streaming.live import run_live_feed_metrics  # noqa: E402
+
+query("live_feed_metrics", rounded=True)(lambda s, d: run_live_feed_metrics(s, d, glob="events.parquet").drop(
+    "active_users_approx"))
+query("live_feed_users")(lambda s, d: run_live_feed_metrics(s, d, glob="events.parquet").select(
+    "window_start", "window_end", "active_users_approx"))
