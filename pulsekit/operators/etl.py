@@ -1,11 +1,17 @@
 """Daily ETL: per-user feed and messenger metrics, their merge, and the
 long-form metrics mart sliced by os, gender and age bin.
 
-Plan shape: two pruned scans (one day each, pushed down as a ``time`` range)
--> partial/final aggregates per user -> one full outer join -> one aggregate
-over the three slices at once (rows are fanned out three ways with ``stack``
-before the partial aggregate, so the shuffle carries a few rows per
-(day, dimension, value) and map-side combine does the rest).
+The mart does not need the per-user merge: every mart figure is a sum over
+rows grouped by values (day, os, gender, age) that both sides of the merge
+share, so summing the union of the feed and messenger rows equals summing
+the merged rows. Feed views and likes are plain counts, so raw feed rows go
+straight into the slice aggregate (map-side combine; the feed is never
+shuffled per user). Only the messenger side is aggregated per user, because
+distinct receivers/senders and the received-side join (users who only
+receive are dropped, a two-OS sender counts received messages per OS row)
+are per-user semantics. Plan: two pruned one-day scans -> per-user
+messenger aggregates and their join -> union with feed rows -> fan-out to
+the three slices -> one partial/final aggregate.
 """
 
 from __future__ import annotations
@@ -146,11 +152,30 @@ def metrics_by_dimensions(merged: DataFrame, dimensions=DIMENSIONS) -> DataFrame
     )
 
 
+def mart_rows(feed: DataFrame, messages: DataFrame, as_of: date) -> DataFrame:
+    """Rows whose sums per (day, os, gender, age) equal those of the merged per-user frame.
+
+    Feed rows are raw actions (one view or like each); messenger rows are the
+    per-user sent/received aggregates.
+    """
+    day = etl_day(as_of)
+    zero = F.lit(0).cast("bigint")
+    feed_rows = feed.where(on_day("time", day)).select(
+        F.to_date("time").alias("event_date"), "os", gender_label("gender").alias("gender"), "age",
+        (F.col("action") == "view").cast("bigint").alias("views"),
+        (F.col("action") == "like").cast("bigint").alias("likes"),
+        *[zero.alias(c) for c in MESSAGE_METRICS],
+    )
+    msg_rows = message_user_daily(messages, as_of).select(
+        "event_date", "os", "gender", "age", zero.alias("views"), zero.alias("likes"), *MESSAGE_METRICS)
+    return feed_rows.unionByName(msg_rows)
+
+
 def slice_metrics(feed: DataFrame, messages: DataFrame, as_of: date, dimension: str) -> DataFrame:
     """One slice of the mart (dimension in 'os', 'gender', 'age')."""
-    return metrics_by_dimensions(user_daily_merged(feed, messages, as_of), (dimension,))
+    return metrics_by_dimensions(mart_rows(feed, messages, as_of), (dimension,))
 
 
 def metrics_mart(feed: DataFrame, messages: DataFrame, as_of: date) -> DataFrame:
     """The daily metrics mart for ``as_of - 1`` with all three slices."""
-    return metrics_by_dimensions(user_daily_merged(feed, messages, as_of))
+    return metrics_by_dimensions(mart_rows(feed, messages, as_of))

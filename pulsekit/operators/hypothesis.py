@@ -33,38 +33,47 @@ def _group_type(df: DataFrame, group: str) -> T.DataType:
     return df.schema[group].dataType
 
 
-def _spec(df: DataFrame, group: str, pairs, alternatives) -> DataFrame:
+def _nan_to_null(c):
+    return F.when(~F.isnan(c), c)
+
+
+def _members(df: DataFrame, group: str, pairs) -> DataFrame:
+    """(_member, group_a, group_b, _side) rows: which pair and side each group feeds (bounded by ``pairs``)."""
     gt = _group_type(df, group)
     schema = T.StructType([
-        T.StructField("group_a", gt), T.StructField("group_b", gt), T.StructField("alternative", T.StringType()),
+        T.StructField("_member", gt), T.StructField("group_a", gt), T.StructField("group_b", gt),
+        T.StructField("_side", T.StringType()),
     ])
-    rows = [(a, b, alt) for a, b in pairs for alt in alternatives]
-    return df.sparkSession.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(
+        [(g, a, b, s) for a, b in pairs for g, s in ((a, "a"), (b, "b"))], schema)
 
 
-def _nan_to_null(c):
-    return F.when(~F.isnan(c), c)
+def _alternatives(alternatives):
+    return F.explode(F.array(*[F.lit(a) for a in alternatives])).alias("alternative")
 
 
 def welch_ttest(df: DataFrame, group: str, value: str, pairs, alternatives=ALTERNATIVES, by=()) -> DataFrame:
     by = list(by)
-    stats = df.where(F.col(value).isNotNull()).groupBy(*by, group).agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var"))
+    tagged = df.where(F.col(value).isNotNull()).join(
+        F.broadcast(_members(df, group, pairs)), F.col(group) == F.col("_member"))
 
-    def side(s):
-        return stats.select(*by, F.col(group).alias(f"group_{s}"), F.col("n").alias(f"n_{s}"),
-                            F.col("mean").alias(f"mean_{s}"), F.col("var").alias(f"var_{s}"))
+    def on(side, c):
+        return F.when(F.col("_side") == side, F.col(c))
 
-    spec = _spec(df, group, pairs, alternatives)  # pairs x alternatives rows: bounded by parameters
-    joined = side("a").join(F.broadcast(spec), "group_a").join(side("b"), [*by, "group_b"])
+    # one conditional-moment aggregate per (by..., pair): partial sums are combined map-side
+    moments = tagged.groupBy(*by, "group_a", "group_b").agg(
+        F.count(on("a", value)).alias("n_a"), F.count(on("b", value)).alias("n_b"),
+        F.avg(on("a", value)).alias("mean_a"), F.avg(on("b", value)).alias("mean_b"),
+        F.var_samp(on("a", value)).alias("var_a"), F.var_samp(on("b", value)).alias("var_b"),
+    )
     qa = F.col("var_a") / F.col("n_a")
     qb = F.col("var_b") / F.col("n_b")
     se2 = qa + qb
     valid = (F.col("n_a") >= 2) & (F.col("n_b") >= 2) & (se2 > 0)
     t = F.when(valid, (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2))
     dof = F.when(valid, se2 * se2 / (qa * qa / (F.col("n_a") - 1) + qb * qb / (F.col("n_b") - 1)))
-    out = joined.select(
-        *by, "group_a", "group_b", "alternative", "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b",
+    out = moments.select(
+        *by, "group_a", "group_b", _alternatives(alternatives), "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b",
         t.alias("t_stat"), dof.alias("dof"))
     p = student_t_pvalue(F.col("t_stat"), F.col("dof"), F.col("alternative"))
     return out.withColumn("p_value", F.when(F.col("t_stat").isNotNull(), _nan_to_null(p)))
@@ -73,14 +82,7 @@ def welch_ttest(df: DataFrame, group: str, value: str, pairs, alternatives=ALTER
 def mann_whitney_u(df: DataFrame, group: str, value: str, pairs, alternatives=ALTERNATIVES, by=(),
                    bins: int = DEFAULT_BINS) -> DataFrame:
     by = list(by)
-    gt = _group_type(df, group)
-    member_schema = T.StructType([
-        T.StructField("_member", gt), T.StructField("group_a", gt), T.StructField("group_b", gt),
-        T.StructField("_side", T.StringType()),
-    ])
-    members = df.sparkSession.createDataFrame(
-        [(g, a, b, s) for a, b in pairs for g, s in ((a, "a"), (b, "b"))], member_schema)
-    tagged = df.join(F.broadcast(members), F.col(group) == F.col("_member")).select(
+    tagged = df.join(F.broadcast(_members(df, group, pairs)), F.col(group) == F.col("_member")).select(
         *by, "group_a", "group_b", "_side", value)
     keys = [*by, "group_a", "group_b"]
     ranked = ranked_values(tagged, keys, value,
@@ -99,8 +101,7 @@ def mann_whitney_u(df: DataFrame, group: str, value: str, pairs, alternatives=AL
     nonempty = (F.col("n_a") > 0) & (F.col("n_b") > 0)  # an empty sample has no U (SciPy raises)
     stats = sums.select(*keys, "n_a", "n_b", F.when(nonempty, u1).alias("u_stat"),
                         F.col("_tie").cast("double").alias("_tie"))
-    spec = _spec(df, group, pairs, alternatives)
-    tested = stats.join(F.broadcast(spec), ["group_a", "group_b"])
+    tested = stats.select("*", _alternatives(alternatives))
     u2 = na * nb - F.col("u_stat")
     alt = F.col("alternative")
     u = F.when(alt == "greater", F.col("u_stat")).when(alt == "less", u2).otherwise(F.greatest(F.col("u_stat"), u2))

@@ -12,11 +12,9 @@ recomputed partition draws the same numbers.
 * ``poisson_bootstrap_ctr``: each user gets a Poisson(1) weight per replicate
   (inverse CDF of a hashed uniform); weighted sums are combined map-side, so
   only (replicate, group) partial sums are shuffled.
-* ``aa_simulation``: per iteration, the n users with the smallest hashed key
-  per group (a uniform sample without replacement). A hash-threshold
-  prefilter keeps about n + 10 sqrt(n) candidates per (iteration, group)
-  before ranking; any cell the filter leaves short is recomputed in full, so
-  the sample is always exact.
+* ``aa_simulation``: per iteration, a uniform sample of n users without
+  replacement per group from hashed sequential draws into the dense index
+  (see ``aa_samples``), then Welch's test per iteration.
 """
 
 from __future__ import annotations
@@ -87,39 +85,59 @@ def replicate_difference(boot: DataFrame, control, test, group: str = "exp_group
     return wide.withColumn("diff", F.col("ctr_test") - F.col("ctr_control"))
 
 
+def draw_budget(n: int, size):
+    """Draws per (iteration, group) so that n distinct indices out of ``size`` are
+    almost surely among them: 1.2 x the mean of the geometric bound
+    n * N / (N - n), plus 20 (integer arithmetic, identical in any engine).
+    Zero when the group is not larger than the sample."""
+    return F.when(size > n, F.floor((12 * n * size) / (10 * (size - n))) + 20).otherwise(F.lit(0)).cast("int")
+
+
 def aa_samples(um: DataFrame, groups, iterations: int, n: int, seed: int, value: str = "ctr",
                group: str = "exp_group", key: str = "user_id") -> DataFrame:
-    """(iteration, group, key, value) rows of n users drawn without replacement per iteration and group.
-
-    A group with fewer than n users contributes all of them (the caller sees
-    the actual sample sizes in the test output).
+    """(iteration, group, key, value) rows: n users drawn without replacement per iteration and group.
+
+    Sequential draws with duplicates rejected give a uniform sample without
+    replacement: draw j of a cell picks dense index floor(u(seed, iteration,
+    group, j) * N), and the first n distinct indices (by j) are the sample.
+    The work is iterations x (about n) draws instead of iterations x N, and
+    because draws are generated after hash-partitioning the small (iteration,
+    group) grid, both windows below run without a further shuffle. A cell
+    whose draws hold fewer than n distinct users (rare by construction, or a
+    group not larger than n) is sampled instead by ranking all its users by
+    an independent hash, so every cell is exact; a group smaller than n
+    contributes all of its users.
     """
     vals = um.where(F.col(group).isin(list(groups)) & F.col(value).isNotNull()).select(group, key, value)
+    indexed = dense_index(vals, group, key)
     sizes = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_N"))  # one row per group
     its = F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration")
-    tau = F.least(F.lit(1.0), (F.lit(n + 20.0) + 10.0 * F.sqrt(F.lit(float(n)))) / F.col("_N"))
-    u = stable_uniform(seed, "iteration", key)
+    grid = sizes.select(group, "_N", its)  # groups x iterations rows
+    n_part = int(um.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cell = Window.partitionBy("iteration", group)
-    ranked = (
-        vals.join(F.broadcast(sizes), group)
-        .select(group, key, value, tau.alias("_tau"), its)
-        .withColumn("_u", u)
-        .where(F.col("_u") < F.col("_tau"))
-        .withColumn("_rn", F.row_number().over(cell.orderBy("_u", key)))
-        .withColumn("_cell_n", F.count(F.lit(1)).over(cell))
+    first = Window.partitionBy("iteration", group, "idx").orderBy("_j")
+    draws = (
+        grid.repartition(n_part, "iteration", group)
+        .withColumn("_m", draw_budget(n, F.col("_N")))
+        .where(F.col("_m") > 0)
+        .select("iteration", group, "_N", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_j"))
+        .withColumn("idx", F.floor(stable_uniform(seed, "iteration", group, "_j") * F.col("_N")))
+        .withColumn("_first", F.row_number().over(first))
+        .where(F.col("_first") == 1)
+        .withColumn("_rn", F.row_number().over(cell.orderBy("_j")))
+        .withColumn("_distinct", F.count(F.lit(1)).over(cell))
     )
-    cols = ["iteration", group, key, value]
-    full_cells = ranked.where(F.col("_cell_n") >= n).select("iteration", group).distinct()
-    grid = sizes.select(group, its)  # every (iteration, group): groups x iterations rows
-    short = grid.join(full_cells, ["iteration", group], "left_anti")
+    picked = draws.where((F.col("_distinct") >= n) & (F.col("_rn") <= n)).select("iteration", group, "idx")
+    full_cells = draws.where(F.col("_distinct") >= n).select("iteration", group).distinct()
+    short = grid.select("iteration", group).join(full_cells, ["iteration", group], "left_anti")
     fallback = (
         vals.join(short, group)
-        .withColumn("_u", u)
-        .withColumn("_rn", F.row_number().over(cell.orderBy("_u", key)))
+        .withColumn("_rn", F.row_number().over(cell.orderBy(stable_uniform(seed, "iteration", key), key)))
         .where(F.col("_rn") <= n)
-        .select(cols)
+        .select("iteration", group, key, value)
     )
-    return ranked.where((F.col("_cell_n") >= n) & (F.col("_rn") <= n)).select(cols).unionByName(fallback)
+    cols = ["iteration", group, key, value]
+    return picked.join(indexed, [group, "idx"]).select(cols).unionByName(fallback)
 
 
 def aa_simulation(um: DataFrame, a, b, iterations: int, n: int, seed: int, value: str = "ctr") -> DataFrame:

@@ -123,17 +123,33 @@ def test_aa_simulation_is_calibrated(spark):
     assert [(r[0], r[1]) for r in sizes] == [(50, 50)]
 
 
-def test_aa_sample_equals_plain_ranking(spark):
-    from pyspark.sql import Window
-    from pulsekit.functions.columns import stable_uniform
+def _u(*parts):
+    import hashlib
+    key = ":".join(str(p) for p in parts)
+    return int(hashlib.md5(key.encode()).hexdigest()[:13], 16) / 2.0 ** 52
+
+
+def test_aa_sample_equals_python_sequential_draws(spark):
+    import hashlib
+    seed, n, iters = 4, 10, 30
     rows = [(g, g * 1000 + i, 0, 1, float(i)) for g in (2, 3) for i in range(120)]
     um = spark.createDataFrame(rows, "exp_group int, user_id long, likes long, views long, ctr double")
-    got = RS.aa_samples(um, (2, 3), 30, 10, 4).select("iteration", "user_id").collect()
-    plain = (um.select("exp_group", "user_id", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("iteration"))
-             .withColumn("u", stable_uniform(4, "iteration", "user_id"))
-             .withColumn("rn", F.row_number().over(Window.partitionBy("iteration", "exp_group").orderBy("u", "user_id")))
-             .where("rn <= 10").select("iteration", "user_id").collect())
-    assert sorted(map(tuple, got)) == sorted(map(tuple, plain))
+    got = sorted(map(tuple, RS.aa_samples(um, (2, 3), iters, n, seed).select("iteration", "user_id").collect()))
+    want = []
+    for g in (2, 3):
+        users = [u for gg, u, *_ in rows if gg == g]
+        order = sorted(users, key=lambda u: (int(hashlib.md5(str(u).encode()).hexdigest()[:8], 16), u))
+        big_n = len(order)
+        budget = (12 * n * big_n) // (10 * (big_n - n)) + 20
+        for it in range(iters):
+            seen = []
+            for j in range(budget):
+                idx = int(math.floor(_u(seed, it, g, j) * big_n))
+                if idx not in seen:
+                    seen.append(idx)
+            assert len(seen) >= n
+            want += [(it, order[i]) for i in seen[:n]]
+    assert got == sorted(want)
 
 
 def test_bucket_assignment_is_total_and_stable(spark):
