@@ -48,37 +48,58 @@ def _window(keys: list[str]) -> Window:
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
-def ranked_values(df: DataFrame, keys: list[str], value: str,
-                  counts: dict[str, Column] | None = None, bins: int = DEFAULT_BINS) -> DataFrame:
-    """One row per (keys, value) with ``n`` (rows holding the value), any
-    extra conditional counts, and ``below`` (rows of the key with a smaller value)."""
+def ranked_with_bins(df: DataFrame, keys: list[str], value: str, counts: dict[str, Column] | None = None,
+                     bins: int = DEFAULT_BINS) -> tuple[DataFrame, DataFrame]:
+    """(ranked rows with their ``_bin``, bin table (keys, _bin, _offset, _bin_n)).
+
+    The bin table has at most keys x ``bins`` rows.
+    """
     counts = counts or {}
     aggs = [F.count(F.lit(1)).alias("n")] + [F.count_if(c).alias(name) for name, c in counts.items()]
     dv = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*aggs)
     binned = with_value_bin(dv, value, value_edges(dv, value, bins))
-    bin_totals = binned.groupBy(*keys, "_bin").agg(F.sum("n").alias("_bin_n"))
-    offsets = bin_totals.select(
-        *keys, "_bin",
+    bin_table = binned.groupBy(*keys, "_bin").agg(F.sum("n").alias("_bin_n")).select(
+        *keys, "_bin", "_bin_n",
         F.coalesce(
             F.sum("_bin_n").over(_window(keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ).alias("_offset"),
     )
     in_bin = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        binned.join(offsets, [*keys, "_bin"])
+    ranked = (
+        binned.join(bin_table.select(*keys, "_bin", "_offset"), [*keys, "_bin"])
         .withColumn("below", F.col("_offset") + F.coalesce(F.sum("n").over(in_bin), F.lit(0)))
-        .drop("_offset", "_bin")
+        .drop("_offset")
     )
+    return ranked, bin_table
+
+
+def ranked_values(df: DataFrame, keys: list[str], value: str,
+                  counts: dict[str, Column] | None = None, bins: int = DEFAULT_BINS) -> DataFrame:
+    """One row per (keys, value) with ``n`` (rows holding the value), any
+    extra conditional counts, and ``below`` (rows of the key with a smaller value)."""
+    return ranked_with_bins(df, keys, value, counts, bins)[0].drop("_bin")
+
+
+def _and(conds):
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                     bins: int = DEFAULT_BINS) -> DataFrame:
     """Exact quantiles with linear interpolation (position q * (n - 1)), one
     row per (keys, q) with column ``quantile``. Equal to pandas / DuckDB
-    ``quantile_cont``."""
-    ranked = ranked_values(df, keys, value, bins=bins)
-    totals = ranked.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    ``quantile_cont``.
+
+    Each target position is first resolved to its value bin on the small bin
+    table, and only then matched against the ranked values on (keys, bin),
+    so no key's values are gathered into one task.
+    """
+    ranked, bin_table = ranked_with_bins(df, keys, value, bins=bins)
+    totals = bin_table.groupBy(*keys).agg(F.sum("_bin_n").alias("_total"))
     h = F.col("q") * (F.col("_total") - 1)
     positions = (
         totals.select(*keys, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
@@ -92,15 +113,18 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
                 )).alias("p"))
         .select(*keys, "q", "_frac", "p.side", "p.pos")
     )
-    r = ranked.alias("r")
-    p = positions.alias("p")
-    cond = [F.col(f"r.{k}") == F.col(f"p.{k}") for k in keys]
-    cond.append((F.col("r.below") <= F.col("p.pos")) & (F.col("p.pos") < F.col("r.below") + F.col("r.n")))
-    on = cond[0]
-    for c in cond[1:]:
-        on = on & c
-    picked = r.join(p, on).select(*[F.col(f"p.{k}").alias(k) for k in keys], "p.q", "p._frac", "p.side",
-                                   F.col(f"r.{value}").cast("double").alias("_v"))
+    p, b = positions.alias("p"), bin_table.alias("b")
+    pos_bins = p.join(b, _and([F.col(f"p.{k}") == F.col(f"b.{k}") for k in keys]
+                              + [(F.col("b._offset") <= F.col("p.pos")),
+                                 (F.col("p.pos") < F.col("b._offset") + F.col("b._bin_n"))])
+                      ).select(*[F.col(f"p.{k}").alias(k) for k in keys], "p.q", "p._frac", "p.side", "p.pos", "b._bin")
+    r, pb = ranked.alias("r"), pos_bins.alias("pb")
+    # pos_bins has keys x probs x 2 rows (a bounded handful per key): broadcast it
+    picked = r.join(F.broadcast(pb), _and(
+        [F.col(f"r.{k}") == F.col(f"pb.{k}") for k in keys + ["_bin"]]
+        + [(F.col("r.below") <= F.col("pb.pos")), (F.col("pb.pos") < F.col("r.below") + F.col("r.n"))])
+    ).select(*[F.col(f"pb.{k}").alias(k) for k in keys], "pb.q", "pb._frac", "pb.side",
+             F.col(f"r.{value}").cast("double").alias("_v"))
     both = picked.groupBy(*keys, "q", "_frac").agg(
         F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_vhi"),
