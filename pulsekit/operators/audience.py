@@ -52,6 +52,28 @@ def feed_daily_metrics(feed: DataFrame, as_of: date, days: int = 7) -> DataFrame
     )
 
 
+def feed_history_metrics(feed: DataFrame, as_of: date) -> DataFrame:
+    """Daily feed KPIs over the whole history before ``as_of`` (the history dashboard)."""
+    return (
+        feed.where(F.col("time") < F.lit(as_of).cast("timestamp_ntz"))
+        .groupBy(F.to_date("time").alias("date"))
+        .agg(
+            F.count_distinct("user_id").alias("dau"),
+            F.count_if(F.col("action") == "view").alias("views"),
+            F.count_if(F.col("action") == "like").alias("likes"),
+        )
+        .withColumn("ctr", F.bround(safe_ratio(F.col("likes") * 100, "views"), 1))
+    )
+
+
+def activity_history_by_hour(feed: DataFrame, messages: DataFrame, as_of: date) -> DataFrame:
+    """Actions per day and hour over the whole history before ``as_of``."""
+    cols = [F.to_date("time").alias("day"), F.hour("time").alias("hour"), "user_id"]
+    cut = F.col("time") < F.lit(as_of).cast("timestamp_ntz")
+    both = feed.where(cut).select(cols).unionByName(messages.where(cut).select(cols))
+    return both.groupBy("day", "hour").agg(F.count("user_id").alias("actions"))
+
+
 def _user_days(log: DataFrame, as_of: date, days: int) -> DataFrame:
     return _in_window(log, as_of, days).select(F.to_date("time").alias("date"), "user_id").distinct()
 

@@ -259,3 +259,25 @@ query("live_feed_metrics", rounded=True)(lambda s, d: run_live_feed_metrics(s, d
     "active_users_approx"))
 query("live_feed_users")(lambda s, d: run_live_feed_metrics(s, d, glob="events.parquet").select(
     "window_start", "window_end", "active_users_approx"))
+
+
+
+# ---------------------------------------------------------------- history dashboard, SQL entry, inspection
+from datetime import timedelta as _td  # noqa: E402
+
+from pulsekit.sources.sql import FEED_DAILY_SQL, extract_df, register_logs  # noqa: E402
+
+QUERIES["feed_history_metrics"] = _feed_only(audience.feed_history_metrics)
+QUERIES["activity_history_by_hour"] = _both(audience.activity_history_by_hour)
+
+
+@query("feed_daily_metrics_sql")
+def _feed_daily_sql(spark, sf_dir):
+    """The feed KPI query through Spark SQL with named parameter markers."""
+    register_logs(logs(spark, sf_dir), "pk_feed_actions", "pk_message_actions")
+    q = FEED_DAILY_SQL.replace("FROM feed_actions", "FROM pk_feed_actions")
+    return extract_df(spark, q, first=P.AS_OF - _td(days=7), last=P.AS_OF - _td(days=1))
+
+
+query("user_ctr_preview", rounded=True)(lambda s, d: reports.preview(user_metrics(s, d), ["exp_group", "user_id"]))
+query("user_ctr_shape")(lambda s, d: reports.shape(user_metrics(s, d)))

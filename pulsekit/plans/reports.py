@@ -75,3 +75,13 @@ def app_week_series(feed: DataFrame, messages: DataFrame, as_of: date, days: int
     acts = audience.app_daily_actions(feed, messages, as_of)
     return acts.where(F.col("date") >= F.lit(as_of - timedelta(days=days))).select(
         "date", F.date_format("date", "dd MMM").alias("label"), "views", "likes", "posts", "messages")
+
+
+def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """First ``n`` rows in a stable order (a notebook ``head()``; the limit is the feature)."""
+    return df.orderBy(*order).limit(n)
+
+
+def shape(df: DataFrame) -> DataFrame:
+    """(rows, columns) of a frame as a one-row DataFrame; the count runs distributed."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
