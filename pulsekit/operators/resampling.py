@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import poisson1_draw, stable_hash32, stable_uniform
+from pulsekit.functions.joins import join_known_small
 from pulsekit.operators.hypothesis import welch_ttest
 
 INDEX_BITS = 12  # 4096 hash-prefix bins per group
@@ -37,13 +38,19 @@ def dense_index(df: DataFrame, group: str, key: str = "user_id", bits: int = IND
         F.coalesce(F.sum("_c").over(Window.partitionBy(group).orderBy("_bin")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     in_bin = Window.partitionBy(group, "_bin").orderBy("_h", key)
+    # offsets has at most (number of groups) x 2^bits rows
     return (
-        with_bin.join(offsets, [group, "_bin"])
+        with_bin.join(F.broadcast(offsets), [group, "_bin"])
         .withColumn("idx", F.col("_off") + F.row_number().over(in_bin) - 1)
         .drop("_h", "_bin", "_off")
     )
 
 
+def _total_rows(sizes: DataFrame, col: str = "_n") -> int:
+    """Sum of per-group sizes (one row per group is fetched)."""
+    return int(sum(r[col] for r in sizes.collect()))
+
+
 def bootstrap_means(df: DataFrame, group: str, value: str, replicates: int, seed: int,
                     key: str = "user_id") -> DataFrame:
     """Mean of n draws with replacement from each group's n non-null values, per replicate."""
@@ -57,7 +64,9 @@ def bootstrap_means(df: DataFrame, group: str, value: str, replicates: int, seed
         .select(group, "replicate",
                 F.floor(stable_uniform(seed, group, "replicate", "_slot") * F.col("_n")).alias("idx"))
     )
-    picked = draws.join(indexed.select(group, "idx", value), [group, "idx"])
+    # the indexed side has exactly sum(sizes) rows: one bounded summary row per group tells
+    picked = join_known_small(draws, indexed.select(group, "idx", value), [group, "idx"],
+                              small_rows=_total_rows(sizes))
     return picked.groupBy("replicate", group).agg(F.avg(value).alias("mean"))
 
 
@@ -137,7 +146,8 @@ def aa_samples(um: DataFrame, groups, iterations: int, n: int, seed: int, value:
         .select("iteration", group, key, value)
     )
     cols = ["iteration", group, key, value]
-    return picked.join(indexed, [group, "idx"]).select(cols).unionByName(fallback)
+    sampled = join_known_small(picked, indexed, [group, "idx"], small_rows=_total_rows(sizes, "_N"))
+    return sampled.select(cols).unionByName(fallback)
 
 
 def aa_simulation(um: DataFrame, a, b, iterations: int, n: int, seed: int, value: str = "ctr") -> DataFrame:
