@@ -29,7 +29,8 @@ def activity_heatmap(feed: DataFrame, messages: DataFrame, as_of: date, days: in
     labels = [day_label(x) for x in day_range(first, last)]
     cells = audience.activity_by_hour(feed, messages, as_of, days).withColumn(
         "day_label", F.date_format("day", LABEL_FORMAT))
-    return cells.groupBy("hour").pivot("day_label", labels).agg(F.max("actions"))
+    # hours descending, as the heatmap is drawn (top row = latest hour)
+    return cells.groupBy("hour").pivot("day_label", labels).agg(F.max("actions")).orderBy(F.desc("hour"))
 
 
 def retention_matrix(feed: DataFrame, messages: DataFrame, as_of: date, source: str, days: int = 7) -> DataFrame:

@@ -20,8 +20,10 @@ def latest_rows(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def feed_report_latest(feed: DataFrame, as_of: date, days: int = 7) -> DataFrame:
-    """DAU, views, likes and CTR of the latest day of the feed window."""
-    return latest_rows(audience.feed_daily_metrics(feed, as_of, days))
+    """DAU, views, likes and CTR of the latest day of the feed window, with the
+    report's 'dd/MM/yyyy' date label."""
+    return latest_rows(audience.feed_daily_metrics(feed, as_of, days)).withColumn(
+        "report_date", F.date_format("date", "dd/MM/yyyy"))
 
 
 def _long(one_row: DataFrame, names: list[str]) -> DataFrame:
@@ -74,7 +76,8 @@ def app_week_series(feed: DataFrame, messages: DataFrame, as_of: date, days: int
     """Views, likes, posts and messages of the last ``days`` days with a 'dd MMM' label."""
     acts = audience.app_daily_actions(feed, messages, as_of)
     return acts.where(F.col("date") >= F.lit(as_of - timedelta(days=days))).select(
-        "date", F.date_format("date", "dd MMM").alias("label"), "views", "likes", "posts", "messages")
+        "date", F.date_format("date", "dd MMM").alias("label"), "views", "likes", "posts", "messages",
+        F.format_number("views", 0).alias("views_label"), F.format_number("likes", 0).alias("likes_label"))
 
 
 def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
