@@ -38,7 +38,10 @@ def value_edges(dv: DataFrame, value: str, bins: int, rel_err: float = 1e-3) ->
 
 
 def with_value_bin(dv: DataFrame, value: str, edges: list[float], out: str = "_bin") -> DataFrame:
-    splits = [-math.inf] + [e for e in edges if math.isfinite(e)] + [math.inf]
+    inner = [e for e in edges if math.isfinite(e)]
+    if not inner:  # one bin: nothing to search
+        return dv.withColumn(out, F.lit(0.0))
+    splits = [-math.inf] + inner + [math.inf]
     tmp = "_value_as_double"
     bucketizer = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return bucketizer.transform(dv.withColumn(tmp, F.col(value).cast("double"))).drop(tmp)
