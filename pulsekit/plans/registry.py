@@ -281,3 +281,31 @@ def _feed_daily_sql(spark, sf_dir):
 
 query("user_ctr_preview", rounded=True)(lambda s, d: reports.preview(user_metrics(s, d), ["exp_group", "user_id"]))
 query("user_ctr_shape")(lambda s, d: reports.shape(user_metrics(s, d)))
+
+
+# ---------------------------------------------------------------- incremental user state
+from pulsekit.operators import user_state as US  # noqa: E402
+
+
+def _state(spark, sf_dir):
+    lg = logs(spark, sf_dir)
+    first_seen, sources = US.initial_state(lg.feed, lg.messages, P.AS_OF)
+    return lg, first_seen, sources
+
+
+@query("acquisition_from_state")
+def _acq_state(spark, sf_dir):
+    _, fs, us = _state(spark, sf_dir)
+    return US.acquisition_from_state(fs, us, P.AS_OF)
+
+
+@query("retention_from_state")
+def _ret_state(spark, sf_dir):
+    lg, fs, _ = _state(spark, sf_dir)
+    return US.retention_from_state(lg.feed, lg.messages, fs, P.AS_OF)
+
+
+@query("dau_only_feed_from_state")
+def _dof_state(spark, sf_dir):
+    lg, fs, _ = _state(spark, sf_dir)
+    return US.dau_only_feed_from_state(lg.feed, fs, P.AS_OF)
