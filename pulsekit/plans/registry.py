@@ -34,9 +34,17 @@ def query(key: str, rounded: bool = False):
     return deco
 
 
+def stable_round(c, places: int = 6):
+    """Round a double to ``places`` decimals without tie flips from float noise:
+    snap to 9 decimals first (DECIMAL(38, 9)), then round the decimal half-up.
+    Out-of-range or non-finite values fall back to a plain round."""
+    snapped = F.round(c.try_cast(T.DecimalType(38, 9)), places).cast("double")
+    return F.coalesce(snapped, F.round(c, places))
+
+
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select([
-        F.round(F.col(f.name), places).alias(f.name)
+        stable_round(F.col(f.name), places).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])
