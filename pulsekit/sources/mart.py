@@ -30,3 +30,34 @@ def write_mart(mart: DataFrame, path: str) -> None:
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.schema(MART_SCHEMA).parquet(path)
     return df.select([f.name for f in MART_SCHEMA.fields])
+
+
+def mart_table_ddl(table: str) -> str:
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in MART_SCHEMA.fields
+                     if f.name != "event_date")
+    return f"CREATE TABLE IF NOT EXISTS {table} ({cols}, event_date DATE) USING parquet PARTITIONED BY (event_date)"
+
+
+def write_mart_table(spark: SparkSession, mart: DataFrame, table: str) -> None:
+    """Load into a catalog table, creating it if absent (the reference's DDL +
+    insert), replacing only the days being loaded."""
+    spark.sql(mart_table_ddl(table))
+    ordered = [F.col(f.name).cast(f.dataType) for f in MART_SCHEMA.fields if f.name != "event_date"]
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")  # insertInto ignores the writer option; the session setting governs
+    try:
+        (
+            mart.select(*ordered, F.col("event_date").cast("date"))
+            .repartition("event_date")
+            .write.insertInto(table, overwrite=True)
+        )
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
+def read_mart_table(spark: SparkSession, table: str) -> DataFrame:
+    return spark.table(table).select([f.name for f in MART_SCHEMA.fields])

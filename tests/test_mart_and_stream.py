@@ -28,6 +28,23 @@ def test_mart_reload_is_idempotent(spark):
     assert len(days) == 2
 
 
+def test_mart_catalog_table_created_if_absent_and_reloaded_idempotently(spark):
+    from pulsekit.sources import read_mart_table, write_mart_table
+    lg = load_fixture_logs(spark, SF_SMALL)
+    db_dir = shared_dir(spark, "warehouse")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS pk_mart_test LOCATION '{db_dir}'")
+    table = "pk_mart_test.metrics_mart"
+    day1 = etl.metrics_mart(lg.feed, lg.messages, AS_OF)
+    write_mart_table(spark, day1, table)
+    write_mart_table(spark, day1, table)
+    write_mart_table(spark, etl.metrics_mart(lg.feed, lg.messages, AS_OF.replace(day=30)), table)
+    got = read_mart_table(spark, table)
+    day = AS_OF.replace(day=30)  # the first load's event_date
+    assert got.select("event_date").distinct().count() == 2
+    assert sorted(map(tuple, got.where(F.col("event_date") == F.lit(day)).collect())) == \
+        sorted(map(tuple, day1.select(got.columns).collect()))
+
+
 def _local(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
