@@ -11,10 +11,10 @@ of (a, b) group pairs, and return one row per (by..., a, b, alternative).
 * Mann-Whitney U uses exact mid-ranks from ``ranks.ranked_values`` (no group
   is sorted in one task), the tie-corrected normal approximation with
   continuity correction, U of the first sample as the statistic, and the
-  same alternatives as SciPy: 'greater' uses U1, 'less' U2, 'two-sided'
-  max(U1, U2) with the tail doubled. (SciPy switches to the exact
-  distribution for tiny tie-free samples; this operator always uses the
-  normal approximation.)
+  same alternatives and method choice as SciPy's default: 'greater' uses U1,
+  'less' U2, 'two-sided' max(U1, U2) with the tail doubled; the exact null
+  distribution of U when a sample has at most 8 values and there are no
+  ties, the normal approximation otherwise.
 """
 
 from __future__ import annotations
@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsekit.functions.pvalues import normal_pvalue, student_t_pvalue
+from pulsekit.functions.pvalues import mwu_pvalue, student_t_pvalue
 from pulsekit.operators.ranks import DEFAULT_BINS, ranked_values
 
 ALTERNATIVES = ("less", "greater", "two-sided")
+EXACT_MAX = 8  # SciPy's default: exact U distribution when a sample is this small and nothing ties
 
 
 def _group_type(df: DataFrame, group: str) -> T.DataType:
@@ -109,11 +110,13 @@ def mann_whitney_u(df: DataFrame, group: str, value: str, pairs, alternatives=AL
     s = F.sqrt(na * nb / 12 * ((total + 1) - F.col("_tie") / (total * (total - 1))))
     z = F.when(s > 0, (u - na * nb / 2 - 0.5) / s)
     factor = F.when(alt == "two-sided", F.lit(2.0)).otherwise(F.lit(1.0))
+    exact = ((F.col("n_a") <= EXACT_MAX) | (F.col("n_b") <= EXACT_MAX)) & (F.col("_tie") == 0) \
+        & F.col("u_stat").isNotNull()
     out = tested.select(*keys, "alternative", "n_a", "n_b", "u_stat", z.alias("z"), factor.alias("_factor"),
-                        s.alias("_s"))
-    p = normal_pvalue(F.col("z"), F.col("_factor"))
+                        s.alias("_s"), u.alias("_u"), exact.alias("_exact"))
+    p = mwu_pvalue(F.col("z"), F.col("_factor"), F.col("_u"), F.col("n_a"), F.col("n_b"), F.col("_exact"))
     # all values tied (s = 0): the continuity-corrected z is -inf and every alternative gives p = 1
     return out.withColumn(
         "p_value", F.when(F.col("z").isNotNull(), _nan_to_null(p))
         .when((F.col("_s") == 0) & F.col("u_stat").isNotNull(), F.lit(1.0))
-    ).drop("_factor", "_s")
+    ).drop("_factor", "_s", "_u", "_exact")

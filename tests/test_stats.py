@@ -157,3 +157,30 @@ def test_bucket_assignment_is_total_and_stable(spark):
     df = spark.range(0, 5000).select(F.col("id").alias("user_id"), hash_bucket("user_id", 50).alias("b"))
     stats = df.agg(F.min("b"), F.max("b"), F.count_distinct("b")).collect()[0]
     assert tuple(stats) == (0, 49, 50)
+
+
+def test_exact_u_distribution_matches_enumeration_and_is_used_for_small_tie_free_samples(spark):
+    import itertools
+    from collections import Counter
+    from pulsekit.functions.pvalues import mwu_exact_counts
+
+    for m, n in [(1, 4), (3, 5), (4, 4), (2, 7)]:
+        cnt = Counter()
+        for pos in itertools.combinations(range(m + n), m):
+            chosen, u, below = set(pos), 0, 0
+            for i in range(m + n):
+                if i in chosen:
+                    u += below
+                else:
+                    below += 1
+            cnt[u] += 1
+        assert list(mwu_exact_counts(m, n)) == [cnt[k] for k in range(m * n + 1)]
+    # 3 vs 20 values without ties: SciPy's default uses the exact distribution
+    a = [0.5, 2.5, 7.5]
+    b = [float(i) for i in range(20)]
+    df = spark.createDataFrame([(1, x) for x in a] + [(2, x) for x in b], "g int, v double")
+    r = {x["alternative"]: x for x in mann_whitney_u(df, "g", "v", [(1, 2)]).collect()}
+    counts = mwu_exact_counts(3, 20)
+    u1 = 0 + 2 + 7  # values of b below each a value
+    assert r["greater"]["u_stat"] == u1
+    assert r["greater"]["p_value"] == pytest.approx(int(counts[u1:].sum()) / int(counts.sum()), abs=1e-15)
