@@ -181,6 +181,6 @@ def test_exact_u_distribution_matches_enumeration_and_is_used_for_small_tie_free
     df = spark.createDataFrame([(1, x) for x in a] + [(2, x) for x in b], "g int, v double")
     r = {x["alternative"]: x for x in mann_whitney_u(df, "g", "v", [(1, 2)]).collect()}
     counts = mwu_exact_counts(3, 20)
-    u1 = 0 + 2 + 7  # values of b below each a value
+    u1 = 1 + 3 + 8  # values of b below each a value (0.5: {0}, 2.5: {0,1,2}, 7.5: {0..7})
     assert r["greater"]["u_stat"] == u1
     assert r["greater"]["p_value"] == pytest.approx(int(counts[u1:].sum()) / int(counts.sum()), abs=1e-15)
