@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import before_day_after, between_days, safe_ratio
 
+# Segment labels of the app report's DAU table.
 BOTH = "messenger and newsfeed"
 ONLY_FEED = "only newsfeed"
 ONLY_MESSENGER = "only messenger"

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from pulsekit.functions.columns import day_range
 from pulsekit.operators import audience
 
+# Day label formats of the reports (matrix axes, weekly series, report date).
 LABEL_FORMAT = "EEE dd MMM"
+SERIES_FORMAT = "dd MMM"
+REPORT_DATE_FORMAT = "dd/MM/yyyy"
 
 
 def day_label(d: date) -> str:
