@@ -114,3 +114,36 @@ def dau_only_feed_from_state(feed: DataFrame, first_seen: DataFrame, as_of: date
         .groupBy("date").agg(F.count("user_id").alias("dau"))
         .select("date", F.lit(ONLY_FEED).alias("app"), "dau")
     )
+
+
+def save_state_tables(spark: SparkSession, first_seen: DataFrame, user_sources: DataFrame, database: str,
+                      buckets: int, mode: str = "append") -> tuple[str, str]:
+    """Keep the state as catalog tables bucketed (and sorted) by ``user_id``.
+
+    With the same bucket count on both tables, the per-user aggregate and the
+    first_seen x user_sources join of ``acquisition_from_state`` read
+    co-located buckets and need no shuffle. Appends add files to the same
+    buckets.
+    """
+    fs_t, us_t = f"{database}.user_first_seen", f"{database}.user_sources"
+    (first_seen.select("user_id", "service", "start").write.mode(mode)
+     .bucketBy(buckets, "user_id").sortBy("user_id").saveAsTable(fs_t))
+    (user_sources.select("user_id", "source").write.mode(mode)
+     .bucketBy(buckets, "user_id").sortBy("user_id").saveAsTable(us_t))
+    return fs_t, us_t
+
+
+def append_day_to_tables(spark: SparkSession, database: str, buckets: int, feed: DataFrame, messages: DataFrame,
+                         day: date) -> None:
+    """Daily update of the bucketed state tables (idempotent, like ``update_state``)."""
+    from pulsekit.session import shared_dir
+
+    fs = spark.table(f"{database}.user_first_seen")
+    us = spark.table(f"{database}.user_sources")
+    new_first, new_sources = state_increment(fs, us, feed, messages, day)
+    # Spark refuses to append to a table the same job reads: stage the (small)
+    # increment as files in the shared checkpoint folder first.
+    stage = shared_dir(spark, f"user-state-{day.isoformat()}")
+    write_state(new_first, new_sources, stage, mode="overwrite")
+    staged_first, staged_sources = read_state(spark, stage)
+    save_state_tables(spark, staged_first, staged_sources, database, buckets, mode="append")

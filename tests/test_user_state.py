@@ -33,3 +33,26 @@ def test_incremental_state_equals_full_history(spark):
         audience.retention_cohorts(lg.feed, lg.messages, as_of))
     assert rows(US.dau_only_feed_from_state(lg.feed, fs, as_of)) == rows(
         audience.dau_only_feed(lg.feed, lg.messages, as_of))
+
+
+def test_bucketed_state_tables_join_without_shuffle(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    lg = load_fixture_logs(spark, SF_MID)
+    as_of = date(2024, 1, 31)
+    db = "pk_state_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{shared_dir(spark, 'state-db')}'")
+    fs0, us0 = US.initial_state(lg.feed, lg.messages, date(2024, 1, 29))
+    US.save_state_tables(spark, fs0, us0, db, buckets=8, mode="overwrite")
+    US.append_day_to_tables(spark, db, 8, lg.feed, lg.messages, date(2024, 1, 30))
+    US.append_day_to_tables(spark, db, 8, lg.feed, lg.messages, date(2024, 1, 30))  # retry: no new rows
+    fs, us = spark.table(f"{db}.user_first_seen"), spark.table(f"{db}.user_sources")
+    acq = US.acquisition_from_state(fs, us, as_of)
+    assert rows(acq) == rows(audience.acquisition_by_source(lg.feed, lg.messages, as_of))
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        acq.explain()
+    plan = buf.getvalue()
+    assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning(user_id" not in plan
