@@ -50,25 +50,35 @@ def _local(uri: str) -> str:
 
 
 def test_stream_equals_batch_on_closed_windows_and_drops_late_rows(spark):
+    from pulsekit.sources.logs import logs_from_events
+
     events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{SF_SMALL}/events.parquet")
+    ts = F.col("ts")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    # a valid feed action (a view by a feed user after activation) from Jan 1-9
+    late_row = events.where(
+        (ts < F.lit("2024-01-10").cast("timestamp_ntz")) & (F.col("event_type") == "view")
+        & (F.col("user_id") % 7 != 0)
+        & (ts >= F.date_add(F.lit("2024-01-01").cast("date"), ((F.col("user_id") * 11) % 28).cast("int"))
+           .cast("timestamp_ntz"))
+    ).orderBy("event_id").limit(1).withColumn("event_id", F.lit(10_000_000).cast("long"))
+    assert logs_from_events(late_row).feed.count() == 1  # it would count if it were not late
     src = shared_dir(spark, "stream-src")
-    # first file: days up to Jan 20; second file: later days plus one event late by 5 days
-    early = events.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
-    late_row = events.where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")).limit(1)
-    later = events.where(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))
-    early.coalesce(1).write.parquet(os.path.join(src, "a"))
-    later.unionByName(late_row.withColumn("event_id", F.lit(10_000_000).cast("long"))).coalesce(1) \
-        .write.parquet(os.path.join(src, "b"))
-    files = sorted(
-        os.path.join(dp, f) for dp, _, fs in os.walk(_local(src)) for f in fs if f.endswith(".parquet"))
-    assert len(files) >= 2
+    parts = {"a": events.where(ts < cut), "b": events.where(ts >= cut), "c": late_row}
+    for name, df in parts.items():
+        df.coalesce(1).write.parquet(os.path.join(src, name))
     flat = shared_dir(spark, "stream-flat")
     os.makedirs(_local(flat))
-    for i, f in enumerate(files):
-        os.link(f, os.path.join(_local(flat), f"events-{i}.parquet"))
+    # three micro-batches in this order: early days, later days (advances the watermark), the late row
+    for i, name in enumerate(["a", "b", "c"]):
+        (f,) = [os.path.join(dp, x) for dp, _, fs in os.walk(os.path.join(_local(src), name))
+                for x in fs if x.endswith(".parquet")]
+        target = os.path.join(_local(flat), f"events-{name}.parquet")
+        os.link(f, target)
+        os.utime(target, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
     got = run_live_feed_metrics(spark, flat, max_files_per_trigger=1)
-    batch = live_feed_metrics(load_fixture_logs(spark, SF_SMALL).feed)
-    max_time = load_fixture_logs(spark, SF_SMALL).feed.agg(F.max("time")).collect()[0][0]
-    closed = batch.where(F.col("window_end") <= F.lit(max_time) - F.expr("INTERVAL 10 MINUTES"))
+    feed = load_fixture_logs(spark, SF_SMALL).feed
+    max_time = feed.agg(F.max("time")).collect()[0][0]
+    closed = live_feed_metrics(feed).where(F.col("window_end") <= F.lit(max_time) - F.expr("INTERVAL 10 MINUTES"))
     cols = ["window_start", "views", "likes", "events"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, closed.select(cols).collect()))
