@@ -16,10 +16,6 @@ from pulsekit.operators import audience
 from pulsekit.operators.pivots import REPORT_DATE_FORMAT, SERIES_FORMAT
 
 
-def latest_rows(df: DataFrame, date_col: str = "date") -> DataFrame:
-    return df.join(df.agg(F.max(date_col).alias(date_col)), date_col, "left_semi")
-
-
 def feed_report_latest(feed: DataFrame, as_of: date, days: int = 7) -> DataFrame:
     """DAU, views, likes and CTR of the latest day of the feed window, with the
     report's 'dd/MM/yyyy' date label (one aggregate: ``max_by`` over days)."""

@@ -103,11 +103,5 @@ def load_fixture_logs(spark: SparkSession, sf_dir: str) -> EventLogs:
     return logs_from_events(events)
 
 
-def check_log_schema(df: DataFrame, schema: T.StructType) -> None:
-    names = [f.name for f in schema.fields]
-    if df.columns != names:
-        raise ValueError(f"expected columns {names}, got {df.columns}")
-
-
-__all__ = ["EventLogs", "read_log", "logs_from_events", "load_fixture_logs", "check_log_schema",
+__all__ = ["EventLogs", "read_log", "logs_from_events", "load_fixture_logs",
            "FEED_SCHEMA", "MESSAGE_SCHEMA"]
