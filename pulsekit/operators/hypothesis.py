@@ -70,9 +70,15 @@ def welch_ttest(df: DataFrame, group: str, value: str, pairs, alternatives=ALTER
     qa = F.col("var_a") / F.col("n_a")
     qb = F.col("var_b") / F.col("n_b")
     se2 = qa + qb
-    valid = (F.col("n_a") >= 2) & (F.col("n_b") >= 2) & (se2 > 0)
-    t = F.when(valid, (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2))
-    dof = F.when(valid, se2 * se2 / (qa * qa / (F.col("n_a") - 1) + qb * qb / (F.col("n_b") - 1)))
+    sized = (F.col("n_a") >= 2) & (F.col("n_b") >= 2)
+    valid = sized & (se2 > 0)
+    # both variances zero (as SciPy): df is taken as 1 and different means give t = +-inf
+    degenerate = sized & (se2 == 0) & (F.col("mean_a") != F.col("mean_b"))
+    inf = F.lit(float("inf"))
+    t = (F.when(valid, (F.col("mean_a") - F.col("mean_b")) / F.sqrt(se2))
+         .when(degenerate, F.when(F.col("mean_a") > F.col("mean_b"), inf).otherwise(-inf)))
+    dof = (F.when(valid, se2 * se2 / (qa * qa / (F.col("n_a") - 1) + qb * qb / (F.col("n_b") - 1)))
+           .when(degenerate, F.lit(1.0)))
     out = moments.select(
         *by, "group_a", "group_b", _alternatives(alternatives), "n_a", "n_b", "mean_a", "mean_b", "var_a", "var_b",
         t.alias("t_stat"), dof.alias("dof"))

@@ -121,3 +121,11 @@ def test_group_smaller_than_sample_size_uses_whole_group(spark):
     out = aa_simulation(um, 2, 3, iterations=5, n=10, seed=1).collect()
     assert len(out) == 5
     assert all(r["n_a"] == 5 and r["n_b"] == 10 for r in out)
+
+
+def test_welch_zero_variance_different_means_follows_scipy(spark):
+    from pulsekit.operators.hypothesis import welch_ttest
+    df = spark.createDataFrame([(1, 0.2), (1, 0.2), (2, 0.5), (2, 0.5)], "g int, v double")
+    out = {r["alternative"]: r for r in welch_ttest(df, "g", "v", [(1, 2)]).collect()}
+    assert out["less"]["t_stat"] == float("-inf") and out["less"]["dof"] == 1.0
+    assert (out["less"]["p_value"], out["greater"]["p_value"], out["two-sided"]["p_value"]) == (0.0, 1.0, 0.0)
