@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pulsekit.functions.columns import poisson1_draw, stable_hash32, stable_uniform
 from pulsekit.functions.joins import join_known_small
 from pulsekit.operators.hypothesis import welch_ttest
+from pulsekit.session import shared_dir
 
 INDEX_BITS = 12  # 4096 hash-prefix bins per group
 
@@ -136,6 +137,11 @@ def aa_samples(um: DataFrame, groups, iterations: int, n: int, seed: int, value:
         .withColumn("_rn", F.row_number().over(cell.orderBy("_j")))
         .withColumn("_distinct", F.count(F.lit(1)).over(cell))
     )
+    # Two consumers read the ranked draws (the sample and the short-cell check):
+    # materialize them once in the shared checkpoint folder, which also cuts the
+    # lineage a lost executor would otherwise recompute.
+    shared_dir(um.sparkSession)
+    draws = draws.checkpoint(eager=True)
     picked = draws.where((F.col("_distinct") >= n) & (F.col("_rn") <= n)).select("iteration", group, "idx")
     full_cells = draws.where(F.col("_distinct") >= n).select("iteration", group).distinct()
     short = grid.select("iteration", group).join(full_cells, ["iteration", group], "left_anti")
