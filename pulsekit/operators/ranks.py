@@ -25,6 +25,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsekit.session import shared_dir
+
 DEFAULT_BINS = 1024
 
 
@@ -60,6 +62,9 @@ def ranked_with_bins(df: DataFrame, keys: list[str], value: str, counts: dict[st
     counts = counts or {}
     aggs = [F.count(F.lit(1)).alias("n")] + [F.count_if(c).alias(name) for name, c in counts.items()]
     dv = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(*aggs)
+    # read twice (quantile edges, then ranking): materialize once in the shared checkpoint folder
+    shared_dir(df.sparkSession)
+    dv = dv.checkpoint(eager=True)
     binned = with_value_bin(dv, value, value_edges(dv, value, bins))
     bin_table = binned.groupBy(*keys, "_bin").agg(F.sum("n").alias("_bin_n")).select(
         *keys, "_bin", "_bin_n",
