@@ -168,3 +168,87 @@ def false_positive_rate(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
         F.count_if(F.col("p_value") <= alpha).alias("significant"),
         F.avg((F.col("p_value") <= alpha).cast("double")).alias("share"),
     )
+
+
+def bootstrap_means_multinomial(df: DataFrame, group: str, value: str, replicates: int, seed: int,
+                                key: str = "user_id", max_bin_rows: int = 50_000,
+                                replicate_chunk: int = 64) -> DataFrame:
+    """Bootstrap of the mean for very large groups, without shuffling draws.
+
+    Same distribution as drawing n values with replacement (per replicate the
+    multiplicities are Multinomial(n; 1/n, ..., 1/n)), generated in two levels
+    so that only (replicate, bin) counts travel: (1) per group, a multinomial
+    split of n over hash bins proportional to their sizes, for every
+    replicate (one task per group over at most 2^bits bin rows); (2) per
+    (group, bin), a multinomial split of each replicate's bin count over the
+    bin's users, next to those users (cogrouped ``applyInPandas``), weighted
+    sums per replicate out. Bins are sized from the group sizes so a bin holds
+    at most about ``max_bin_rows`` users, and replicates are processed in
+    chunks, so task memory is bounded. NumPy generators are seeded by (seed,
+    group, bin): the result does not depend on partitioning or retries. The
+    random stream differs from ``bootstrap_means`` (which has an SQL oracle).
+    """
+    import math as _math
+
+    vals = df.where(F.col(value).isNotNull()).select(group, key, F.col(value).cast("double").alias("_v"))
+    sizes_rows = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).collect()  # one row per group
+    largest = max([r["_n"] for r in sizes_rows] + [1])
+    bits = min(20, max(0, _math.ceil(_math.log2(max(1.0, largest / max_bin_rows)))))
+    binned = vals.withColumn("_bin", F.shiftright(stable_hash32(key), 32 - bits) if bits else F.lit(0).cast("long"))
+    bin_sizes = binned.groupBy(group, "_bin").agg(F.count(F.lit(1)).alias("_m"))
+    gtype = vals.schema[group].dataType.simpleString()
+    reps = int(replicates)
+    root_seed = int(seed)
+
+    def _gseed(g) -> int:
+        import hashlib
+        return int(hashlib.md5(str(g).encode()).hexdigest()[:8], 16)
+
+    def split_over_bins(pdf):
+        import numpy as np
+        import pandas as pd
+        pdf = pdf.sort_values("_bin")
+        g = pdf[group].iloc[0]
+        m = pdf["_m"].to_numpy(dtype=np.int64)
+        n = int(m.sum())
+        rng = np.random.default_rng([root_seed, _gseed(g), 1])
+        counts = rng.multinomial(n, m / n, size=reps)  # (replicates, bins)
+        r_idx, b_idx = np.nonzero(counts)
+        return pd.DataFrame({
+            group: np.repeat(g, len(r_idx)),
+            "replicate": r_idx.astype(np.int32),
+            "_bin": pdf["_bin"].to_numpy()[b_idx],
+            "_c": counts[r_idx, b_idx].astype(np.int64),
+        })
+
+    counts = bin_sizes.groupBy(group).applyInPandas(
+        split_over_bins, f"{group} {gtype}, replicate int, _bin long, _c long")
+
+    def within_bin(users, cnt):
+        import numpy as np
+        import pandas as pd
+        if len(users) == 0 or len(cnt) == 0:
+            return pd.DataFrame({group: [], "replicate": [], "_s": []})
+        users = users.sort_values(key)
+        cnt = cnt.sort_values("replicate")
+        g, b = users[group].iloc[0], int(users["_bin"].iloc[0])
+        v = users["_v"].to_numpy(dtype=float)
+        p = np.full(len(v), 1.0 / len(v))
+        rng = np.random.default_rng([root_seed, _gseed(g), 2, b])
+        c = cnt["_c"].to_numpy(dtype=np.int64)
+        sums = np.empty(len(c))
+        for start in range(0, len(c), replicate_chunk):
+            w = rng.multinomial(c[start:start + replicate_chunk], p)  # (chunk, users in bin)
+            sums[start:start + replicate_chunk] = w @ v
+        return pd.DataFrame({group: np.repeat(g, len(c)), "replicate": cnt["replicate"].to_numpy(), "_s": sums})
+
+    sums = (
+        binned.groupBy(group, "_bin").cogroup(counts.groupBy(group, "_bin"))
+        .applyInPandas(within_bin, f"{group} {gtype}, replicate int, _s double")
+    )
+    sizes = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    return (
+        sums.groupBy("replicate", group).agg(F.sum("_s").alias("_total"))
+        .join(F.broadcast(sizes), group)  # one row per group
+        .select("replicate", group, (F.col("_total") / F.col("_n")).alias("mean"))
+    )

@@ -317,3 +317,8 @@ def _ret_state(spark, sf_dir):
 def _dof_state(spark, sf_dir):
     lg, fs, _ = _state(spark, sf_dir)
     return US.dau_only_feed_from_state(lg.feed, fs, P.AS_OF)
+
+
+# bootstrap of the mean for very large arms (NumPy multinomial stream: rows-only, checked by tests)
+query("bootstrap_means_multinomial", rounded=True)(lambda s, d: RS.bootstrap_means_multinomial(
+    ab_users(s, d), "exp_group", "ctr", P.REPLICATES, P.SEED))

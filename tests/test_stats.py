@@ -184,3 +184,21 @@ def test_exact_u_distribution_matches_enumeration_and_is_used_for_small_tie_free
     u1 = 1 + 3 + 8  # values of b below each a value (0.5: {0}, 2.5: {0,1,2}, 7.5: {0..7})
     assert r["greater"]["u_stat"] == u1
     assert r["greater"]["p_value"] == pytest.approx(int(counts[u1:].sum()) / int(counts.sum()), abs=1e-15)
+
+
+def test_multinomial_bootstrap_matches_theory_and_is_partition_independent(spark):
+    rng = np.random.default_rng(1)
+    rows = [(g, g * 100000 + i, float(x)) for g in (1, 2) for i, x in enumerate(rng.exponential(1.0, 2000))]
+    df = spark.createDataFrame(rows, "exp_group int, user_id long, ctr double")
+    out = RS.bootstrap_means_multinomial(df, "exp_group", "ctr", 300, 42, max_bin_rows=300).toPandas()
+    again = RS.bootstrap_means_multinomial(df.repartition(1), "exp_group", "ctr", 300, 42,
+                                           max_bin_rows=300).toPandas()
+    key = ["exp_group", "replicate"]
+    assert np.allclose(out.sort_values(key)["mean"].to_numpy(), again.sort_values(key)["mean"].to_numpy(),
+                       rtol=0, atol=1e-12)
+    for g in (1, 2):
+        x = np.array([v for gg, _, v in rows if gg == g])
+        m = out[out.exp_group == g]["mean"].to_numpy()
+        assert len(m) == 300
+        assert abs(m.mean() - x.mean()) < 4 * math.sqrt(x.var() / len(x) / 300)
+        assert 0.7 < m.var(ddof=1) / (x.var() / len(x)) < 1.3
