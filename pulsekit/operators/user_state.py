@@ -147,3 +147,61 @@ def append_day_to_tables(spark: SparkSession, database: str, buckets: int, feed:
     write_state(new_first, new_sources, stage, mode="overwrite")
     staged_first, staged_sources = read_state(spark, stage)
     save_state_tables(spark, staged_first, staged_sources, database, buckets, mode="append")
+
+
+# ---------------------------------------------------------------- app daily actions from state
+def day_counts(feed: DataFrame, messages: DataFrame, first: date, last: date) -> DataFrame:
+    """Messages, likes and views per day for days first..last (one pushed-down range scan each)."""
+    msgs = messages.where(between_days("time", first, last)).groupBy(F.to_date("time").alias("date")).agg(
+        F.count("user_id").alias("messages"))
+    acts = feed.where(between_days("time", first, last)).groupBy(F.to_date("time").alias("date")).agg(
+        F.count_if(F.col("action") == "like").alias("likes"),
+        F.count_if(F.col("action") == "view").alias("views"),
+    )
+    return msgs.join(acts, "date", "full_outer").select(
+        "date", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("messages", "likes", "views")])
+
+
+def post_first_seen_initial(feed: DataFrame, as_of: date) -> DataFrame:
+    return feed.where(before_day_after("time", as_of)).groupBy("post_id").agg(F.min(F.to_date("time")).alias("start"))
+
+
+def post_first_seen_increment(post_first_seen: DataFrame, feed: DataFrame, day: date) -> DataFrame:
+    """Posts first seen on ``day`` (not yet in the state)."""
+    return (
+        feed.where(between_days("time", day, day)).select("post_id").distinct()
+        .join(post_first_seen.select("post_id"), "post_id", "left_anti")
+        .withColumn("start", F.lit(day))
+    )
+
+
+def write_daily_state(counts: DataFrame, posts: DataFrame, root: str) -> None:
+    """Replace the loaded days of the counts table; append new posts (idempotent, like the user state)."""
+    (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(f"{root}/day_counts"))
+    posts.select("post_id", "start").write.mode("append").partitionBy("start").parquet(f"{root}/post_first_seen")
+
+
+def read_daily_state(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    counts = spark.read.schema("messages bigint, likes bigint, views bigint, date date").parquet(f"{root}/day_counts")
+    posts = spark.read.schema("post_id int, start date").parquet(f"{root}/post_first_seen")
+    return counts.select("date", "messages", "likes", "views"), posts.select("post_id", "start")
+
+
+def update_daily_state(spark: SparkSession, root: str, feed: DataFrame, messages: DataFrame, day: date) -> None:
+    _, posts = read_daily_state(spark, root)
+    write_daily_state(day_counts(feed, messages, day, day), post_first_seen_increment(posts, feed, day), root)
+
+
+def app_daily_actions_from_state(counts: DataFrame, post_first_seen: DataFrame, as_of: date) -> DataFrame:
+    """Same rows as ``audience.app_daily_actions`` from the per-day counts and post state."""
+    posts = (
+        post_first_seen.where(F.col("start") < F.lit(as_of))
+        .groupBy(F.col("start").alias("date")).agg(F.count("post_id").alias("posts"))
+    )
+    return (
+        counts.where(F.col("date") < F.lit(as_of))
+        .join(posts, "date", "full_outer")
+        .select("date", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+                          for c in ("messages", "likes", "views", "posts")])
+    )

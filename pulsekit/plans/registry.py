@@ -322,3 +322,11 @@ def _dof_state(spark, sf_dir):
 # bootstrap of the mean for very large arms (NumPy multinomial stream: rows-only, checked by tests)
 query("bootstrap_means_multinomial", rounded=True)(lambda s, d: RS.bootstrap_means_multinomial(
     ab_users(s, d), "exp_group", "ctr", P.REPLICATES, P.SEED))
+
+
+@query("app_daily_actions_from_state")
+def _ada_state(spark, sf_dir):
+    from datetime import date as _date
+    lg = logs(spark, sf_dir)
+    counts = US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF)
+    return US.app_daily_actions_from_state(counts, US.post_first_seen_initial(lg.feed, P.AS_OF), P.AS_OF)

@@ -56,3 +56,21 @@ def test_bucketed_state_tables_join_without_shuffle(spark):
     plan = buf.getvalue()
     assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning(user_id" not in plan
+
+
+def test_incremental_daily_state_equals_full_history(spark):
+    lg = load_fixture_logs(spark, SF_MID)
+    as_of = date(2024, 1, 31)
+    root = shared_dir(spark, "daily-state")
+    backfill_to = date(2024, 1, 26)
+    US.write_daily_state(US.day_counts(lg.feed, lg.messages, date(2024, 1, 1), backfill_to),
+                         US.post_first_seen_initial(lg.feed, backfill_to), root)
+    day = backfill_to + timedelta(days=1)
+    while day < as_of:
+        US.update_daily_state(spark, root, lg.feed, lg.messages, day)
+        day += timedelta(days=1)
+    US.update_daily_state(spark, root, lg.feed, lg.messages, date(2024, 1, 29))  # retried day
+    counts, posts = US.read_daily_state(spark, root)
+    assert posts.count() == posts.select("post_id").distinct().count()
+    assert rows(US.app_daily_actions_from_state(counts, posts, as_of)) == rows(
+        audience.app_daily_actions(lg.feed, lg.messages, as_of))
