@@ -53,10 +53,19 @@ def test_entry_smoke(spark):
     assert df.count() == 9
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(oracle_sql()))
 def test_key_matches_oracle(spark, con, key):
-    got = queries()[key](spark, SF_SMALL).toPandas()
-    want = con.execute(oracle_sql()[key]).fetchdf()
+    sdf = queries()[key](spark, SF_SMALL)
+    rel = con.sql(oracle_sql()[key])
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
+    want = rel.fetchdf()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc
