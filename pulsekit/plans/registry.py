@@ -1,9 +1,9 @@
 """Registered queries: key -> callable(spark, sf_dir) -> DataFrame.
 
 Each callable derives the two logs from the tables in ``sf_dir`` and runs one
-operator with the default parameters of ``pulsekit.params``. Keys whose
-results are sums of doubles round float columns to 6 places (the oracle does
-the same) because summation order differs between engines.
+operator with the default parameters of ``pulsekit.params``. Keys with
+double columns round them to 6 places in a tie-stable way (``stable_round``;
+the oracle does the same) because summation order differs between engines.
 """
 
 from __future__ import annotations

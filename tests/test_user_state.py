@@ -74,3 +74,29 @@ def test_incremental_daily_state_equals_full_history(spark):
     assert posts.count() == posts.select("post_id").distinct().count()
     assert rows(US.app_daily_actions_from_state(counts, posts, as_of)) == rows(
         audience.app_daily_actions(lg.feed, lg.messages, as_of))
+
+
+def test_daily_jobs_backfill_and_rerun(spark):
+    from pulsekit.plans import daily
+    from pulsekit.sources import read_mart
+
+    lg = load_fixture_logs(spark, SF_MID)
+    mart_path = shared_dir(spark, "daily-mart")
+    root = shared_dir(spark, "daily-history")
+    US.write_state(*US.initial_state(lg.feed, lg.messages, date(2024, 1, 27)), root, mode="overwrite")
+    US.write_daily_state(US.day_counts(lg.feed, lg.messages, date(2024, 1, 1), date(2024, 1, 27)),
+                         US.post_first_seen_initial(lg.feed, date(2024, 1, 27)), root)
+    for as_of in (date(2024, 1, 29), date(2024, 1, 30), date(2024, 1, 31), date(2024, 1, 31)):  # last one: a retry
+        daily.load_daily_mart(spark, lg.feed, lg.messages, as_of, mart_path)
+        daily.update_history(spark, lg.feed, lg.messages, as_of, root)
+    mart = read_mart(spark, mart_path)
+    assert sorted(r[0].day for r in mart.select("event_date").distinct().collect()) == [28, 29, 30]
+    fs, us = US.read_state(spark, root)
+    as_of = date(2024, 1, 31)
+    assert rows(US.acquisition_from_state(fs, us, as_of)) == rows(
+        audience.acquisition_by_source(lg.feed, lg.messages, as_of))
+    counts, posts = US.read_daily_state(spark, root)
+    assert rows(US.app_daily_actions_from_state(counts, posts, as_of)) == rows(
+        audience.app_daily_actions(lg.feed, lg.messages, as_of))
+    assert set(daily.app_report(spark, lg.feed, lg.messages, as_of)) == {
+        "figures", "week", "heatmap", "retention_organic", "retention_ads"}
