@@ -140,9 +140,10 @@ def aa_samples(um: DataFrame, groups, iterations: int, n: int, seed: int, value:
     # Two consumers read the ranked draws (the sample and the short-cell check):
     # materialize them once in the shared checkpoint folder, which also cuts the
     # lineage a lost executor would otherwise recompute.
+    # (only ranks <= n are ever used, and every drawn cell keeps such rows with its count)
     shared_dir(um.sparkSession)
-    draws = draws.checkpoint(eager=True)
-    picked = draws.where((F.col("_distinct") >= n) & (F.col("_rn") <= n)).select("iteration", group, "idx")
+    draws = draws.where(F.col("_rn") <= n).select("iteration", group, "idx", "_distinct").checkpoint(eager=True)
+    picked = draws.where(F.col("_distinct") >= n).select("iteration", group, "idx")
     full_cells = draws.where(F.col("_distinct") >= n).select("iteration", group).distinct()
     short = grid.select("iteration", group).join(full_cells, ["iteration", group], "left_anti")
     fallback = (
