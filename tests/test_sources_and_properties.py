@@ -29,6 +29,21 @@ def test_read_log_from_namespaced_table_and_path(spark, tmp_path):
             read_log(spark, "global_temp.pk_feed_src", FEED_SCHEMA.add("nope", "int"))
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "orc"])
+def test_read_log_other_file_formats(spark, tmp_path, fmt):
+    feed = load_fixture_logs(spark, SF_SMALL).feed
+    path = str(tmp_path / f"feed_{fmt}")
+    writer = feed.write.format(fmt)
+    opts = {}
+    if fmt == "csv":  # keep microseconds (the CSV default pattern stops at milliseconds)
+        opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+        writer = writer.option("header", "true").options(**opts)
+    writer.save(path)
+    got = read_log(spark, path, FEED_SCHEMA, format=fmt, **opts)
+    assert [f.dataType for f in got.schema.fields] == [f.dataType for f in FEED_SCHEMA.fields]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, feed.collect()))
+
+
 def _mwu_brute(a, b):
     pooled = sorted(a + b)
     first = {}
