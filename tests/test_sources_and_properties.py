@@ -35,9 +35,11 @@ def test_read_log_other_file_formats(spark, tmp_path, fmt):
     path = str(tmp_path / f"feed_{fmt}")
     writer = feed.write.format(fmt)
     opts = {}
-    if fmt == "csv":  # keep microseconds (the CSV default pattern stops at milliseconds)
+    if fmt in ("csv", "json"):  # keep microseconds (the text default pattern stops at milliseconds)
         opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-        writer = writer.option("header", "true").options(**opts)
+        writer = writer.options(**opts)
+    if fmt == "csv":
+        writer = writer.option("header", "true")
     writer.save(path)
     got = read_log(spark, path, FEED_SCHEMA, format=fmt, **opts)
     assert [f.dataType for f in got.schema.fields] == [f.dataType for f in FEED_SCHEMA.fields]
