@@ -27,11 +27,31 @@ def load_daily_mart(spark: SparkSession, feed: DataFrame, messages: DataFrame, a
         write_mart_table(spark, mart, target)
 
 
+def _exists(read) -> bool:
+    from pyspark.errors import AnalysisException
+    try:
+        read()
+        return True
+    except AnalysisException:
+        return False
+
+
 def update_history(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date, root: str) -> None:
-    """Fold the day before ``as_of`` into the user and daily-count state under ``root``."""
+    """Fold the day before ``as_of`` into the user and daily-count state under ``root``.
+
+    The first run (no state yet) backfills the state from the whole history up
+    to that day in one batch job.
+    """
     day = as_of - timedelta(days=1)
-    US.update_state(spark, root, feed, messages, day)
-    US.update_daily_state(spark, root, feed, messages, day)
+    if _exists(lambda: US.read_state(spark, root)):
+        US.update_state(spark, root, feed, messages, day)
+    else:
+        US.write_state(*US.initial_state(feed, messages, day), root, mode="overwrite")
+    if _exists(lambda: US.read_daily_state(spark, root)):
+        US.update_daily_state(spark, root, feed, messages, day)
+    else:
+        US.write_daily_state(US.day_counts(feed, messages, date(1970, 1, 1), day),
+                             US.post_first_seen_initial(feed, day), root)
 
 
 def app_report(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date) -> dict[str, DataFrame]:
