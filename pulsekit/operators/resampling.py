@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsekit.functions.columns import poisson1_draw, stable_hash32, stable_uniform
 from pulsekit.functions.joins import join_known_small
@@ -47,6 +48,13 @@ def dense_index(df: DataFrame, group: str, key: str = "user_id", bits: int = IND
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Round-robin the (small) per-user rows over the shuffle partitions before
+    they are multiplied by replicates: AQE may have coalesced them into a few
+    partitions, which would leave the users x replicates work to a few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _total_rows(sizes: DataFrame, col: str = "_n") -> int:
     """Sum of per-group sizes (one row per group is fetched)."""
     return int(sum(r[col] for r in sizes.collect()))
@@ -59,7 +67,7 @@ def bootstrap_means(df: DataFrame, group: str, value: str, replicates: int, seed
     indexed = dense_index(vals, group, key)
     sizes = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))  # one row per group
     draws = (
-        indexed.select(group, F.col("idx").alias("_slot"))
+        _spread(indexed.select(group, F.col("idx").alias("_slot")))
         .join(F.broadcast(sizes), group)
         .select(group, "_n", "_slot", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
         .select(group, "replicate",
@@ -68,15 +76,19 @@ def bootstrap_means(df: DataFrame, group: str, value: str, replicates: int, seed
     # the indexed side has exactly sum(sizes) rows: one bounded summary row per group tells
     picked = join_known_small(draws, indexed.select(group, "idx", value), [group, "idx"],
                               small_rows=_total_rows(sizes))
-    return picked.groupBy("replicate", group).agg(F.avg(value).alias("mean"))
+    # exact decimal sums: a replicate's mean does not depend on summation order, so equal
+    # draws give equal means under any partitioning (rank tests over replicates see stable ties)
+    exact_sum = F.sum(F.col(value).cast(T.DecimalType(38, 12))).cast("double")
+    return picked.groupBy("replicate", group).agg((exact_sum / F.count(value)).alias("mean"))
 
 
 def poisson_bootstrap_ctr(um: DataFrame, replicates: int, seed: int, group: str = "exp_group") -> DataFrame:
     """Global CTR per (replicate, group) with Poisson(1) user weights."""
     w = poisson1_draw(stable_uniform(seed, "user_id", "replicate"))
     weighted = (
-        um.select(group, "user_id", "likes", "views",
-                  F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
+        _spread(um.select(group, "user_id", "likes", "views"))
+        .select(group, "user_id", "likes", "views",
+                F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
         .withColumn("_w", w)
     )
     return (
