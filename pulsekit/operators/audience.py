@@ -254,12 +254,16 @@ def retention_rate_by_source(feed: DataFrame, messages: DataFrame, as_of: date,
 
 
 def cohort_dau(feed: DataFrame, messages: DataFrame, as_of: date, source: str,
-               start_from: date, start_to: date) -> DataFrame:
-    """Daily active users of one acquisition cohort: users whose first day is
-    in [start_from, start_to], counted on each later day they are active
-    through ``source``."""
+               start_from: date, start_to: date, feed_only: bool = False) -> DataFrame:
+    """Daily active users of one acquisition cohort: users whose first day (over
+    both services) is in [start_from, start_to], counted on each day they are
+    active through ``source`` - in either service, or in the feed only."""
     cohort = with_first_day(activity_days(feed, messages, as_of)).where(
         (F.col("source") == source) & F.col("start").between(F.lit(start_from), F.lit(start_to)))
+    if feed_only:
+        active = _history(feed, as_of).where(F.col("source") == source).select(
+            "user_id", F.to_date("time").alias("action")).distinct()
+        cohort = active.join(cohort.select("user_id").distinct(), "user_id", "left_semi")
     return cohort.groupBy(F.col("action").alias("date")).agg(F.count_distinct("user_id").alias("dau"))
 
 

@@ -131,6 +131,8 @@ QUERIES["retention_rate_by_source"] = lambda s, d: round_doubles(
     _both(audience.retention_rate_by_source, cohorts=P.RETENTION_COHORTS)(s, d))
 QUERIES["ads_cohort_dau"] = _both(audience.cohort_dau, source="ads",
                                   start_from=P.CAMPAIGN_START, start_to=P.CAMPAIGN_END)
+QUERIES["ads_cohort_feed_dau"] = _both(audience.cohort_dau, source="ads", start_from=P.CAMPAIGN_START,
+                                       start_to=P.CAMPAIGN_END, feed_only=True)
 QUERIES["dau_drop_by_city"] = lambda s, d: round_doubles(_feed_only(audience.dau_change_by, dimension="city")(s, d))
 QUERIES["feed_report_latest"] = _feed_only(reports.feed_report_latest)
 QUERIES["app_report_latest"] = _both(reports.app_report_latest)
