@@ -53,8 +53,8 @@ def smoothed_ctr(um: DataFrame, alpha: float = 5.0) -> DataFrame:
     g = group_ctr(um).select("exp_group", F.col("global_ctr").alias("_g"))
     return (
         um.join(F.broadcast(g), "exp_group")
-        .withColumn("smoothed_ctr",
-                    (F.col("likes") + F.lit(alpha) * F.col("_g")) / (F.col("views") + F.lit(alpha)))
+        .withColumn("smoothed_ctr",  # alpha > 0 keeps the divisor positive; alpha = 0 falls back to NULL
+                    F.try_divide(F.col("likes") + F.lit(alpha) * F.col("_g"), F.col("views") + F.lit(alpha)))
         .drop("_g")
     )
 

@@ -113,7 +113,8 @@ def mann_whitney_u(df: DataFrame, group: str, value: str, pairs, alternatives=AL
     alt = F.col("alternative")
     u = F.when(alt == "greater", F.col("u_stat")).when(alt == "less", u2).otherwise(F.greatest(F.col("u_stat"), u2))
     total = na + nb
-    s = F.sqrt(na * nb / 12 * ((total + 1) - F.col("_tie") / (total * (total - 1))))
+    # NULL for a test with at most one value in total (no tie correction, no U)
+    s = F.sqrt(na * nb / 12 * ((total + 1) - F.try_divide(F.col("_tie"), total * (total - 1))))
     z = F.when(s > 0, (u - na * nb / 2 - 0.5) / s)
     factor = F.when(alt == "two-sided", F.lit(2.0)).otherwise(F.lit(1.0))
     exact = ((F.col("n_a") <= EXACT_MAX) | (F.col("n_b") <= EXACT_MAX)) & (F.col("_tie") == 0) \

@@ -129,3 +129,12 @@ def test_welch_zero_variance_different_means_follows_scipy(spark):
     out = {r["alternative"]: r for r in welch_ttest(df, "g", "v", [(1, 2)]).collect()}
     assert out["less"]["t_stat"] == float("-inf") and out["less"]["dof"] == 1.0
     assert (out["less"]["p_value"], out["greater"]["p_value"], out["two-sided"]["p_value"]) == (0.0, 1.0, 0.0)
+
+
+def test_single_value_tests_return_null_instead_of_failing(spark):
+    from pulsekit.operators.hypothesis import mann_whitney_u, welch_ttest
+    df = spark.createDataFrame([(1, 0.5)], "g int, v double")
+    m = mann_whitney_u(df, "g", "v", [(1, 2)]).collect()
+    assert len(m) == 3 and all(r["u_stat"] is None and r["p_value"] is None for r in m)
+    w = welch_ttest(df, "g", "v", [(1, 2)]).collect()
+    assert all(r["t_stat"] is None and r["p_value"] is None for r in w)
