@@ -82,7 +82,7 @@ def _fixture_base(events: DataFrame) -> DataFrame:
             uid.alias("user_id"),
             F.col("event_type"),
             F.col("ts").alias("time"),
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
+            F.get_json_object("props", "$.k").try_cast("int").alias("k"),
             (uid % 2).cast("int").alias("gender"),
             (13 + (uid * 7) % 60).cast("int").alias("age"),
             F.when(eid % 3 == 0, "iOS").otherwise("Android").alias("os"),
