@@ -169,10 +169,11 @@ def aa_samples(um: DataFrame, groups, iterations: int, n: int, seed: int, value:
     return sampled.select(cols).unionByName(fallback)
 
 
-def aa_simulation(um: DataFrame, a, b, iterations: int, n: int, seed: int, value: str = "ctr") -> DataFrame:
+def aa_simulation(um: DataFrame, a, b, iterations: int, n: int, seed: int, value: str = "ctr",
+                  group: str = "exp_group", key: str = "user_id") -> DataFrame:
     """Welch two-sided test of group a vs b on a fresh subsample per iteration."""
-    sample = aa_samples(um, (a, b), iterations, n, seed, value)
-    return welch_ttest(sample, "exp_group", value, [(a, b)], ["two-sided"], by=["iteration"])
+    sample = aa_samples(um, (a, b), iterations, n, seed, value, group, key)
+    return welch_ttest(sample, group, value, [(a, b)], ["two-sided"], by=["iteration"])
 
 
 def false_positive_rate(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
