@@ -138,3 +138,15 @@ def test_single_value_tests_return_null_instead_of_failing(spark):
     assert len(m) == 3 and all(r["u_stat"] is None and r["p_value"] is None for r in m)
     w = welch_ttest(df, "g", "v", [(1, 2)]).collect()
     assert all(r["t_stat"] is None and r["p_value"] is None for r in w)
+
+
+def test_merge_matches_null_keys_like_a_pandas_merge(spark):
+    feed = feed_df(spark, [feed_row(5, "view", ts(DAY), age=None), feed_row(5, "like", ts(DAY), age=None)])
+    msgs = msg_df(spark, [msg_row(5, 9, ts(DAY), age=None)])
+    merged = etl.user_daily_merged(feed, msgs, AS_OF).collect()
+    assert len(merged) == 1  # the null age matches on both sides
+    r = merged[0]
+    assert (r["age"], r["views"], r["likes"], r["messages_sent"], r["users_sent"]) == (None, 1, 1, 1, 1)
+    # and the mart's sums agree with summing the merged row
+    mart = {(m["dimension"], m["dimension_value"]): m for m in etl.metrics_mart(feed, msgs, AS_OF).collect()}
+    assert mart[("age", "65+")]["views"] == 1 and mart[("age", "65+")]["messages_sent"] == 1
