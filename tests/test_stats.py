@@ -202,3 +202,14 @@ def test_multinomial_bootstrap_matches_theory_and_is_partition_independent(spark
         assert len(m) == 300
         assert abs(m.mean() - x.mean()) < 4 * math.sqrt(x.var() / len(x) / 300)
         assert 0.7 < m.var(ddof=1) / (x.var() / len(x)) < 1.3
+
+
+def test_describe_approximate_quartiles_are_close(spark):
+    from pulsekit.operators import experiment as X
+    rng = random.Random(2)
+    df = spark.createDataFrame([(1, rng.random()) for _ in range(5000)], "g int, v double")
+    exact = X.describe(df, ["g"], ["v"]).collect()[0]
+    approx = X.describe(df, ["g"], ["v"], approx_accuracy=10000).collect()[0]
+    for q in ("q25", "q50", "q75"):
+        assert abs(exact[q] - approx[q]) < 0.01
+    assert exact["count"] == approx["count"] == 5000
