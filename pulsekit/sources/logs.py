@@ -26,6 +26,7 @@ class EventLogs:
 
 
 def read_log(spark: SparkSession, source: str, schema: T.StructType, format: str = "parquet",
+             date_partition: str | None = None, days: tuple[date, date] | None = None,
              **options) -> DataFrame:
     """Read a log from files, a (possibly namespaced) catalog table, or JDBC.
 
@@ -38,10 +39,15 @@ def read_log(spark: SparkSession, source: str, schema: T.StructType, format: str
     * otherwise ``source`` is a catalog table such as ``analytics.feed_actions``.
 
     Columns are selected by name and cast to the declared types, so a wider
-    or reordered source still yields the contract.
+    or reordered source still yields the contract. For logs stored
+    partitioned by a date column, ``date_partition`` and ``days`` (first,
+    last) restrict the read to those partitions (partition pruning; filters
+    on ``time`` alone cannot prune partitions).
     """
     if format == "jdbc":
         df = spark.read.format("jdbc").options(dbtable=source, **options).load()
+    elif "/" in source and date_partition:  # partition column discovered from the folder names
+        df = spark.read.format(format).options(**options).load(source)
     elif "/" in source:
         reader = spark.read.format(format).schema(schema)
         if format == "csv":
@@ -49,6 +55,8 @@ def read_log(spark: SparkSession, source: str, schema: T.StructType, format: str
         df = reader.options(**options).load(source)
     else:
         df = spark.table(source)
+    if date_partition and days:
+        df = df.where(F.col(date_partition).between(F.lit(days[0]), F.lit(days[1])))
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"{source} lacks columns {missing}")

@@ -81,3 +81,20 @@ def test_welch_statistic_matches_numpy(spark, a, b):
     t = (np.mean(a) - np.mean(b)) / math.sqrt(se2)
     assert r["t_stat"] == pytest.approx(t, rel=1e-6, abs=1e-9)
     assert 0.0 <= r["p_value"] <= 1.0
+
+
+def test_read_log_prunes_date_partitions(spark, tmp_path):
+    import io
+    from contextlib import redirect_stdout
+    from datetime import date
+
+    feed = load_fixture_logs(spark, SF_SMALL).feed
+    path = str(tmp_path / "feed_by_day")
+    feed.withColumn("dt", F.to_date("time")).write.partitionBy("dt").parquet(path)
+    got = read_log(spark, path, FEED_SCHEMA, date_partition="dt", days=(date(2024, 1, 24), date(2024, 1, 30)))
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        got.explain()
+    assert "PartitionFilters: [isnotnull(dt" in buf.getvalue()
+    want = feed.where(F.to_date("time").between(F.lit("2024-01-24").cast("date"), F.lit("2024-01-30").cast("date")))
+    assert got.count() == want.count()
