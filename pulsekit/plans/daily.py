@@ -36,19 +36,24 @@ def _exists(read) -> bool:
         return False
 
 
-def update_history(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date, root: str) -> None:
+def update_history(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date, root: str,
+                   day_feed: DataFrame | None = None, day_messages: DataFrame | None = None) -> None:
     """Fold the day before ``as_of`` into the user and daily-count state under ``root``.
 
-    The first run (no state yet) backfills the state from the whole history up
-    to that day in one batch job.
+    ``day_feed`` / ``day_messages`` (reads restricted to that day, e.g. by
+    partition pruning) serve the daily increment; the full logs are only read
+    by the first run, which backfills the state from the whole history up to
+    that day in one batch job.
     """
     day = as_of - timedelta(days=1)
+    inc_feed = feed if day_feed is None else day_feed
+    inc_messages = messages if day_messages is None else day_messages
     if _exists(lambda: US.read_state(spark, root)):
-        US.update_state(spark, root, feed, messages, day)
+        US.update_state(spark, root, inc_feed, inc_messages, day)
     else:
         US.write_state(*US.initial_state(feed, messages, day), root, mode="overwrite")
     if _exists(lambda: US.read_daily_state(spark, root)):
-        US.update_daily_state(spark, root, feed, messages, day)
+        US.update_daily_state(spark, root, inc_feed, inc_messages, day)
     else:
         US.write_daily_state(US.day_counts(feed, messages, date(1970, 1, 1), day),
                              US.post_first_seen_initial(feed, day), root)

@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
-from datetime import date
+from datetime import date, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -33,14 +33,22 @@ def main() -> None:
     ap.add_argument("--mart", required=True, help="folder or catalog table")
     ap.add_argument("--state", required=True, help="shared folder of the history state")
     ap.add_argument("--reports", help="shared folder for report data (Parquet per dataset)")
+    ap.add_argument("--date-partition", help="date partition column of the logs (enables partition pruning)")
     args = ap.parse_args()
 
     spark = SparkSession.builder.appName("pulsekit-daily").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     feed = read_log(spark, args.feed, FEED_SCHEMA, format=args.format)
     messages = read_log(spark, args.messages, MESSAGE_SCHEMA, format=args.format)
-    daily.load_daily_mart(spark, feed, messages, args.as_of, args.mart)
-    daily.update_history(spark, feed, messages, args.as_of, args.state)
+    day_feed, day_messages = feed, messages
+    if args.date_partition:  # the mart and the state update only need the processed day
+        day = args.as_of - timedelta(days=1)
+        day_feed = read_log(spark, args.feed, FEED_SCHEMA, format=args.format,
+                            date_partition=args.date_partition, days=(day, day))
+        day_messages = read_log(spark, args.messages, MESSAGE_SCHEMA, format=args.format,
+                                date_partition=args.date_partition, days=(day, day))
+    daily.load_daily_mart(spark, day_feed, day_messages, args.as_of, args.mart)
+    daily.update_history(spark, feed, messages, args.as_of, args.state, day_feed, day_messages)
     if args.reports:
         datasets = {**daily.app_report(spark, feed, messages, args.as_of),
                     **{f"feed_{k}": v for k, v in daily.feed_report(feed, args.as_of).items()}}
