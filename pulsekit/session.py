@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # operators checkpoint intermediate tables (ranks, A/A draws) into the shared
+    # folder; remove those files once the checkpointed data is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
