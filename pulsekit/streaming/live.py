@@ -68,3 +68,20 @@ def run_live_feed_metrics(spark: SparkSession, events_dir: str, window: str = "1
     )
     query.awaitTermination()
     return spark.read.parquet(out)
+
+
+def start_live_feed_metrics(spark: SparkSession, events_dir: str, out_path: str, checkpoint_path: str,
+                            window: str = "1 hour", delay: str = "10 minutes", every: str = "1 minute",
+                            glob: str = "events*.parquet"):
+    """Start the live query for good: micro-batches every ``every``, closed
+    windows appended to ``out_path`` (Parquet), progress in ``checkpoint_path``
+    (both in shared storage, so a restarted job resumes where it stopped).
+    Returns the ``StreamingQuery``."""
+    events = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob).parquet(events_dir)
+    metrics = live_feed_metrics(logs_from_events(events).feed, window, delay)
+    return (
+        metrics.writeStream.outputMode("append").format("parquet")
+        .option("path", out_path).option("checkpointLocation", checkpoint_path)
+        .trigger(processingTime=every)
+        .start()
+    )
