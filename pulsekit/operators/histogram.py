@@ -64,3 +64,25 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int, by: list[str] |
         (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
         "n",
     )
+
+
+def auto_bin_count(df: DataFrame, value: str) -> int:
+    """numpy's ``bins='auto'`` rule as of NumPy 1.x (what the reference's
+    plots used): width = min(Freedman-Diaconis, Sturges), or Sturges alone
+    when the interquartile range is 0. (NumPy 2 relaxes the FD width to at
+    least half the square-root rule.) Uses one bounded summary (n, min, max
+    and the exact quartiles)."""
+    import math
+
+    from pulsekit.operators.ranks import exact_quantiles
+
+    base = df.where(F.col(value).isNotNull()).select(F.lit(0).alias("_k"), F.col(value).cast("double").alias("_v"))
+    q = {r["q"]: r["quantile"] for r in exact_quantiles(base, ["_k"], "_v", [0.25, 0.75]).collect()}
+    row = base.agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()[0]
+    n, lo, hi = row["n"], row["lo"], row["hi"]
+    if not n or hi == lo:
+        return 1
+    sturges = (hi - lo) / (math.log2(n) + 1.0)
+    fd = 2.0 * (q[0.75] - q[0.25]) * n ** (-1.0 / 3.0)
+    width = min(fd, sturges) if fd > 0 else sturges
+    return max(1, int(math.ceil((hi - lo) / width)))

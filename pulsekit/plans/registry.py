@@ -332,3 +332,13 @@ def _ada_state(spark, sf_dir):
     lg = logs(spark, sf_dir)
     counts = US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF)
     return US.app_daily_actions_from_state(counts, US.post_first_seen_initial(lg.feed, P.AS_OF), P.AS_OF)
+
+
+def _aa_ctr_histogram(s, d):
+    """The A/A CTR histogram with seaborn's automatic bins, edges shared by both groups."""
+    from pulsekit.operators.histogram import auto_bin_count
+    um = user_metrics(s, d, P.AA_GROUPS)
+    return equal_width_histogram(um, "ctr", auto_bin_count(um, "ctr"), by=["exp_group"])
+
+
+query("aa_ctr_histogram", rounded=True)(_aa_ctr_histogram)

@@ -213,3 +213,21 @@ def test_describe_approximate_quartiles_are_close(spark):
     for q in ("q25", "q50", "q75"):
         assert abs(exact[q] - approx[q]) < 0.01
     assert exact["count"] == approx["count"] == 5000
+
+
+def test_auto_bin_count_follows_numpy_1_rule(spark):
+    from pulsekit.operators.histogram import auto_bin_count
+    rng = np.random.default_rng(4)
+    for values in (rng.beta(2, 8, 700), rng.exponential(1.0, 50), np.array([0.1, 0.1, 0.1, 0.4]),
+                   np.round(rng.random(300), 2)):
+        df = spark.createDataFrame([(float(v),) for v in values], "v double")
+        # NumPy 1.x 'auto': min(FD, Sturges), Sturges alone when the IQR is 0
+        ptp = values.max() - values.min()
+        sturges = ptp / (np.log2(values.size) + 1.0)
+        iqr = np.subtract(*np.percentile(values, [75, 25]))
+        fd = 2.0 * iqr * values.size ** (-1.0 / 3.0)
+        width = min(fd, sturges) if fd else sturges
+        expected = int(np.ceil(ptp / width)) if ptp else 1
+        assert auto_bin_count(df, "v") == expected
+        if fd >= ptp / np.sqrt(values.size) / 2:  # where NumPy 2 agrees with the 1.x rule
+            assert expected == len(np.histogram_bin_edges(values, bins="auto")) - 1
