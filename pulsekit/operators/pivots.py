@@ -38,9 +38,14 @@ def activity_heatmap(feed: DataFrame, messages: DataFrame, as_of: date, days: in
 
 def retention_matrix(feed: DataFrame, messages: DataFrame, as_of: date, source: str, days: int = 7) -> DataFrame:
     """Rows = cohort start (date and label), columns = action day, cells = users, for one source."""
+    return retention_matrix_from(audience.retention_cohorts(feed, messages, as_of, days), as_of, source, days)
+
+
+def retention_matrix_from(cohorts: DataFrame, as_of: date, source: str, days: int = 7) -> DataFrame:
+    """The retention matrix from a (action, start, source, users) cohort table."""
     labels = [day_label(x) for x in day_range(as_of - timedelta(days=days), as_of)]
     cells = (
-        audience.retention_cohorts(feed, messages, as_of, days)
+        cohorts
         .where(F.col("source") == source)
         .withColumn("action_label", F.date_format("action", LABEL_FORMAT))
         .withColumn("start_label", F.date_format("start", LABEL_FORMAT))

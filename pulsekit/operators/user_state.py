@@ -205,3 +205,41 @@ def app_daily_actions_from_state(counts: DataFrame, post_first_seen: DataFrame,
         .select("date", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
                           for c in ("messages", "likes", "views", "posts")])
     )
+
+
+def dau_only_messenger_from_state(messages: DataFrame, first_seen: DataFrame, as_of: date, days: int = 7) -> DataFrame:
+    """Same rows as ``audience.dau_only_messenger`` without rescanning the feed history."""
+    from pulsekit.operators.audience import ONLY_MESSENGER, trailing_window
+    first, last = trailing_window(as_of, days)
+    feeders = first_seen.where((F.col("service") == FEED) & (F.col("start") <= F.lit(as_of))).select("user_id")
+    window = messages.where(between_days("time", first, last))
+    only = (
+        window.select(F.to_date("time").alias("date"), "user_id").distinct()
+        .join(feeders, "user_id", "left_anti")
+        .groupBy("date").agg(F.count("user_id").alias("dau"))
+    )
+    active_days = window.select(F.to_date("time").alias("date")).distinct()
+    return only.join(active_days, "date", "full_outer").select(
+        "date", F.lit(ONLY_MESSENGER).alias("app"), F.coalesce("dau", F.lit(0)).cast("bigint").alias("dau"))
+
+
+def dau_segments_from_state(feed: DataFrame, messages: DataFrame, first_seen: DataFrame, as_of: date,
+                            days: int = 7) -> DataFrame:
+    """Same rows as ``audience.dau_segments``: the window logs plus the first-seen state."""
+    from pulsekit.operators.audience import dau_both_services
+    return (
+        dau_both_services(feed, messages, as_of, days)  # needs the window only
+        .unionByName(dau_only_feed_from_state(feed, first_seen, as_of, days))
+        .unionByName(dau_only_messenger_from_state(messages, first_seen, as_of, days))
+    )
+
+
+def app_report_from_state(feed: DataFrame, messages: DataFrame, first_seen: DataFrame, user_sources: DataFrame,
+                          counts: DataFrame, post_first_seen: DataFrame, as_of: date, days: int = 7) -> DataFrame:
+    """Same rows as ``reports.app_report_latest``, reading only the window of logs plus state."""
+    from pulsekit.plans.reports import app_report_figures
+    return app_report_figures(
+        acquisition_from_state(first_seen, user_sources, as_of),
+        dau_segments_from_state(feed, messages, first_seen, as_of, days),
+        app_daily_actions_from_state(counts, post_first_seen, as_of),
+    )

@@ -59,16 +59,31 @@ def update_history(spark: SparkSession, feed: DataFrame, messages: DataFrame, as
                              US.post_first_seen_initial(feed, day), root)
 
 
-def app_report(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date) -> dict[str, DataFrame]:
-    """Data of the app report job: figures, weekly series and the three matrices."""
+def app_report(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date,
+               state_root: str | None = None) -> dict[str, DataFrame]:
+    """Data of the app report job: figures, weekly series and the three matrices.
+
+    With ``state_root`` (kept current by ``update_history``), the figures and
+    retention matrices come from the state, so ``feed`` / ``messages`` need to
+    cover only the last 8 days; without it, they must cover the whole history.
+    """
     from pulsekit.operators import pivots
-    return {
-        "figures": reports.app_report_latest(feed, messages, as_of),
-        "week": reports.app_week_series(feed, messages, as_of),
-        "heatmap": pivots.activity_heatmap(feed, messages, as_of),
-        "retention_organic": pivots.retention_matrix(feed, messages, as_of, "organic"),
-        "retention_ads": pivots.retention_matrix(feed, messages, as_of, "ads"),
-    }
+    out = {"heatmap": pivots.activity_heatmap(feed, messages, as_of)}
+    if state_root is not None:
+        first_seen, sources = US.read_state(spark, state_root)
+        counts, posts = US.read_daily_state(spark, state_root)
+        cohorts = US.retention_from_state(feed, messages, first_seen, as_of)
+        out["figures"] = US.app_report_from_state(feed, messages, first_seen, sources, counts, posts, as_of)
+        acts = US.app_daily_actions_from_state(counts, posts, as_of)
+        out["week"] = reports.week_series_from(acts, as_of)
+    else:
+        from pulsekit.operators import audience
+        cohorts = audience.retention_cohorts(feed, messages, as_of)
+        out["figures"] = reports.app_report_latest(feed, messages, as_of)
+        out["week"] = reports.app_week_series(feed, messages, as_of)
+    out["retention_organic"] = pivots.retention_matrix_from(cohorts, as_of, "organic")
+    out["retention_ads"] = pivots.retention_matrix_from(cohorts, as_of, "ads")
+    return out
 
 
 def feed_report(feed: DataFrame, as_of: date) -> dict[str, DataFrame]:

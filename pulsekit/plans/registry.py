@@ -342,3 +342,19 @@ def _aa_ctr_histogram(s, d):
 
 
 query("aa_ctr_histogram", rounded=True)(_aa_ctr_histogram)
+
+
+
+@query("dau_segments_from_state")
+def _dau_state(spark, sf_dir):
+    lg, fs, _ = _state(spark, sf_dir)
+    return US.dau_segments_from_state(lg.feed, lg.messages, fs, P.AS_OF)
+
+
+@query("app_report_from_state")
+def _app_report_state(spark, sf_dir):
+    from datetime import date as _date
+    lg, fs, us = _state(spark, sf_dir)
+    counts = US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF)
+    return US.app_report_from_state(lg.feed, lg.messages, fs, us, counts,
+                                    US.post_first_seen_initial(lg.feed, P.AS_OF), P.AS_OF)

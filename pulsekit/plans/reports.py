@@ -38,10 +38,15 @@ def app_report_latest(feed: DataFrame, messages: DataFrame, as_of: date, days: i
     source use the newest cohort day in the acquisition table; a source
     without new users that day reports 0.
     """
-    acq = audience.acquisition_by_source(feed, messages, as_of)
-    dau = audience.dau_segments(feed, messages, as_of, days)
-    acts = audience.app_daily_actions(feed, messages, as_of)
+    return app_report_figures(
+        audience.acquisition_by_source(feed, messages, as_of),
+        audience.dau_segments(feed, messages, as_of, days),
+        audience.app_daily_actions(feed, messages, as_of),
+    )
+
 
+def app_report_figures(acq: DataFrame, dau: DataFrame, acts: DataFrame) -> DataFrame:
+    """The twelve figures from the acquisition, DAU-segment and daily-action tables."""
     def zsum(cond, col):
         return F.coalesce(F.sum(F.when(cond, F.col(col))), F.lit(0))
 
@@ -83,7 +88,11 @@ def app_report_latest(feed: DataFrame, messages: DataFrame, as_of: date, days: i
 
 def app_week_series(feed: DataFrame, messages: DataFrame, as_of: date, days: int = 7) -> DataFrame:
     """Views, likes, posts and messages of the last ``days`` days with a 'dd MMM' label."""
-    acts = audience.app_daily_actions(feed, messages, as_of)
+    return week_series_from(audience.app_daily_actions(feed, messages, as_of), as_of, days)
+
+
+def week_series_from(acts: DataFrame, as_of: date, days: int = 7) -> DataFrame:
+    """The weekly series from a daily-actions table."""
     return acts.where(F.col("date") >= F.lit(as_of - timedelta(days=days))).select(
         "date", F.date_format("date", SERIES_FORMAT).alias("label"), "views", "likes", "posts", "messages",
         F.format_number("views", 0).alias("views_label"), F.format_number("likes", 0).alias("likes_label"))

@@ -50,8 +50,15 @@ def main() -> None:
     daily.load_daily_mart(spark, day_feed, day_messages, args.as_of, args.mart)
     daily.update_history(spark, feed, messages, args.as_of, args.state, day_feed, day_messages)
     if args.reports:
-        datasets = {**daily.app_report(spark, feed, messages, args.as_of),
-                    **{f"feed_{k}": v for k, v in daily.feed_report(feed, args.as_of).items()}}
+        recent_feed, recent_messages = feed, messages
+        if args.date_partition:  # with the state, the reports need only the last 8 days of logs
+            window = (args.as_of - timedelta(days=8), args.as_of)
+            recent_feed = read_log(spark, args.feed, FEED_SCHEMA, format=args.format,
+                                   date_partition=args.date_partition, days=window)
+            recent_messages = read_log(spark, args.messages, MESSAGE_SCHEMA, format=args.format,
+                                       date_partition=args.date_partition, days=window)
+        datasets = {**daily.app_report(spark, recent_feed, recent_messages, args.as_of, state_root=args.state),
+                    **{f"feed_{k}": v for k, v in daily.feed_report(recent_feed, args.as_of).items()}}
         for name, df in datasets.items():
             df.write.mode("overwrite").parquet(f"{args.reports}/{args.as_of.isoformat()}/{name}")
 
