@@ -2,6 +2,8 @@
 
 from datetime import date, timedelta
 
+from pyspark.sql import functions as F
+
 from pulsekit.operators import audience
 from pulsekit.operators import user_state as US
 from pulsekit.session import shared_dir
@@ -98,5 +100,9 @@ def test_daily_jobs_backfill_and_rerun(spark):
     counts, posts = US.read_daily_state(spark, root)
     assert rows(US.app_daily_actions_from_state(counts, posts, as_of)) == rows(
         audience.app_daily_actions(lg.feed, lg.messages, as_of))
-    assert set(daily.app_report(spark, lg.feed, lg.messages, as_of)) == {
-        "figures", "week", "heatmap", "retention_organic", "retention_ads"}
+    full = daily.app_report(spark, lg.feed, lg.messages, as_of)
+    recent = [log.where(F.to_date("time") >= F.lit(date(2024, 1, 23))) for log in (lg.feed, lg.messages)]
+    from_state = daily.app_report(spark, *recent, as_of, state_root=root)  # 8 days of logs + state
+    assert set(full) == set(from_state) == {"figures", "week", "heatmap", "retention_organic", "retention_ads"}
+    for name in full:
+        assert rows(from_state[name]) == rows(full[name]), name
