@@ -2,7 +2,7 @@
 
 Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
 and prints one JSON line. Each query runs to completion through the no-op
-sink (the whole plan executes, nothing is collected); each is run twice and
+sink (the whole plan executes, nothing is collected); each is run three times and
 the faster run is reported, to damp scheduling noise on a shared host. Resampling runs at the
 reference's sizes: 2,000 replicates and 10,000 A/A iterations, with the A/A
 sample scaled from 500 of about 4,300 users to the fixture's group size.
@@ -78,7 +78,7 @@ def main() -> None:
     times: dict[str, float] = {}
     for name, build in plans.items():
         runs = []
-        for _ in range(2):
+        for _ in range(3):
             t0 = time.perf_counter()
             build().write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
