@@ -18,14 +18,30 @@ from pulsekit.sources.logs import logs_from_events
 from pulsekit.sources.schemas import EVENTS_SCHEMA
 
 
+def _epoch_ntz():
+    # a typed NTZ literal: F.lit(datetime) would be a zone-aware TIMESTAMP
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+
+
+def _ntz_to_instant(c):
+    """The instant whose UTC rendering is the wall-clock value (independent of the session zone)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
+
+
+def _instant_to_ntz(c):
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
+
+
 def live_feed_metrics(feed: DataFrame, window: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     """Windowed feed KPIs; works on a streaming or a batch feed frame.
 
     ``time`` is a wall-clock TIMESTAMP_NTZ; watermarks need TIMESTAMP, so it is
-    reinterpreted in the session time zone (UTC) and cast back on output.
+    mapped to the instant with the same UTC rendering by epoch arithmetic (a
+    plain cast would go through the session time zone and shift the window
+    grid in zones with a fractional-hour offset), and mapped back on output.
     """
     return (
-        feed.withColumn("event_time", F.col("time").cast("timestamp"))
+        feed.withColumn("event_time", _ntz_to_instant(F.col("time")))
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", window))
         .agg(
@@ -35,8 +51,8 @@ def live_feed_metrics(feed: DataFrame, window: str = "1 hour", delay: str = "10
             F.approx_count_distinct("user_id").alias("active_users_approx"),
         )
         .select(
-            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            _instant_to_ntz(F.col("window.start")).alias("window_start"),
+            _instant_to_ntz(F.col("window.end")).alias("window_end"),
             "views", "likes", "events",
             F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double")).alias("ctr"),
             "active_users_approx",

@@ -99,3 +99,19 @@ def test_continuous_live_query_matches_the_available_now_run(spark):
     once = run_live_feed_metrics(spark, SF_SMALL, glob="events.parquet")
     cols = ["window_start", "views", "likes", "events"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, once.select(cols).collect()))
+
+
+def test_live_windows_do_not_depend_on_the_session_time_zone(spark):
+    feed = load_fixture_logs(spark, SF_SMALL).feed
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    try:
+        results = []
+        for tz in ("UTC", "Asia/Kolkata"):  # a fractional-hour offset would shift a cast-based window grid
+            spark.conf.set(key, tz)
+            results.append(sorted(map(tuple, live_feed_metrics(feed).select(
+                "window_start", "window_end", "views", "likes").collect())))
+    finally:
+        spark.conf.set(key, before)
+    assert results[0] == results[1]
+    assert all(r[0].minute == 0 for r in results[0])
