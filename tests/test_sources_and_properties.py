@@ -12,7 +12,7 @@ from pulsekit.operators.hypothesis import mann_whitney_u, welch_ttest
 from pulsekit.sources import FEED_SCHEMA, load_fixture_logs, read_log
 from tests.conftest import SF_SMALL
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck), derandomize=True)
 
 
 def test_read_log_from_namespaced_table_and_path(spark, tmp_path):
