@@ -157,9 +157,10 @@ def day_counts(feed: DataFrame, messages: DataFrame, first: date, last: date) ->
     acts = feed.where(between_days("time", first, last)).groupBy(F.to_date("time").alias("date")).agg(
         F.count_if(F.col("action") == "like").alias("likes"),
         F.count_if(F.col("action") == "view").alias("views"),
+        F.count_distinct("user_id").alias("feed_dau"),
     )
     return msgs.join(acts, "date", "full_outer").select(
-        "date", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("messages", "likes", "views")])
+        "date", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("messages", "likes", "views", "feed_dau")])
 
 
 def post_first_seen_initial(feed: DataFrame, as_of: date) -> DataFrame:
@@ -183,9 +184,10 @@ def write_daily_state(counts: DataFrame, posts: DataFrame, root: str) -> None:
 
 
 def read_daily_state(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    counts = spark.read.schema("messages bigint, likes bigint, views bigint, date date").parquet(f"{root}/day_counts")
+    counts = spark.read.schema("messages bigint, likes bigint, views bigint, feed_dau bigint, date date").parquet(
+        f"{root}/day_counts")
     posts = spark.read.schema("post_id int, start date").parquet(f"{root}/post_first_seen")
-    return counts.select("date", "messages", "likes", "views"), posts.select("post_id", "start")
+    return counts.select("date", "messages", "likes", "views", "feed_dau"), posts.select("post_id", "start")
 
 
 def update_daily_state(spark: SparkSession, root: str, feed: DataFrame, messages: DataFrame, day: date) -> None:
@@ -243,3 +245,11 @@ def app_report_from_state(feed: DataFrame, messages: DataFrame, first_seen: Data
         dau_segments_from_state(feed, messages, first_seen, as_of, days),
         app_daily_actions_from_state(counts, post_first_seen, as_of),
     )
+
+
+def feed_history_from_state(counts: DataFrame, as_of: date) -> DataFrame:
+    """Same rows as ``audience.feed_history_metrics`` from the per-day counts
+    (days without feed activity are not rows there either)."""
+    return counts.where((F.col("date") < F.lit(as_of)) & ((F.col("views") + F.col("likes")) > 0)).select(
+        "date", F.col("feed_dau").alias("dau"), "views", "likes",
+        F.bround(F.try_divide((F.col("likes") * 100).cast("double"), F.col("views").cast("double")), 1).alias("ctr"))

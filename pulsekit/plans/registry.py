@@ -358,3 +358,11 @@ def _app_report_state(spark, sf_dir):
     counts = US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF)
     return US.app_report_from_state(lg.feed, lg.messages, fs, us, counts,
                                     US.post_first_seen_initial(lg.feed, P.AS_OF), P.AS_OF)
+
+
+
+@query("feed_history_from_state")
+def _feed_history_state(spark, sf_dir):
+    from datetime import date as _date
+    lg = logs(spark, sf_dir)
+    return US.feed_history_from_state(US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF), P.AS_OF)
