@@ -242,6 +242,11 @@ def retention_rate_by_source(feed: DataFrame, messages: DataFrame, as_of: date,
         .groupBy("start", "source", "action")
         .agg(F.count("user_id").alias("users"))
     )
+    return retention_rate_from_counts(counts)
+
+
+def retention_rate_from_counts(counts: DataFrame) -> DataFrame:
+    """Rates from (start, source, action, users) cohort counts."""
     sizes = counts.where(F.col("action") == F.col("start")).select(
         "start", "source", F.col("users").alias("cohort_size"))
     return counts.join(sizes, ["start", "source"], "left").select(

@@ -253,3 +253,11 @@ def feed_history_from_state(counts: DataFrame, as_of: date) -> DataFrame:
     return counts.where((F.col("date") < F.lit(as_of)) & ((F.col("views") + F.col("likes")) > 0)).select(
         "date", F.col("feed_dau").alias("dau"), "views", "likes",
         F.bround(F.try_divide((F.col("likes") * 100).cast("double"), F.col("views").cast("double")), 1).alias("ctr"))
+
+
+def retention_rate_from_state(feed: DataFrame, messages: DataFrame, first_seen: DataFrame, as_of: date,
+                              cohorts: int = 20) -> DataFrame:
+    """Same rows as ``audience.retention_rate_by_source``, reading only the last ``cohorts`` + 1 days of logs."""
+    from pulsekit.operators.audience import retention_rate_from_counts
+    counts = retention_from_state(feed, messages, first_seen, as_of, cohorts).where(F.col("start") < F.lit(as_of))
+    return retention_rate_from_counts(counts.select("start", "source", "action", "users"))

@@ -366,3 +366,10 @@ def _feed_history_state(spark, sf_dir):
     from datetime import date as _date
     lg = logs(spark, sf_dir)
     return US.feed_history_from_state(US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF), P.AS_OF)
+
+
+
+@query("retention_rate_from_state", rounded=True)
+def _rate_state(spark, sf_dir):
+    lg, fs, _ = _state(spark, sf_dir)
+    return US.retention_rate_from_state(lg.feed, lg.messages, fs, P.AS_OF, P.RETENTION_COHORTS)
