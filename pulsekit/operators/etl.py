@@ -10,8 +10,9 @@ shuffled per user). Only the messenger side is aggregated per user, because
 distinct receivers/senders and the received-side join (users who only
 receive are dropped, a two-OS sender counts received messages per OS row)
 are per-user semantics. Plan: two pruned one-day scans -> per-user
-messenger aggregates and their join -> union with feed rows -> fan-out to
-the three slices -> one partial/final aggregate.
+messenger aggregates and their join -> union with feed rows -> one
+partial/final aggregate per (day, os, gender, age) -> fan-out of those cells
+to the three slices -> a small second aggregate.
 """
 
 from __future__ import annotations
@@ -136,15 +137,16 @@ def _dimension_value(dim: str):
 def metrics_by_dimensions(merged: DataFrame, dimensions=DIMENSIONS) -> DataFrame:
     """Long-form mart rows for several slice dimensions in one aggregation.
 
-    Each merged row is fanned out once per dimension as (dimension,
-    dimension_value); null slice values are dropped (a pandas groupby drops
+    Rows are summed per (day, os, gender, age) first; the few cells are then
+    fanned out once per dimension as (dimension, dimension_value). Null slice values are dropped (a pandas groupby drops
     null keys); the six metrics are summed by name.
     """
     pairs = F.array(*[
         F.struct(F.lit(d).alias("dimension"), _dimension_value(d).alias("dimension_value"))
         for d in dimensions
     ])
-    fanned = merged.select(
+    cells = merged.groupBy("event_date", "os", "gender", "age").agg(*[F.sum(m).alias(m) for m in MART_METRICS])
+    fanned = cells.select(
         "event_date", F.inline(pairs), *[F.col(m) for m in MART_METRICS]
     ).where(F.col("dimension_value").isNotNull())
     return fanned.groupBy("event_date", "dimension", "dimension_value").agg(

@@ -18,6 +18,8 @@ def _ranges(df: DataFrame, value: str, edges_by: list[str]) -> list[tuple[tuple,
     rows = df.groupBy(*edges_by).agg(F.min(value).alias("lo"), F.max(value).alias("hi")).collect()
     out = []
     for r in rows:
+        if r["lo"] is None:  # no rows at all
+            continue
         lo, hi = float(r["lo"]), float(r["hi"])
         if lo == hi:
             lo, hi = lo - 0.5, hi + 0.5
@@ -44,10 +46,11 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int, by: list[str] |
     """Counts per (by..., bin) with columns bin, bin_lo, bin_hi, n.
 
     ``edges_by`` (a subset of ``by``) selects which rows share edges; rows
-    with a null value are not counted.
+    with a null, NaN or infinite value are not counted; no rows give no bins.
     """
     by, edges_by = list(by), list(edges_by)
-    base = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    finite = F.abs(F.col(value).cast("double")) < F.lit(float("inf"))  # null and NaN are not
+    base = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & finite)
     ranges = _ranges(base, value, edges_by)
     lo, hi = _pick(edges_by, ranges, 1), _pick(edges_by, ranges, 2)
     x = F.col(value).cast("double")

@@ -19,6 +19,8 @@ recomputed partition draws the same numbers.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,12 +109,12 @@ def replicate_difference(boot: DataFrame, control, test, group: str = "exp_group
     return wide.withColumn("diff", F.col("ctr_test") - F.col("ctr_control"))
 
 
-def draw_budget(n: int, size):
-    """Draws per (iteration, group) so that n distinct indices out of ``size`` are
-    almost surely among them: 1.2 x the mean of the geometric bound
-    n * N / (N - n), plus 20 (integer arithmetic, identical in any engine).
-    Zero when the group is not larger than the sample."""
-    return F.when(size > n, F.floor((12 * n * size) / (10 * (size - n))) + 20).otherwise(F.lit(0)).cast("int")
+def draw_budget(m: int, size: int) -> int:
+    """Draws after which ``m`` distinct indices out of ``size`` (m at most half
+    of size) have come up but for a chance below 1e-20: the mean number of
+    draws, size * ln(size / (size - m)), and ten deviations beyond it."""
+    mean = size * math.log(size / (size - m))
+    return math.ceil(mean + 10 * math.sqrt(mean) + 50)
 
 
 def aa_samples(um: DataFrame, groups, iterations: int, n: int, seed: int, value: str = "ctr",
@@ -121,52 +123,52 @@ def aa_samples(um: DataFrame, groups, iterations: int, n: int, seed: int, value:
 
     Sequential draws with duplicates rejected give a uniform sample without
     replacement: draw j of a cell picks dense index floor(u(seed, iteration,
-    group, j) * N), and the first n distinct indices (by j) are the sample.
-    The work is iterations x (about n) draws instead of iterations x N, and
-    because draws are generated after hash-partitioning the small (iteration,
-    group) grid, both windows below run without a further shuffle. A cell
-    whose draws hold fewer than n distinct users (rare by construction, or a
-    group not larger than n) is sampled instead by ranking all its users by
-    an independent hash, so every cell is exact; a group smaller than n
-    contributes all of its users.
+    group, j) * N), and the first m distinct indices (by j) are drawn. m is n,
+    or, when n is more than half of the group, the N - n users left out, so a
+    cell never needs more than about 1.4 m draws. The draws of a cell are
+    generated after hash-partitioning the small (iteration, group) grid, so
+    the windows run without a further shuffle. A group of fewer than n users
+    is an error, as it is for a sample without replacement.
     """
     vals = um.where(F.col(group).isin(list(groups)) & F.col(value).isNotNull()).select(group, key, value)
+    sizes = {r[group]: r["_N"] for r in vals.groupBy(group).agg(F.count(F.lit(1)).alias("_N")).collect()}
+    for g in groups:  # one row per group was fetched
+        if sizes.get(g, 0) < n:
+            raise ValueError(f"group {g!r} holds {sizes.get(g, 0)} users, fewer than the sample of {n}")
+    spark = um.sparkSession
     indexed = dense_index(vals, group, key)
-    sizes = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_N"))  # one row per group
-    its = F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration")
-    grid = sizes.select(group, "_N", its)  # groups x iterations rows
-    n_part = int(um.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = [(g, size, min(n, size - n), n > size - n) for g, size in sizes.items()]
+    budgets = [(g, size, m, draw_budget(m, size)) for g, size, m, _ in cells if m > 0]
+    kind = vals.schema[group].dataType.simpleString()
+    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cell = Window.partitionBy("iteration", group)
     first = Window.partitionBy("iteration", group, "idx").orderBy("_j")
-    draws = (
-        grid.repartition(n_part, "iteration", group)
-        .withColumn("_m", draw_budget(n, F.col("_N")))
-        .where(F.col("_m") > 0)
-        .select("iteration", group, "_N", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).alias("_j"))
+    its = F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration")
+    drawn = (
+        spark.createDataFrame(budgets, f"{group} {kind}, _N long, _m long, _b long").select("*", its)
+        .repartition(n_part, "iteration", group)
+        .select("iteration", group, "_N", "_m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_b") - 1)).alias("_j"))
         .withColumn("idx", F.floor(stable_uniform(seed, "iteration", group, "_j") * F.col("_N")))
-        .withColumn("_first", F.row_number().over(first))
-        .where(F.col("_first") == 1)
+        .withColumn("_first", F.row_number().over(first)).where(F.col("_first") == 1)
         .withColumn("_rn", F.row_number().over(cell.orderBy("_j")))
         .withColumn("_distinct", F.count(F.lit(1)).over(cell))
+        .where(F.when(F.col("_distinct") >= F.col("_m"), F.col("_rn") <= F.col("_m"))
+               .otherwise(F.raise_error(F.lit("an A/A cell ran out of draws")).cast("boolean")))
+        .select("iteration", group, "idx")
     )
-    # Two consumers read the ranked draws (the sample and the short-cell check):
-    # materialize them once in the shared checkpoint folder, which also cuts the
-    # lineage a lost executor would otherwise recompute.
-    # (only ranks <= n are ever used, and every drawn cell keeps such rows with its count)
-    shared_dir(um.sparkSession)
-    draws = draws.where(F.col("_rn") <= n).select("iteration", group, "idx", "_distinct").checkpoint(eager=True)
-    picked = draws.where(F.col("_distinct") >= n).select("iteration", group, "idx")
-    full_cells = draws.where(F.col("_distinct") >= n).select("iteration", group).distinct()
-    short = grid.select("iteration", group).join(full_cells, ["iteration", group], "left_anti")
-    fallback = (
-        vals.join(short, group)
-        .withColumn("_rn", F.row_number().over(cell.orderBy(stable_uniform(seed, "iteration", key), key)))
-        .where(F.col("_rn") <= n)
-        .select("iteration", group, key, value)
-    )
+    # written once to the shared checkpoint folder: the draws are not repeated by a lost executor
+    shared_dir(spark)
+    drawn = drawn.checkpoint(eager=True)
     cols = ["iteration", group, key, value]
-    sampled = join_known_small(picked, indexed, [group, "idx"], small_rows=_total_rows(sizes, "_N"))
-    return sampled.select(cols).unionByName(fallback)
+    taken = [g for g, _, _, rest in cells if not rest]
+    sampled = join_known_small(drawn.where(F.col(group).isin(taken)), indexed, [group, "idx"],
+                               small_rows=sum(sizes.values())).select(cols)
+    # complement: the sample is at least half of these groups, so users x iterations is about its size
+    left_in = (
+        _spread(indexed.where(~F.col(group).isin(taken))).select("*", its)
+        .join(drawn, ["iteration", group, "idx"], "left_anti").select(cols)
+    )
+    return sampled.unionByName(left_in)
 
 
 def aa_simulation(um: DataFrame, a, b, iterations: int, n: int, seed: int, value: str = "ctr",
@@ -182,87 +184,3 @@ def false_positive_rate(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
         F.count_if(F.col("p_value") <= alpha).alias("significant"),
         F.avg((F.col("p_value") <= alpha).cast("double")).alias("share"),
     )
-
-
-def bootstrap_means_multinomial(df: DataFrame, group: str, value: str, replicates: int, seed: int,
-                                key: str = "user_id", max_bin_rows: int = 50_000,
-                                replicate_chunk: int = 64) -> DataFrame:
-    """Bootstrap of the mean for very large groups, without shuffling draws.
-
-    Same distribution as drawing n values with replacement (per replicate the
-    multiplicities are Multinomial(n; 1/n, ..., 1/n)), generated in two levels
-    so that only (replicate, bin) counts travel: (1) per group, a multinomial
-    split of n over hash bins proportional to their sizes, for every
-    replicate (one task per group over at most 2^bits bin rows); (2) per
-    (group, bin), a multinomial split of each replicate's bin count over the
-    bin's users, next to those users (cogrouped ``applyInPandas``), weighted
-    sums per replicate out. Bins are sized from the group sizes so a bin holds
-    at most about ``max_bin_rows`` users, and replicates are processed in
-    chunks, so task memory is bounded. NumPy generators are seeded by (seed,
-    group, bin): the result does not depend on partitioning or retries. The
-    random stream differs from ``bootstrap_means`` (which has an SQL oracle).
-    """
-    import math as _math
-
-    vals = df.where(F.col(value).isNotNull()).select(group, key, F.col(value).cast("double").alias("_v"))
-    sizes_rows = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).collect()  # one row per group
-    largest = max([r["_n"] for r in sizes_rows] + [1])
-    bits = min(20, max(0, _math.ceil(_math.log2(max(1.0, largest / max_bin_rows)))))
-    binned = vals.withColumn("_bin", F.shiftright(stable_hash32(key), 32 - bits) if bits else F.lit(0).cast("long"))
-    bin_sizes = binned.groupBy(group, "_bin").agg(F.count(F.lit(1)).alias("_m"))
-    gtype = vals.schema[group].dataType.simpleString()
-    reps = int(replicates)
-    root_seed = int(seed)
-
-    def _gseed(g) -> int:
-        import hashlib
-        return int(hashlib.md5(str(g).encode()).hexdigest()[:8], 16)
-
-    def split_over_bins(pdf):
-        import numpy as np
-        import pandas as pd
-        pdf = pdf.sort_values("_bin")
-        g = pdf[group].iloc[0]
-        m = pdf["_m"].to_numpy(dtype=np.int64)
-        n = int(m.sum())
-        rng = np.random.default_rng([root_seed, _gseed(g), 1])
-        counts = rng.multinomial(n, m / n, size=reps)  # (replicates, bins)
-        r_idx, b_idx = np.nonzero(counts)
-        return pd.DataFrame({
-            group: np.repeat(g, len(r_idx)),
-            "replicate": r_idx.astype(np.int32),
-            "_bin": pdf["_bin"].to_numpy()[b_idx],
-            "_c": counts[r_idx, b_idx].astype(np.int64),
-        })
-
-    counts = bin_sizes.groupBy(group).applyInPandas(
-        split_over_bins, f"{group} {gtype}, replicate int, _bin long, _c long")
-
-    def within_bin(users, cnt):
-        import numpy as np
-        import pandas as pd
-        if len(users) == 0 or len(cnt) == 0:
-            return pd.DataFrame({group: [], "replicate": [], "_s": []})
-        users = users.sort_values(key)
-        cnt = cnt.sort_values("replicate")
-        g, b = users[group].iloc[0], int(users["_bin"].iloc[0])
-        v = users["_v"].to_numpy(dtype=float)
-        p = np.full(len(v), 1.0 / len(v))
-        rng = np.random.default_rng([root_seed, _gseed(g), 2, b])
-        c = cnt["_c"].to_numpy(dtype=np.int64)
-        sums = np.empty(len(c))
-        for start in range(0, len(c), replicate_chunk):
-            w = rng.multinomial(c[start:start + replicate_chunk], p)  # (chunk, users in bin)
-            sums[start:start + replicate_chunk] = w @ v
-        return pd.DataFrame({group: np.repeat(g, len(c)), "replicate": cnt["replicate"].to_numpy(), "_s": sums})
-
-    sums = (
-        binned.groupBy(group, "_bin").cogroup(counts.groupBy(group, "_bin"))
-        .applyInPandas(within_bin, f"{group} {gtype}, replicate int, _s double")
-    )
-    sizes = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        sums.groupBy("replicate", group).agg(F.sum("_s").alias("_total"))
-        .join(F.broadcast(sizes), group)  # one row per group
-        .select("replicate", group, (F.col("_total") / F.col("_n")).alias("mean"))
-    )

@@ -13,8 +13,8 @@ Fixed values (they define the fixture calendar and the experiment design):
   buckets                    50
   CTR split threshold        0.2
   histogram bins             100 (metrics), 50 (A/A p-values)
-  replicates                 2000 (reference) / 200 (oracle runs)
-  A/A iterations, n          10000, 500 (reference) / 200, 15 (oracle runs)
+  replicates                 2000
+  A/A iterations             10000, samples of 500 of about 4300 users an arm: the same share here
 """
 
 from datetime import date
@@ -33,9 +33,9 @@ N_BUCKETS = 50
 CTR_SPLIT_THRESHOLD = 0.2
 HIST_BINS = 100
 PVALUE_BINS = 50
-REPLICATES = 200
-AA_ITERATIONS = 200
-AA_SAMPLE = 15
+REPLICATES = 2000
+AA_ITERATIONS = 10000
+AA_SHARE = 500 / 4300  # A/A sample as a share of the smaller arm
 SEED = 42
 ALTERNATIVES = ("less", "greater", "two-sided")
 # ad campaign cohort for the cohort-DAU analysis

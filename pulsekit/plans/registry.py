@@ -226,8 +226,16 @@ def poisson(s, d):
 
 
 def aa_tests(s, d):
-    return RS.aa_simulation(user_metrics(s, d, P.AA_GROUPS), P.AA_GROUPS[0], P.AA_GROUPS[1],
-                            P.AA_ITERATIONS, P.AA_SAMPLE, P.SEED)
+    um = user_metrics(s, d, P.AA_GROUPS)
+    sizes = um.where(F.col("ctr").isNotNull()).groupBy("exp_group").count().collect()  # one row per arm
+    n = max(2, round(min((r["count"] for r in sizes), default=0) * P.AA_SHARE))
+    return RS.aa_simulation(um, P.AA_GROUPS[0], P.AA_GROUPS[1], P.AA_ITERATIONS, n, P.SEED)
+
+
+def _once(df):
+    """Write a small frame that is read twice to the shared checkpoint folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def _series(df, prefix, value):
@@ -243,7 +251,7 @@ def boot_histograms(s, d):
         .unionByName(RS.replicate_difference(pb, P.AB_CONTROL, P.AB_TEST).select(
             F.lit("poisson_diff").alias("series"), F.col("diff").alias("value")))
     )
-    return equal_width_histogram(long, "value", P.HIST_BINS, by=["series"], edges_by=["series"])
+    return equal_width_histogram(_once(long), "value", P.HIST_BINS, by=["series"], edges_by=["series"])
 
 
 query("bootstrap_means", rounded=True)(boot_means)
@@ -258,7 +266,8 @@ query("welch_poisson_bootstrap", rounded=True)(lambda s, d: welch_ttest(
     poisson(s, d), "exp_group", "ctr", [(P.AB_CONTROL, P.AB_TEST)]))
 query("bootstrap_histograms", rounded=True)(boot_histograms)
 query("aa_simulation", rounded=True)(aa_tests)
-query("aa_pvalue_histogram", rounded=True)(lambda s, d: equal_width_histogram(aa_tests(s, d), "p_value", P.PVALUE_BINS))
+query("aa_pvalue_histogram", rounded=True)(lambda s, d: equal_width_histogram(
+    _once(aa_tests(s, d)), "p_value", P.PVALUE_BINS))
 query("aa_false_positive_rate", rounded=True)(lambda s, d: RS.false_positive_rate(aa_tests(s, d)))
 
 
@@ -321,11 +330,6 @@ def _dof_state(spark, sf_dir):
     return US.dau_only_feed_from_state(lg.feed, fs, P.AS_OF)
 
 
-# bootstrap of the mean for very large arms (NumPy multinomial stream: rows-only, checked by tests)
-query("bootstrap_means_multinomial", rounded=True)(lambda s, d: RS.bootstrap_means_multinomial(
-    ab_users(s, d), "exp_group", "ctr", P.REPLICATES, P.SEED))
-
-
 @query("app_daily_actions_from_state")
 def _ada_state(spark, sf_dir):
     from datetime import date as _date

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,14 +48,16 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """Return a fresh sub-folder of the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` as configured on the
-    session. Only when it is unset (local tests) do we create one, so a cluster
-    job never writes to a machine-local temporary folder.
+    session. Only when it is unset and the master is local do we create one; on
+    a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if root is None:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             root = tempfile.mkdtemp(prefix="pulsekit-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir()

@@ -63,32 +63,41 @@ def read_log(spark: SparkSession, source: str, schema: T.StructType, format: str
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-# Fixed values of the fixture mapping from ``events`` to the two logs:
-#   activation day   2024-01-01 + (user_id * 11) % 28 days (earlier events dropped)
+# Fixed values of the fixture mapping from ``events`` to the two logs (every event is a row of one of them):
+#   account          user_id from the day 2024-01-01 + (user_id * 11) % 28 on; earlier events
+#                    belong to the user's previous account, user_id + 10,000,000
 #   post id          props.k, receiver id props.k
-#   gender           user_id % 2;  age 13 + (user_id * 7) % 60
+#   gender           account % 2;  age 13 + (account * 7) % 60
 #   os               'iOS' when event_id % 3 = 0 else 'Android'
-#   source           user_id % 10 = 9: 'ads' for even event_id else 'organic';
-#                    otherwise 'ads' when user_id % 3 = 0 else 'organic'
-#   city             'city_' || user_id % 6;  exp_group user_id % 4
-#   feed rows        event_type view -> 'view', click -> 'like'; users with user_id % 7 = 0 excluded
-#   message rows     event_type purchase; users with user_id % 5 = 3 excluded
+#   source           account % 10 = 9: 'ads' for even event_id else 'organic';
+#                    otherwise 'ads' when account % 3 = 0 else 'organic'
+#   city             'city_' || account % 6;  exp_group account % 4
+#   log              account % 5 = 3: all rows to the feed; else account % 7 = 0: all rows to the
+#                    messages; else purchase and error are messages, the rest feed actions
+#   action           click, purchase -> 'like'; the rest -> 'view'
 FIXTURE_EPOCH = date(2024, 1, 1)
+PREVIOUS_ACCOUNT = 10_000_000
 
 
 def _fixture_base(events: DataFrame) -> DataFrame:
-    uid, eid = F.col("user_id"), F.col("event_id")
-    activation = F.date_add(F.lit(FIXTURE_EPOCH), ((uid * 11) % 28).cast("int"))
+    raw, uid, eid = F.col("user_id"), F.col("account"), F.col("event_id")
+    activation = F.date_add(F.lit(FIXTURE_EPOCH), ((raw * 11) % 28).cast("int"))
     source: Column = (
         F.when(uid % 10 == 9, F.when(eid % 2 == 0, "ads").otherwise("organic"))
         .when(uid % 3 == 0, "ads")
         .otherwise("organic")
     )
+    to_feed = (
+        F.when(uid % 5 == 3, True).when(uid % 7 == 0, False)
+        .otherwise(F.coalesce(~F.col("event_type").isin("purchase", "error"), F.lit(True)))
+    )
     return (
-        events.where(F.col("ts") >= activation.cast("timestamp_ntz"))
+        events.withColumn(
+            "account", F.when(F.col("ts") >= activation.cast("timestamp_ntz"), raw).otherwise(raw + PREVIOUS_ACCOUNT))
         .select(
             uid.alias("user_id"),
-            F.col("event_type"),
+            F.when(F.col("event_type").isin("click", "purchase"), "like").otherwise("view").alias("action"),
+            to_feed.alias("to_feed"),
             F.col("ts").alias("time"),
             F.get_json_object("props", "$.k").try_cast("int").alias("k"),
             (uid % 2).cast("int").alias("gender"),
@@ -104,13 +113,11 @@ def _fixture_base(events: DataFrame) -> DataFrame:
 def logs_from_events(events: DataFrame) -> EventLogs:
     """Map the raw events table onto the feed and message logs (see fixed values above)."""
     base = _fixture_base(events)
-    feed = base.where(F.col("event_type").isin("view", "click") & (F.col("user_id") % 7 != 0)).select(
-        "user_id",
-        F.col("k").alias("post_id"),
-        F.when(F.col("event_type") == "view", "view").otherwise("like").alias("action"),
+    feed = base.where("to_feed").select(
+        "user_id", F.col("k").alias("post_id"), "action",
         "time", "gender", "age", "os", "source", "city", "exp_group",
     )
-    messages = base.where((F.col("event_type") == "purchase") & (F.col("user_id") % 5 != 3)).select(
+    messages = base.where("not to_feed").select(
         "user_id",
         F.col("k").cast("bigint").alias("reciever_id"),
         "time", "gender", "age", "os", "source",

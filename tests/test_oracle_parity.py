@@ -6,7 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from pulsekit.plans.oracle_sql import ORACLES
+from pulsekit.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 TABLES = ["events", "customer"]
@@ -42,9 +44,9 @@ def con():
 
 
 def test_every_key_has_an_oracle_or_is_listed():
-    # approximate distinct count on a stream; NumPy-seeded multinomial bootstrap (tested statistically)
-    rows_only = {"live_feed_users", "bootstrap_means_multinomial"}
-    assert set(queries()) - set(oracle_sql()) == rows_only
+    # approximate distinct count on a stream
+    rows_only = {"live_feed_users"}
+    assert set(QUERIES) - set(ORACLES) == rows_only
 
 
 def test_entry_smoke(spark):
@@ -57,10 +59,10 @@ SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "stri
                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("key", sorted(oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_key_matches_oracle(spark, con, key):
-    sdf = queries()[key](spark, SF_SMALL)
-    rel = con.sql(oracle_sql()[key])
+    sdf = QUERIES[key](spark, SF_SMALL)
+    rel = con.sql(ORACLES[key])
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
                    for f in sdf.schema.fields}
     assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
