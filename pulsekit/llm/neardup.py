@@ -41,7 +41,7 @@ def choose_bands(threshold: float = THRESHOLD, target_recall: float = TARGET_REC
     ``threshold`` reaches the target within the hash budget."""
     best = None
     for rows in range(1, 33):
-        bands = math.ceil(math.log(1 - target_recall) / math.log(1 - threshold ** rows))
+        bands = math.ceil(math.log1p(-target_recall) / math.log1p(-threshold ** rows))
         if bands * rows <= max_hashes:
             best = (bands, rows)
     if best is None:

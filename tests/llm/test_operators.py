@@ -261,7 +261,7 @@ def test_op6_removes_near_copies_of_paragraphs(spark, docs):
     rng = random.Random(6)
     para = words(rng, 45)
     near = list(para)
-    near[40] = "edited"
+    near[43] = "edited"
     own = [prose(rng, 30) for _ in range(4)]
     rows = [(1, own[0] + "\n" + " ".join(para) + "\n" + own[1]), (2, " ".join(near) + "\n" + own[2]),
             (3, own[3] + "\n" + " ".join(para)), (4, " ".join(para[:10])), (5, None), (6, ""), (6, "")]
