@@ -134,12 +134,34 @@ def dau_only_messenger(feed: DataFrame, messages: DataFrame, as_of: date, days:
 
 
 def dau_segments(feed: DataFrame, messages: DataFrame, as_of: date, days: int = 7) -> DataFrame:
-    """The three DAU segments of the app report, stacked."""
-    return (
-        dau_both_services(feed, messages, as_of, days)
-        .unionByName(dau_only_feed(feed, messages, as_of, days))
-        .unionByName(dau_only_messenger(feed, messages, as_of, days))
-    )
+    """The three DAU segments of the app report, stacked, from one pass over the logs.
+
+    A user reduces to whether they ever used each service and their active
+    days in the window (at most ``days`` a service, combined before the
+    shuffle); the segments' rows follow from that one row.
+    """
+    first, last = trailing_window(as_of, days)
+
+    def one(log, service):
+        return _history(log, as_of).where(F.col("user_id").isNotNull()).select(
+            "user_id", F.lit(service).alias("service"), F.to_date("time").alias("date"))
+
+    inside = F.col("date").between(F.lit(first), F.lit(last))
+    in_feed = F.col("service") == "feed"
+    users = one(feed, "feed").unionByName(one(messages, "messenger")).groupBy("user_id").agg(
+        F.max(in_feed).alias("fed"), F.max(~in_feed).alias("messaged"),
+        F.collect_set(F.when(inside & in_feed, F.col("date"))).alias("feed_days"),
+        F.collect_set(F.when(inside & ~in_feed, F.col("date"))).alias("message_days"))
+
+    def rows(days_, app, n):
+        return F.transform(days_, lambda x: F.struct(x.alias("date"), F.lit(app).alias("app"), n.alias("n")))
+
+    one_, none = F.lit(1), F.array().cast("array<date>")
+    pieces = F.concat(
+        rows(F.when(F.size("message_days") > 0, F.col("feed_days")).otherwise(none), BOTH, one_),
+        rows(F.when(~F.col("messaged"), F.col("feed_days")).otherwise(none), ONLY_FEED, one_),
+        rows(F.col("message_days"), ONLY_MESSENGER, F.when(F.col("fed"), 0).otherwise(1)))
+    return users.select(F.inline(pieces)).groupBy("date", "app").agg(F.sum("n").alias("dau"))
 
 
 def activity_by_hour(feed: DataFrame, messages: DataFrame, as_of: date, days: int = 7) -> DataFrame:
@@ -272,22 +294,24 @@ def cohort_dau(feed: DataFrame, messages: DataFrame, as_of: date, source: str,
     return cohort.groupBy(F.col("action").alias("date")).agg(F.count_distinct("user_id").alias("dau"))
 
 
-def dau_change_by(feed: DataFrame, as_of: date, dimension: str = "city") -> DataFrame:
-    """Feed DAU per (day, dimension value) against the previous day.
+def dau_change_by(feed: DataFrame, as_of: date, dimension: str = "city", first: date | None = None) -> DataFrame:
+    """Feed DAU per (day, dimension value) against the previous day, from one scan.
 
-    A full outer join of day d with day d-1 keeps values that vanished (DAU 0
-    on d), which is exactly the case a drop drill-down looks for.
+    Every daily count enters its own day and, as the previous figure, the day
+    after, so values that vanished keep a row (DAU 0). ``first`` restricts the
+    report to days from it on; the scan then starts the day before.
     """
-    daily = _history(feed, as_of).groupBy(F.to_date("time").alias("date"), F.col(dimension)).agg(
-        F.count_distinct("user_id").alias("dau"))
-    prev = daily.select(F.date_add("date", 1).alias("date"), dimension, F.col("dau").alias("prev_dau"))
-    out = daily.join(prev, ["date", dimension], "full_outer").where(F.col("date") < F.lit(as_of))
-    dau = F.coalesce("dau", F.lit(0)).cast("bigint")
-    prev_dau = F.coalesce("prev_dau", F.lit(0)).cast("bigint")
-    return out.select(
-        "date", dimension,
-        dau.alias("dau"),
-        prev_dau.alias("prev_dau"),
-        (dau - prev_dau).alias("delta"),
-        F.try_divide((dau - prev_dau) * 100.0, prev_dau.cast("double")).alias("pct_change"),
-    )
+    log = _history(feed, as_of)
+    if first is not None:
+        log = log.where(F.col("time") >= F.lit(first - timedelta(days=1)).cast("timestamp_ntz"))
+    daily = log.groupBy(F.to_date("time").alias("day"), F.col(dimension)).agg(F.count_distinct("user_id").alias("n"))
+    zero = F.lit(0).cast("bigint")
+    sides = F.array(F.struct(F.col("day").alias("date"), F.col("n").alias("dau"), zero.alias("prev_dau")),
+                    F.struct(F.date_add("day", 1).alias("date"), zero.alias("dau"), F.col("n").alias("prev_dau")))
+    out = daily.select(dimension, F.inline(sides)).groupBy("date", dimension).agg(
+        F.sum("dau").alias("dau"), F.sum("prev_dau").alias("prev_dau")).where(F.col("date") < F.lit(as_of))
+    if first is not None:
+        out = out.where(F.col("date") >= F.lit(first))
+    delta = F.col("dau") - F.col("prev_dau")
+    return out.select("date", dimension, "dau", "prev_dau", delta.alias("delta"),
+                      F.try_divide(delta * 100.0, F.col("prev_dau").cast("double")).alias("pct_change"))

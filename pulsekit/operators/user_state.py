@@ -6,12 +6,14 @@ was seen with, over the whole history. Recomputing that from the raw logs
 rescans all of history every day; at scale the state is kept instead:
 
 * ``first_seen`` (user_id, service, start): first active day per service;
-* ``user_sources`` (user_id, source): every source a user has been seen with.
+* ``user_sources`` (user_id, source, start): every source a user has been seen
+  with, and since when.
 
 A daily update reads one day of logs (a pushed-down range scan), finds the
-(user, service) and (user, source) pairs not yet in the state with an anti
-join, and appends only those. Re-running a day appends nothing, so retries
-and backfills are idempotent. Both tables hold at most a few rows per user.
+(user, service) and (user, source) pairs that the state does not know as of
+that day with an anti join, and appends only those. Re-running a day appends
+nothing; a day that comes late appends an earlier start, and readers take the
+least start of a pair. Both tables hold at most a few rows per user.
 The ``*_from_state`` operators give exactly the same rows as the full
 recomputations in ``audience``.
 """
@@ -43,31 +45,35 @@ def initial_state(feed: DataFrame, messages: DataFrame, as_of: date) -> tuple[Da
             "user_id", F.lit(service).alias("service"), F.to_date("time").alias("action"), "source")
     act = one(feed, FEED).unionByName(one(messages, MESSENGER))
     first_seen = act.groupBy("user_id", "service").agg(F.min("action").alias("start"))
-    sources = act.select("user_id", "source").distinct()
+    sources = act.groupBy("user_id", "source").agg(F.min("action").alias("start"))
     return first_seen, sources
 
 
 def state_increment(first_seen: DataFrame, user_sources: DataFrame, feed: DataFrame, messages: DataFrame,
                     day: date) -> tuple[DataFrame, DataFrame]:
-    """Rows to append for ``day``: pairs not yet in the state."""
+    """Rows to append for ``day``: pairs that the state does not hold with a start up to that day."""
     act = service_activity(feed, messages, day, day)
     new_first = (
         act.select("user_id", "service").distinct()
-        .join(first_seen.select("user_id", "service"), ["user_id", "service"], "left_anti")
+        .join(first_seen.where(F.col("start") <= F.lit(day)), ["user_id", "service"], "left_anti")
+        .withColumn("start", F.lit(day))
+    )
+    new_sources = (
+        act.select("user_id", "source").distinct()
+        .join(user_sources.where(F.col("start") <= F.lit(day)), ["user_id", "source"], "left_anti")
         .withColumn("start", F.lit(day))
     )
-    new_sources = act.select("user_id", "source").distinct().join(user_sources, ["user_id", "source"], "left_anti")
     return new_first, new_sources
 
 
 def write_state(first_seen: DataFrame, user_sources: DataFrame, root: str, mode: str = "append") -> None:
     first_seen.select("user_id", "service", "start").write.mode(mode).partitionBy("start").parquet(f"{root}/first_seen")
-    user_sources.select("user_id", "source").write.mode(mode).parquet(f"{root}/user_sources")
+    user_sources.select("user_id", "source", "start").write.mode(mode).parquet(f"{root}/user_sources")
 
 
 def read_state(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     fs = spark.read.schema("user_id bigint, service string, start date").parquet(f"{root}/first_seen")
-    us = spark.read.schema("user_id bigint, source string").parquet(f"{root}/user_sources")
+    us = spark.read.schema("user_id bigint, source string, start date").parquet(f"{root}/user_sources")
     return fs.select("user_id", "service", "start"), us
 
 
@@ -85,7 +91,8 @@ def _user_start(first_seen: DataFrame, as_of: date) -> DataFrame:
 def acquisition_from_state(first_seen: DataFrame, user_sources: DataFrame, as_of: date) -> DataFrame:
     """New users per (first day, source), today excluded: same rows as ``audience.acquisition_by_source``."""
     return (
-        _user_start(first_seen, as_of).join(user_sources, "user_id")
+        _user_start(first_seen, as_of)
+        .join(user_sources.where(F.col("start") <= F.lit(as_of)).select("user_id", "source").distinct(), "user_id")
         .groupBy("start", "source").agg(F.count("user_id").alias("new_users"))
         .where(F.col("start") != F.lit(as_of))
     )
@@ -128,7 +135,7 @@ def save_state_tables(spark: SparkSession, first_seen: DataFrame, user_sources:
     fs_t, us_t = f"{database}.user_first_seen", f"{database}.user_sources"
     (first_seen.select("user_id", "service", "start").write.mode(mode)
      .bucketBy(buckets, "user_id").sortBy("user_id").saveAsTable(fs_t))
-    (user_sources.select("user_id", "source").write.mode(mode)
+    (user_sources.select("user_id", "source", "start").write.mode(mode)
      .bucketBy(buckets, "user_id").sortBy("user_id").saveAsTable(us_t))
     return fs_t, us_t
 
@@ -168,10 +175,10 @@ def post_first_seen_initial(feed: DataFrame, as_of: date) -> DataFrame:
 
 
 def post_first_seen_increment(post_first_seen: DataFrame, feed: DataFrame, day: date) -> DataFrame:
-    """Posts first seen on ``day`` (not yet in the state)."""
+    """Posts seen on ``day`` that the state does not hold with a start up to that day."""
     return (
         feed.where(between_days("time", day, day)).select("post_id").distinct()
-        .join(post_first_seen.select("post_id"), "post_id", "left_anti")
+        .join(post_first_seen.where(F.col("start") <= F.lit(day)), "post_id", "left_anti")
         .withColumn("start", F.lit(day))
     )
 
@@ -198,7 +205,7 @@ def update_daily_state(spark: SparkSession, root: str, feed: DataFrame, messages
 def app_daily_actions_from_state(counts: DataFrame, post_first_seen: DataFrame, as_of: date) -> DataFrame:
     """Same rows as ``audience.app_daily_actions`` from the per-day counts and post state."""
     posts = (
-        post_first_seen.where(F.col("start") < F.lit(as_of))
+        post_first_seen.groupBy("post_id").agg(F.min("start").alias("start")).where(F.col("start") < F.lit(as_of))
         .groupBy(F.col("start").alias("date")).agg(F.count("post_id").alias("posts"))
     )
     return (

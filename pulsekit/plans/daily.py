@@ -3,8 +3,8 @@ history state, and compute the report data for ``as_of``.
 
 Scheduling stays outside the library: any scheduler can call these functions
 with the run's date. Every write is idempotent (dynamic partition overwrite
-for the mart and day counts, anti-join appends for first-seen state), so
-retries and backfills are safe.
+for the mart and day counts, dated anti-join appends for first-seen state), so
+repeated, late and skipped days end in the same state.
 """
 
 from __future__ import annotations
@@ -27,36 +27,51 @@ def load_daily_mart(spark: SparkSession, feed: DataFrame, messages: DataFrame, a
         write_mart_table(spark, mart, target)
 
 
-def _exists(read) -> bool:
-    from pyspark.errors import AnalysisException
-    try:
-        read()
-        return True
-    except AnalysisException:
-        return False
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _mark_loaded(spark: SparkSession, root: str, day: date, backfill: bool) -> None:
+    spark.createDataFrame([(day, backfill)], "day date, backfill boolean").coalesce(1) \
+        .write.mode("append").parquet(f"{root}/loaded_days")
+
+
+def load_day(spark: SparkSession, feed: DataFrame, messages: DataFrame, day: date, root: str) -> None:
+    """Fold one day into the state under ``root``; repeated and late days are fine."""
+    US.update_state(spark, root, feed, messages, day)
+    US.update_daily_state(spark, root, feed, messages, day)
+    _mark_loaded(spark, root, day, False)
+
+
+def missing_days(spark: SparkSession, root: str, upto: date) -> list[date]:
+    """Days after the backfill up to ``upto`` that were never loaded (one row a day is read)."""
+    rows = spark.read.schema("day date, backfill boolean").parquet(f"{root}/loaded_days").distinct().collect()
+    first = max(r["day"] for r in rows if r["backfill"]) + timedelta(days=1)
+    loaded = {r["day"] for r in rows}
+    return [d for i in range((upto - first).days + 1) if (d := first + timedelta(days=i)) not in loaded]
 
 
 def update_history(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date, root: str,
                    day_feed: DataFrame | None = None, day_messages: DataFrame | None = None) -> None:
-    """Fold the day before ``as_of`` into the user and daily-count state under ``root``.
+    """Bring the user and daily-count state under ``root`` up to the day before ``as_of``.
 
-    ``day_feed`` / ``day_messages`` (reads restricted to that day, e.g. by
-    partition pruning) serve the daily increment; the full logs are only read
-    by the first run, which backfills the state from the whole history up to
-    that day in one batch job.
+    The first run backfills the whole history up to that day in one batch job.
+    Later runs load that day and every earlier day that was never loaded.
+    ``day_feed`` / ``day_messages`` (reads restricted to the day, e.g. by
+    partition pruning) serve the day itself; missing days read the full logs.
     """
     day = as_of - timedelta(days=1)
-    inc_feed = feed if day_feed is None else day_feed
-    inc_messages = messages if day_messages is None else day_messages
-    if _exists(lambda: US.read_state(spark, root)):
-        US.update_state(spark, root, inc_feed, inc_messages, day)
-    else:
+    if not _path_exists(spark, f"{root}/loaded_days"):
         US.write_state(*US.initial_state(feed, messages, day), root, mode="overwrite")
-    if _exists(lambda: US.read_daily_state(spark, root)):
-        US.update_daily_state(spark, root, inc_feed, inc_messages, day)
-    else:
         US.write_daily_state(US.day_counts(feed, messages, date(1970, 1, 1), day),
                              US.post_first_seen_initial(feed, day), root)
+        _mark_loaded(spark, root, day, True)
+        return
+    for missing in missing_days(spark, root, day - timedelta(days=1)):
+        load_day(spark, feed, messages, missing, root)
+    load_day(spark, feed if day_feed is None else day_feed, messages if day_messages is None else day_messages,
+             day, root)
 
 
 def app_report(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date,

@@ -275,16 +275,16 @@ query("aa_false_positive_rate", rounded=True)(lambda s, d: RS.false_positive_rat
 from pulsekit.streaming.live import run_live_feed_metrics  # noqa: E402
 
 query("live_feed_metrics", rounded=True)(lambda s, d: run_live_feed_metrics(s, d, glob="events.parquet").drop(
-    "active_users_approx"))
+    "active_users"))
 query("live_feed_users")(lambda s, d: run_live_feed_metrics(s, d, glob="events.parquet").select(
-    "window_start", "window_end", "active_users_approx"))
+    "window_start", "window_end", "active_users"))
 
 
 
 # ---------------------------------------------------------------- history dashboard, SQL entry, inspection
 from datetime import timedelta as _td  # noqa: E402
 
-from pulsekit.sources.sql import FEED_DAILY_SQL, extract_df, register_logs  # noqa: E402
+from pulsekit.sources.sql import FEED_DAILY_SQL, extract_df  # noqa: E402
 
 QUERIES["feed_history_metrics"] = _feed_only(audience.feed_history_metrics)
 QUERIES["activity_history_by_hour"] = _both(audience.activity_history_by_hour)
@@ -292,10 +292,9 @@ QUERIES["activity_history_by_hour"] = _both(audience.activity_history_by_hour)
 
 @query("feed_daily_metrics_sql")
 def _feed_daily_sql(spark, sf_dir):
-    """The feed KPI query through Spark SQL with named parameter markers."""
-    register_logs(logs(spark, sf_dir), "pk_feed_actions", "pk_message_actions")
-    q = FEED_DAILY_SQL.replace("FROM feed_actions", "FROM pk_feed_actions")
-    return extract_df(spark, q, first=P.AS_OF - _td(days=7), last=P.AS_OF - _td(days=1))
+    """The feed KPI query through Spark SQL with named parameter markers and the log as an argument."""
+    return extract_df(spark, FEED_DAILY_SQL, {"feed": logs(spark, sf_dir).feed},
+                      first=P.AS_OF - _td(days=7), last=P.AS_OF - _td(days=1))
 
 
 query("user_ctr_preview", rounded=True)(lambda s, d: reports.preview(user_metrics(s, d), ["exp_group", "user_id"]))
@@ -304,12 +303,33 @@ query("user_ctr_shape")(lambda s, d: reports.shape(user_metrics(s, d)))
 
 # ---------------------------------------------------------------- incremental user state
 from pulsekit.operators import user_state as US  # noqa: E402
+from pulsekit.plans import daily  # noqa: E402
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _stored_root(spark, sf_dir) -> str:
+    """State in the shared folder, built once a session: a backfill, a day loaded ahead, a late
+    day, a repeated day and a last run that also loads the day that was skipped."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _STORED:
+        lg, root = logs(spark, sf_dir), shared_dir(spark, "user-state")
+        daily.update_history(spark, lg.feed, lg.messages, P.AS_OF - _td(days=4), root)
+        for before in (3, 4, 3):
+            daily.load_day(spark, lg.feed, lg.messages, P.AS_OF - _td(days=before), root)
+        daily.update_history(spark, lg.feed, lg.messages, P.AS_OF, root)
+        _STORED[at] = root
+    return _STORED[at]
 
 
 def _state(spark, sf_dir):
-    lg = logs(spark, sf_dir)
-    first_seen, sources = US.initial_state(lg.feed, lg.messages, P.AS_OF)
-    return lg, first_seen, sources
+    first_seen, sources = US.read_state(spark, _stored_root(spark, sf_dir))
+    return logs(spark, sf_dir), first_seen, sources
+
+
+def _daily_state(spark, sf_dir):
+    return US.read_daily_state(spark, _stored_root(spark, sf_dir))
 
 
 @query("acquisition_from_state")
@@ -332,10 +352,7 @@ def _dof_state(spark, sf_dir):
 
 @query("app_daily_actions_from_state")
 def _ada_state(spark, sf_dir):
-    from datetime import date as _date
-    lg = logs(spark, sf_dir)
-    counts = US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF)
-    return US.app_daily_actions_from_state(counts, US.post_first_seen_initial(lg.feed, P.AS_OF), P.AS_OF)
+    return US.app_daily_actions_from_state(*_daily_state(spark, sf_dir), P.AS_OF)
 
 
 def _aa_ctr_histogram(s, d):
@@ -357,20 +374,13 @@ def _dau_state(spark, sf_dir):
 
 @query("app_report_from_state")
 def _app_report_state(spark, sf_dir):
-    from datetime import date as _date
     lg, fs, us = _state(spark, sf_dir)
-    counts = US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF)
-    return US.app_report_from_state(lg.feed, lg.messages, fs, us, counts,
-                                    US.post_first_seen_initial(lg.feed, P.AS_OF), P.AS_OF)
-
+    return US.app_report_from_state(lg.feed, lg.messages, fs, us, *_daily_state(spark, sf_dir), P.AS_OF)
 
 
 @query("feed_history_from_state")
 def _feed_history_state(spark, sf_dir):
-    from datetime import date as _date
-    lg = logs(spark, sf_dir)
-    return US.feed_history_from_state(US.day_counts(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF), P.AS_OF)
-
+    return US.feed_history_from_state(_daily_state(spark, sf_dir)[0], P.AS_OF)
 
 
 @query("retention_rate_from_state", rounded=True)

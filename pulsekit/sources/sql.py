@@ -18,19 +18,17 @@ def register_logs(logs: EventLogs, feed_view: str = "feed_actions", message_view
     logs.messages.createOrReplaceTempView(message_view)
 
 
-def extract_df(spark: SparkSession, query: str, **args) -> DataFrame:
-    """``spark.sql`` with named parameter markers."""
-    return spark.sql(query, args=args)
+def extract_df(spark: SparkSession, query: str, frames: dict[str, DataFrame] | None = None, **args) -> DataFrame:
+    """``spark.sql`` with named parameter markers; ``{name}`` in the query stands for the frame of that name."""
+    return spark.sql(query, args=args, **(frames or {}))
 
 
 FEED_DAILY_SQL = """
-SELECT to_date(time) AS date,
-       count(DISTINCT user_id) AS dau,
-       count_if(action = 'view') AS views,
-       count_if(action = 'like') AS likes,
-       bround(try_divide(CAST(count_if(action = 'like') * 100 AS DOUBLE),
-                         CAST(count_if(action = 'view') AS DOUBLE)), 1) AS ctr
-FROM feed_actions
-WHERE to_date(time) BETWEEN :first AND :last
-GROUP BY to_date(time)
+WITH actions AS (
+  SELECT CAST(time AS DATE) AS day, user_id, int(action = 'view') AS viewed, int(action = 'like') AS liked FROM {feed}
+), days AS (
+  SELECT day, count(DISTINCT user_id) AS dau, sum(viewed) AS views, sum(liked) AS likes
+  FROM actions WHERE day >= :first AND day <= :last GROUP BY day
+)
+SELECT day AS date, dau, views, likes, bround(100 * double(likes) / nullif(views, 0), 1) AS ctr FROM days
 """

@@ -113,15 +113,15 @@ def test_all_equal_metric_gives_null_welch_and_unit_mwu(spark):
     assert all(r["p_value"] == 1.0 and r["u_stat"] == 2.0 for r in m)
 
 
-def test_group_smaller_than_sample_size_uses_whole_group(spark):
-    from pulsekit.operators.resampling import aa_simulation
-    um = spark.createDataFrame([(2, i, 1, 10, 0.1 * (i % 3)) for i in range(5)] +
-                               [(3, 100 + i, 1, 10, 0.1 * (i % 4)) for i in range(40)],
-                               "exp_group int, user_id long, likes long, views long, ctr double")
-    out = aa_simulation(um, 2, 3, iterations=5, n=10, seed=1).collect()
-    assert len(out) == 5
-    assert all(r["n_a"] == 5 and r["n_b"] == 10 for r in out)
+def test_group_smaller_than_sample_size_is_an_error(spark):
+    import pytest
 
+    from pulsekit.operators import resampling as RS
+
+    df = spark.createDataFrame([(2, i, i / 10) for i in range(5)] + [(3, 100 + i, i / 7) for i in range(50)],
+                               "exp_group int, user_id long, ctr double")
+    with pytest.raises(ValueError, match="group 2 holds 5 users"):
+        RS.aa_samples(df, (2, 3), 4, 10, 42)
 
 def test_welch_zero_variance_different_means_follows_scipy(spark):
     from pulsekit.operators.hypothesis import welch_ttest

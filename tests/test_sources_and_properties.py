@@ -20,7 +20,7 @@ def test_read_log_from_namespaced_table_and_path(spark, tmp_path):
     feed.select(*reversed(feed.columns), F.lit(1).alias("extra")).createOrReplaceGlobalTempView("pk_feed_src")
     got = read_log(spark, "global_temp.pk_feed_src", FEED_SCHEMA)
     assert got.columns == [f.name for f in FEED_SCHEMA.fields]
-    assert got.count() == feed.count() == 168
+    assert got.count() == feed.count() == 569
     path = str(tmp_path / "feed")
     feed.write.parquet(path)
     assert read_log(spark, path, FEED_SCHEMA).count() == 168
@@ -98,3 +98,13 @@ def test_read_log_prunes_date_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in buf.getvalue()
     want = feed.where(F.to_date("time").between(F.lit("2024-01-24").cast("date"), F.lit("2024-01-30").cast("date")))
     assert got.count() == want.count()
+
+
+def test_every_event_is_a_row_of_one_log(spark):
+    from pulsekit.sources import load_fixture_logs
+
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        path = f"/root/testdata/{sf}"
+        lg = load_fixture_logs(spark, path)
+        events = spark.read.parquet(f"{path}/events.parquet").count()
+        assert lg.feed.count() + lg.messages.count() == events and lg.messages.count() > events / 10

@@ -186,24 +186,6 @@ def test_exact_u_distribution_matches_enumeration_and_is_used_for_small_tie_free
     assert r["greater"]["p_value"] == pytest.approx(int(counts[u1:].sum()) / int(counts.sum()), abs=1e-15)
 
 
-def test_multinomial_bootstrap_matches_theory_and_is_partition_independent(spark):
-    rng = np.random.default_rng(1)
-    rows = [(g, g * 100000 + i, float(x)) for g in (1, 2) for i, x in enumerate(rng.exponential(1.0, 2000))]
-    df = spark.createDataFrame(rows, "exp_group int, user_id long, ctr double")
-    out = RS.bootstrap_means_multinomial(df, "exp_group", "ctr", 300, 42, max_bin_rows=300).toPandas()
-    again = RS.bootstrap_means_multinomial(df.repartition(1), "exp_group", "ctr", 300, 42,
-                                           max_bin_rows=300).toPandas()
-    key = ["exp_group", "replicate"]
-    assert np.allclose(out.sort_values(key)["mean"].to_numpy(), again.sort_values(key)["mean"].to_numpy(),
-                       rtol=0, atol=1e-12)
-    for g in (1, 2):
-        x = np.array([v for gg, _, v in rows if gg == g])
-        m = out[out.exp_group == g]["mean"].to_numpy()
-        assert len(m) == 300
-        assert abs(m.mean() - x.mean()) < 4 * math.sqrt(x.var() / len(x) / 300)
-        assert 0.7 < m.var(ddof=1) / (x.var() / len(x)) < 1.3
-
-
 def test_describe_approximate_quartiles_are_close(spark):
     from pulsekit.operators import experiment as X
     rng = random.Random(2)
@@ -231,3 +213,31 @@ def test_auto_bin_count_follows_numpy_1_rule(spark):
         assert auto_bin_count(df, "v") == expected
         if fd >= ptp / np.sqrt(values.size) / 2:  # where NumPy 2 agrees with the 1.x rule
             assert expected == len(np.histogram_bin_edges(values, bins="auto")) - 1
+
+
+def test_aa_sample_sizes_and_complement(spark):
+    import pytest
+
+    from pulsekit.operators import resampling as RS
+
+    df = spark.createDataFrame([(g, i, float(i)) for g in (2, 3) for i in range(1000)],
+                               "exp_group int, user_id long, ctr double")
+    for n in (100, 500, 999, 1000):
+        rows = RS.aa_samples(df, (2, 3), 20, n, 42).collect()
+        cells = {}
+        for r in rows:
+            cells.setdefault((r["iteration"], r["exp_group"]), []).append(r["user_id"])
+        assert len(cells) == 40 and all(len(v) == len(set(v)) == n for v in cells.values())
+    mean = sum(r["ctr"] for r in RS.aa_samples(df, (2, 3), 200, 100, 42).collect()) / (400 * 100)
+    assert abs(mean - 499.5) < 6  # about four deviations of the mean of 40,000 draws
+    with pytest.raises(ValueError, match="holds 1000 users"):
+        RS.aa_samples(df, (2, 3), 5, 1001, 42)
+    assert RS.draw_budget(50_000, 100_000) < 80_000
+
+
+def test_histogram_of_nothing_and_of_infinite_values(spark):
+    from pulsekit.operators.histogram import equal_width_histogram
+
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("inf"),), (float("nan"),), (None,)], "v double")
+    assert sum(r["n"] for r in equal_width_histogram(df, "v", 4).collect()) == 2
+    assert equal_width_histogram(df.where("v > 99 and v < 100"), "v", 4).collect() == []
