@@ -23,7 +23,7 @@ def test_read_log_from_namespaced_table_and_path(spark, tmp_path):
     assert got.count() == feed.count() == 569
     path = str(tmp_path / "feed")
     feed.write.parquet(path)
-    assert read_log(spark, path, FEED_SCHEMA).count() == 168
+    assert read_log(spark, path, FEED_SCHEMA).count() == 569
     with pytest.raises(ValueError):
         read_log(spark, "global_temp.pk_feed_src_missing", FEED_SCHEMA) if False else \
             read_log(spark, "global_temp.pk_feed_src", FEED_SCHEMA.add("nope", "int"))
