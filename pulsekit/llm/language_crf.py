@@ -15,8 +15,9 @@ which switches are learned. Counts and predictions cover all rows.
 
 Defined results: ``und`` with score 0 for null texts and texts without a
 letter, and for all texts when nothing can be learned; only the ``MAX_LANGS``
-most frequent languages are learned; a null doc_id is never learned from and not
-held out; other columns are ignored.
+most frequent languages are learned; of several rows of a doc_id and language the
+least text is learned from; a null doc_id is never learned from and not held out;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -234,7 +235,9 @@ def fit(spark: SparkSession, docs: DataFrame, per_lang: int = PER_LANG) -> dict
     chosen, counts = bounded_sample(rows, "lang", per_lang, MAX_LANGS)
     if not counts:
         return None
-    got = chosen.select("doc_id", "text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("draw")) \
+    # one row of each doc_id and language, so that repeated rows cannot swell the sample
+    got = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text")) \
+        .select("doc_id", "text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("draw")) \
         .repartition(1).mapInPandas(_trainer, "model binary").collect()
     model = pickle.loads(got[0]["model"]) if got else None
     return model if model and "table" in model else None
