@@ -149,6 +149,8 @@ def test_op2_learns_pairs_and_handles_odd_rows(spark):
     assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
     none = toxicity_fm.score_toxicity(spark, d, lab.limit(0)).collect()
     assert {r.predicted for r in none} == {0} and toxicity_fm.score_toxicity(spark, d.limit(0), lab).count() == 0
+    again = toxicity_fm.score_toxicity(spark, d.unionByName(d), lab).distinct().collect()
+    assert {(r.doc_id, r.score) for r in again} == {(r.doc_id, r.score) for r in out}
     kept = toxicity_fm.drop_toxic(spark, d, d, lab)
     assert kept.columns == d.columns and kept.count() < len(rows)
 
