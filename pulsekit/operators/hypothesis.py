@@ -28,6 +28,8 @@ from pulsekit.operators.ranks import DEFAULT_BINS, ranked_values
 
 ALTERNATIVES = ("less", "greater", "two-sided")
 EXACT_MAX = 8  # SciPy's default: exact U distribution when a sample is this small and nothing ties
+EXACT_MAX_STEPS = 8_000_000  # most steps, min(n_a, n_b) * n_a * n_b, the exact distribution is built with
+MWU_METHODS = ("auto", "exact", "asymptotic")
 
 
 def _group_type(df: DataFrame, group: str) -> T.DataType:
@@ -87,7 +89,17 @@ def welch_ttest(df: DataFrame, group: str, value: str, pairs, alternatives=ALTER
 
 
 def mann_whitney_u(df: DataFrame, group: str, value: str, pairs, alternatives=ALTERNATIVES, by=(),
-                   bins: int = DEFAULT_BINS) -> DataFrame:
+                   bins: int = DEFAULT_BINS, method: str = "auto") -> DataFrame:
+    """Mann-Whitney U of the group pairs.
+
+    ``method``: 'asymptotic' is the normal approximation with tie and continuity
+    correction; 'exact' the null distribution of U; 'auto' is exact where a sample
+    has at most ``EXACT_MAX`` values and nothing ties. The exact distribution has
+    n_a * n_b values, built in one task: above ``EXACT_MAX_STEPS`` 'auto' takes the
+    approximation, and 'exact' gives a null p-value, as it does with ties.
+    """
+    if method not in MWU_METHODS:
+        raise ValueError(f"method must be one of {MWU_METHODS}, not {method!r}")
     by = list(by)
     tagged = df.join(F.broadcast(_members(df, group, pairs)), F.col(group) == F.col("_member")).select(
         *by, "group_a", "group_b", "_side", value)
@@ -117,13 +129,15 @@ def mann_whitney_u(df: DataFrame, group: str, value: str, pairs, alternatives=AL
     s = F.sqrt(na * nb / 12 * ((total + 1) - F.try_divide(F.col("_tie"), total * (total - 1))))
     z = F.when(s > 0, (u - na * nb / 2 - 0.5) / s)
     factor = F.when(alt == "two-sided", F.lit(2.0)).otherwise(F.lit(1.0))
-    exact = ((F.col("n_a") <= EXACT_MAX) | (F.col("n_b") <= EXACT_MAX)) & (F.col("_tie") == 0) \
-        & F.col("u_stat").isNotNull()
+    able = (F.col("_tie") == 0) & F.col("u_stat").isNotNull() \
+        & (F.least(na, nb) * na * nb <= EXACT_MAX_STEPS)
+    small = (F.col("n_a") <= EXACT_MAX) | (F.col("n_b") <= EXACT_MAX)
+    exact = {"auto": able & small, "exact": able, "asymptotic": F.lit(False)}[method]
     out = tested.select(*keys, "alternative", "n_a", "n_b", "u_stat", z.alias("z"), factor.alias("_factor"),
                         s.alias("_s"), u.alias("_u"), exact.alias("_exact"))
     p = mwu_pvalue(F.col("z"), F.col("_factor"), F.col("_u"), F.col("n_a"), F.col("n_b"), F.col("_exact"))
     # all values tied (s = 0): the continuity-corrected z is -inf and every alternative gives p = 1
-    return out.withColumn(
-        "p_value", F.when(F.col("z").isNotNull(), _nan_to_null(p))
+    known = F.when(F.col("z").isNotNull(), _nan_to_null(p)) \
         .when((F.col("_s") == 0) & F.col("u_stat").isNotNull(), F.lit(1.0))
-    ).drop("_factor", "_s", "_u", "_exact")
+    return out.withColumn("p_value", F.when(F.col("_exact"), known) if method == "exact" else known) \
+        .drop("_factor", "_s", "_u", "_exact")

@@ -241,3 +241,22 @@ def test_histogram_of_nothing_and_of_infinite_values(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (float("inf"),), (float("nan"),), (None,)], "v double")
     assert sum(r["n"] for r in equal_width_histogram(df, "v", 4).collect()) == 2
     assert equal_width_histogram(df.where("v > 99 and v < 100"), "v", 4).collect() == []
+
+
+def test_mann_whitney_methods(spark, monkeypatch):
+    from pulsekit.operators import hypothesis
+
+    df = spark.createDataFrame([(1, float(x)) for x in (1, 4, 6, 9)] + [(2, float(x)) for x in (2, 3, 7, 8, 10)],
+                               "g int, v double")
+
+    def p(frame=df, **kw):
+        return {r["alternative"]: r["p_value"] for r in mann_whitney_u(frame, "g", "v", [(1, 2)], **kw).collect()}
+
+    assert p() == p(method="exact") and p() != p(method="asymptotic")
+    tied = df.unionByName(df.where("v = 2"))
+    assert set(p(tied, method="exact").values()) == {None}
+    assert p(tied) == p(tied, method="asymptotic")
+    monkeypatch.setattr(hypothesis, "EXACT_MAX_STEPS", 79)  # 4 * 4 * 5 steps are needed
+    assert p() == p(method="asymptotic") and set(p(method="exact").values()) == {None}
+    with pytest.raises(ValueError):
+        p(method="normal")
