@@ -1,13 +1,14 @@
 """Operator 6: near-duplicate paragraph removal by MinHash banding and components.
 
-A paragraph is a line of a text; a line of more than ``LONG_WORDS`` words is
-also cut after sentence ends whose last two words hash to 0 mod 4, so that a
-passage inside a long line is cut the same way wherever it appears. Paragraphs
-of at least ``MIN_WORDS`` words are compared as sets of five-word shingles:
-bands tuned for recall pick candidates, the whole sets decide (Jaccard of 0.8
-or more), and components of the links are the classes. Of every class the
-paragraph with the least (doc_id, position) stays; all others are removed,
-repeats within one document included.
+A paragraph is a line of a text, of any length; a line of more than
+``LONG_WORDS`` words is also cut into pieces after sentence ends whose last two
+words hash to 0 mod 4, so that a passage inside a long line is cut the same way
+wherever it appears. Lines and pieces of at least ``MIN_WORDS`` words are
+compared as sets of five-word shingles: bands tuned for recall pick candidates,
+the whole sets decide (Jaccard of 0.8 or more), and components of the links are
+the classes. Of every class the one with the least (doc_id, position) stays; all
+others are removed, repeats within one document included. Lines go first, then
+the pieces of the lines that are left (an uncut line is its own piece).
 
 Defined results: null and empty texts have no paragraphs and are kept as they
 are (null stays null); paragraphs under ``MIN_WORDS`` words are never removed;
@@ -18,6 +19,7 @@ both all count as one document; a null doc_id sorts first; other columns are ign
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +32,13 @@ from pulsekit.llm.storage import saved
 
 MIN_WORDS = 20
 LONG_WORDS = 60
+LINE, PIECE = 1, 2  # kinds of units, as bits: an uncut line is both
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
 
 
-def _paragraphs(c: TA.Chunk, w: TA.Words, hashes: np.ndarray, long_words: int):
-    """Paragraph number of every word, and the first word of each paragraph."""
+def _cuts(c: TA.Chunk, w: TA.Words, hashes: np.ndarray, long_words: int):
+    """Line number of every word, and its piece number: long lines are cut after some sentence ends."""
     n = len(w.start)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -49,74 +52,123 @@ def _paragraphs(c: TA.Chunk, w: TA.Words, hashes: np.ndarray, long_words: int):
     if n > 2:
         inner[2:] = _ENDS[c.data[w.end[1:-1] - 1]] & (pair & np.uint64(3) == 0)
     cut |= inner & (words_in_line > long_words)
-    return np.cumsum(cut) - 1, np.flatnonzero(cut)
+    return line, np.cumsum(cut) - 1
+
+
+def _runs(number: np.ndarray):
+    """First word and word count of each run of equal numbers."""
+    count = np.bincount(number)
+    return np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64), count
+
+
+def _sequence_ids(h: np.ndarray, number: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Hash of the word sequence of each run."""
+    mult = np.uint64(0xE7037ED1A0B428DB)
+    place = (np.arange(len(h)) - first[number]).astype(np.uint64)
+    return TA.mix(np.add.reduceat(TA.mix(h + place * mult), first) + count.astype(np.uint64)).view(np.int64)
+
+
+@dataclass
+class _Units:
+    """Compared units of a chunk, ordered by text and place; ``first`` and ``count`` are in words."""
+    words: TA.Words
+    ids: np.ndarray
+    kind: np.ndarray
+    first: np.ndarray
+    count: np.ndarray
+    line: np.ndarray   # first word of the unit's line
+
+    @property
+    def text(self) -> np.ndarray:
+        return self.words.text[self.first]
+
+    @property
+    def start(self) -> np.ndarray:
+        return self.words.start[self.first]
+
+    @property
+    def end(self) -> np.ndarray:
+        return self.words.end[self.first + self.count - 1]
 
 
 def _units(c: TA.Chunk, k: int, min_words: int, long_words: int):
-    """Eligible paragraphs of a chunk: id, text, byte start and end; and their grams."""
+    """The units of a chunk, and the grams of its lines and pieces with the index of their unit."""
     w = TA.words_of(c)
     h = TA.word_hashes(c, w)
-    number, first = _paragraphs(c, w, h, long_words)
-    count = np.bincount(number, minlength=len(first))
-    eligible = count >= min_words
-    grams, owner = TA.ngrams(h, number, k, len(first))
-    last = first + count - 1
-    # id: hash of the paragraph's word sequence
-    mult = np.uint64(0xE7037ED1A0B428DB)
-    ids = np.zeros(len(first), np.uint64)
-    if len(first):
-        place = (np.arange(len(h)) - first[number]).astype(np.uint64)
-        ids = TA.mix(np.add.reduceat(TA.mix(h + place * mult), first) + count.astype(np.uint64))
-    keep = eligible[owner] if len(owner) else np.zeros(0, bool)
-    pick = np.flatnonzero(eligible)
-    renumber = np.cumsum(eligible) - 1
-    return (ids.view(np.int64)[pick], w.text[first[pick]], w.start[first[pick]], w.end[last[pick]],
-            grams[keep], renumber[owner[keep]])
+    none = np.zeros(0, np.int64)
+    if not len(h):
+        return _Units(w, none, none, none, none, none), np.zeros(0, np.uint64), none
+    line, piece = _cuts(c, w, h, long_words)
+    lfirst, lcount = _runs(line)
+    pfirst, pcount = _runs(piece)
+    whole = pcount == lcount[line[pfirst]]  # pieces that are their whole line
+    lkind = np.full(len(lfirst), LINE)
+    lkind[line[pfirst[whole]]] = LINE | PIECE
+    parts = []
+    for number, first, count, kind, use in ((line, lfirst, lcount, lkind, lcount >= min_words),
+                                            (piece, pfirst, pcount, np.full(len(pfirst), PIECE), ~whole & (pcount >= min_words))):
+        if not use.any():
+            continue
+        ids = _sequence_ids(h, number, first, count)
+        grams, owner = TA.ngrams(h, number, k, len(first))
+        keep = use[owner]
+        parts.append((ids[use], kind[use], first[use], count[use], lfirst[line[first[use]]],
+                      grams[keep], (np.cumsum(use) - 1)[owner[keep]]))
+    if not parts:
+        return _Units(w, none, none, none, none, none), np.zeros(0, np.uint64), none
+    base = np.cumsum([0] + [len(x[0]) for x in parts])
+    grams = np.concatenate([x[5] for x in parts])
+    owner = np.concatenate([x[6] + at for x, at in zip(parts, base)])
+    cols = [np.concatenate([x[i] for x in parts]) for i in range(5)]
+    return _Units(w, *cols), grams, owner
 
 
 def _band_rows(k, bands, rows, min_words, long_words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in TA.text_chunks(batch.column("text")):
-                ids, _, _, _, grams, owner = _units(c, k, min_words, long_words)
+                u, grams, owner = _units(c, k, min_words, long_words)
                 h, own = ND.band_hashes(grams, owner, bands, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.ravel()), pa.array(np.repeat(ids[own], bands))], ["bucket", "id"])
+                    [pa.array(h.ravel()), pa.array(np.repeat(u.ids[own], bands))], ["bucket", "id"])
     return run
 
 
 def _unit_rows(k, min_words, long_words):
-    """(id, k1, k2, n_in_text) of every eligible paragraph."""
+    """(id, kind, k1, k2, byte start and end, byte start of the line) of every unit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc = batch.column("doc_id")
             key = batch.column("k2").to_numpy()
             for c in TA.text_chunks(batch.column("text")):
-                ids, text, start, _, _, _ = _units(c, k, min_words, long_words)
+                u = _units(c, k, min_words, long_words)[0]
+                text = u.text
+                base = c.offsets[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), doc.slice(c.lo, c.n).take(pa.array(text)), pa.array(key[c.lo:c.hi][text]),
-                     pa.array(start - c.offsets[text])], ["id", "doc_id", "k2", "pos"])
+                    [pa.array(u.ids), pa.array(u.kind.astype(np.int32)), doc.slice(c.lo, c.n).take(pa.array(text)),
+                     pa.array(key[c.lo:c.hi][text]), pa.array(u.start - base), pa.array(u.end - base),
+                     pa.array(u.words.start[u.line] - base)], ["id", "kind", "doc_id", "k2", "pos", "end", "line"])
     return run
 
 
 def _gram_sets(k, min_words, long_words):
-    """Gram sets of the wanted paragraphs of each text."""
+    """Gram sets of the wanted lines and pieces of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             want = batch.column("want")
             for c in TA.text_chunks(batch.column("text")):
-                ids, text, _, _, grams, owner = _units(c, k, min_words, long_words)
-                cut = np.searchsorted(owner, np.arange(len(ids) + 1))
+                u, grams, owner = _units(c, k, min_words, long_words)
+                cut = np.searchsorted(owner, np.arange(len(u.ids) + 1))
                 wanted = {}
                 for t in range(c.n):
                     for x in want[c.lo + t].as_py():
                         wanted[(t, x["id"])] = x
                 out, sets = [], []
-                for u, (t, i) in enumerate(zip(text.tolist(), ids.tolist())):
-                    x = wanted.pop((t, i), None)
+                for at, (t, i) in enumerate(zip(u.text.tolist(), u.ids.tolist())):
+                    x = wanted.pop((t, i), None) if cut[at] < cut[at + 1] else None
                     if x is not None:
                         out.append((i, x["grp"], x["size"]))
-                        sets.append(np.unique(grams[cut[u]:cut[u + 1]]).tobytes())
+                        sets.append(np.unique(grams[cut[at]:cut[at + 1]]).tobytes())
                 cols = list(zip(*out)) if out else [(), (), ()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, pa.int64()) for x in cols] + [pa.array([1] * len(out), pa.int64()),
@@ -126,55 +178,72 @@ def _gram_sets(k, min_words, long_words):
 
 
 def _cut_texts(k, min_words, long_words):
-    """Cut the removed paragraphs out of each text.
-
-    ``drop`` lists (id, pos): pos is the byte position of the paragraph that
-    stays when this text holds it, else -1.
-    """
+    """Cut the removed spans out of each text; ``drop`` lists (pos, end) in bytes, overlaps are merged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             drop = batch.column("drop")
             for c in TA.text_chunks(batch.column("text")):
-                ids, text, start, end, _, _ = _units(c, k, min_words, long_words)
-                bounds = np.searchsorted(text, np.arange(c.n + 1))
-                spans, texts, n_par, n_removed = [], [], [], []
+                u = _units(c, k, min_words, long_words)[0]
+                n_units = np.bincount(u.text, minlength=c.n)
+                spans, texts = [], []
                 for t in range(c.n):
-                    a, b = bounds[t], bounds[t + 1]
-                    base = int(c.offsets[t])
-                    raw = c.data[base:int(c.offsets[t + 1])].tobytes()
-                    marks = {x["id"]: x["pos"] for x in (drop[c.lo + t].as_py() or ())}
-                    cut = [(int(start[u]) - base, int(end[u]) - base) for u in range(a, b)
-                           if marks.get(int(ids[u]), int(start[u]) - base) != int(start[u]) - base]
+                    raw = c.data[int(c.offsets[t]):int(c.offsets[t + 1])].tobytes()
+                    cut = []
+                    for s, e in sorted((x["pos"], x["end"]) for x in (drop[c.lo + t].as_py() or ())):
+                        if cut and s < cut[-1][1]:
+                            cut[-1][1] = max(cut[-1][1], e)
+                        else:
+                            cut.append([s, e])
                     kept, at = [], 0
                     for s, e in cut:
                         kept.append(raw[at:s])
-                        at = e + 1 if raw[e:e + 1] == b"\n" else e
+                        at = e + 1 if raw[e:e + 1] == b"\n" and raw[max(s - 1, 0):s] in (b"", b"\n") else e
                     kept.append(raw[at:])
                     spans.append([{"start": s, "end": e} for s, e in cut])
                     texts.append(b"".join(kept).decode("utf-8", "replace"))
-                    n_par.append(int(b - a))
-                    n_removed.append(len(cut))
                 part = batch.slice(c.lo, c.n)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n_par, pa.int64()), pa.array(n_removed, pa.int64()),
+                    [part.column("doc_id"), pa.array(n_units.astype(np.int64)),
+                     pa.array([len(x) for x in spans], pa.int64()),
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                      pa.array(texts, pa.string())],
                     ["doc_id", "n_paragraphs", "n_removed", "spans", "kept_text"])
     return run
 
 
+def _repeats(spark: SparkSession, units: DataFrame, by: str, name: str) -> DataFrame:
+    """Units whose class ``by`` has one at a lesser (doc_id, k2, pos)."""
+    units = saved(spark, units, f"{name}-units")
+    least = saved(spark, units.groupBy(F.col(by).alias("class")).agg(F.min(F.struct("doc_id", "k2", "pos")).alias("win"),
+                                                                     F.max(F.struct("doc_id", "k2", "pos")).alias("top"))
+                  .where("win < top").select("class", "win"), f"{name}-winners")
+    there = F.struct("doc_id", "k2", "pos")
+    return saved(spark, units.join(least, F.col(by) == F.col("class")).where(there > F.col("win"))
+                 .select("doc_id", "k2", "pos", "end", "line"), f"{name}-removed")
+
+
+def _outside(units: DataFrame, removed: DataFrame) -> DataFrame:
+    """Units that overlap no removed span of their line."""
+    r = removed.select(F.col("doc_id").alias("rdoc"), F.col("k2").alias("rk2"), F.col("line").alias("rline"),
+                       F.col("pos").alias("rpos"), F.col("end").alias("rend"))
+    return units.join(r, F.col("doc_id").eqNullSafe(F.col("rdoc")) & (F.col("k2") == F.col("rk2"))
+                      & (F.col("line") == F.col("rline")) & (F.col("pos") < F.col("rend"))
+                      & (F.col("end") > F.col("rpos")), "left_anti")
+
+
 def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND.THRESHOLD,
                      k: int = ND.SHINGLE_WORDS, target_recall: float = ND.TARGET_RECALL,
                      min_words: int = MIN_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_paragraphs (compared), n_removed,
+    """One row per document: doc_id, n_paragraphs (units compared), n_removed (ranges cut),
     spans (removed byte ranges of the UTF-8 text) and kept_text."""
     bands, rows = ND.choose_bands(threshold, target_recall)
     d = docs.select("doc_id", F.xxhash64("text").alias("k2"), "text").where("text is not null")
     buckets = d.select("text").mapInArrow(_band_rows(k, bands, rows, min_words, long_words), "bucket long, id long")
     groups = ND.candidate_groups(spark, buckets)
-    # where each repeated paragraph stands first: minima are combined before the shuffle
-    units = d.mapInArrow(_unit_rows(k, min_words, long_words), "id long, doc_id long, k2 long, pos long")
-    first = units.groupBy("id").agg(F.min(F.struct("doc_id", "k2", "pos")).alias("at"), F.count("*").alias("n"))
+    # where each repeated unit stands first: minima are combined before the shuffle
+    units = d.mapInArrow(_unit_rows(k, min_words, long_words),
+                         "id long, kind int, doc_id long, k2 long, pos long, end long, line long")
+    first = units.groupBy("id").agg(F.min(F.struct("doc_id", "k2")).alias("at"), F.count("*").alias("n"))
     first = saved(spark, first.join(groups, "id", "left").where("n > 1 or grp is not null"), "first")
     # gram sets of one copy of each candidate paragraph
     wants = first.where("grp is not null").groupBy("at.doc_id", "at.k2").agg(
@@ -187,20 +256,15 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
                     "id long, grp long, size long, weight long, grams binary")
     )
     classes = ND.verified_classes(spark, items, threshold)
-    member = first.join(classes.select("id", "comp"), "id", "left").where("n > 1 or comp is not null").select(
-        "id", "at", F.coalesce("comp", "id").alias("comp"))
-    member = saved(spark, member, "members")
-    winner = saved(spark, member.groupBy("comp").agg(F.min("at").alias("win")), "winners")
-    repeated = saved(spark, member.join(winner, "comp").select(F.col("id").alias("rid"), "at", "win"), "repeated")
-    # per text: its repeated paragraphs, with the place of the one that stays
-    here = (F.col("win.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("win.k2") == F.col("k2"))
-            & (F.col("at") == F.col("win")))
-    drops = (
-        units.join(repeated, F.col("id") == F.col("rid"))
-        .select(F.col("doc_id").alias("xdoc"), F.col("k2").alias("xk2"), "id",
-                F.when(here, F.col("win.pos")).otherwise(F.lit(-1)).alias("pos")).distinct()
-        .groupBy("xdoc", "xk2").agg(F.collect_list(F.struct("id", "pos")).alias("drop"))
-    )
+    member = saved(spark, first.join(classes.select("id", "comp"), "id", "left").where("n > 1 or comp is not null")
+                   .select(F.col("id").alias("rid"), F.coalesce("comp", "id").alias("comp")), "members")
+    found = saved(spark, units.join(member, F.col("id") == F.col("rid")).drop("rid").distinct(), "found")
+    # coarse to fine: what a removed line or piece holds does not stand for copies of it elsewhere
+    lines = _repeats(spark, found.where(F.col("kind").bitwiseAND(LINE) > 0), "comp", "line")
+    pieces = _repeats(spark, _outside(found.where(F.col("kind").bitwiseAND(PIECE) > 0), lines), "comp", "piece")
+    removed = lines.unionByName(pieces)
+    drops = removed.select(F.col("doc_id").alias("xdoc"), F.col("k2").alias("xk2"), "pos", "end").groupBy(
+        "xdoc", "xk2").agg(F.collect_list(F.struct("pos", "end")).alias("drop"))
     out = d.join(drops, F.col("doc_id").eqNullSafe(F.col("xdoc")) & (F.col("k2") == F.col("xk2")), "left") \
         .select("doc_id", "text", "drop").mapInArrow(
             _cut_texts(k, min_words, long_words),

@@ -277,6 +277,24 @@ def test_op6_removes_near_copies_of_paragraphs(spark, docs):
     assert paragraph_dedup.dedup_paragraphs(spark, docs.limit(0)).count() == 0
 
 
+
+def test_op6_compares_whole_lines_of_any_length(spark):
+    rng = random.Random(16)
+    rows, n = [], 0
+    for size in (60, 61, 90, 150):
+        line = [x + "." if i % 9 == 8 else x for i, x in enumerate(f"s{size}x{rng.randrange(10 ** 6)}" for _ in range(size))]
+        for at in (1, size // 3, size // 2):
+            near = list(line)
+            near[at] = "edited"
+            rows.append((1000 + n, " ".join(near)))
+            n += 1
+        rows += [(size, " ".join(line)), (2000 + size, " ".join(line[:-1]))]
+    d = spark.createDataFrame([(i, t, None, None, 0, "", 1, "", 1) for i, t in rows], SCHEMA)
+    out = {r.doc_id: r for r in paragraph_dedup.dedup_paragraphs(spark, d).collect()}
+    for i, t in rows:
+        assert out[i].kept_text == (t if i < 1000 else ""), i
+
+
 # ------------------------------------------------------------------ operator 7
 def test_op7_equals_exact_counts(spark, docs):
     rows = [(r.doc_id, r.text, r.source) for r in docs.select("doc_id", "text", "source").collect()]
