@@ -10,8 +10,14 @@ the classes. Of every class the one with the least (doc_id, position) stays; all
 others are removed, repeats within one document included. Lines go first, then
 the pieces of the lines that are left (an uncut line is its own piece).
 
+Last, windows of ``WINDOW`` words at content-anchored places of the lines are
+compared word by word in what is left, so any passage of 50 equal words or more
+is seen wherever it stands in its line, with or without sentence ends. Of equal
+windows the first stays; the parts of a passage before its first and after its
+last window (fewer than 25 words each) stay too.
+
 Defined results: null and empty texts have no paragraphs and are kept as they
-are (null stays null); paragraphs under ``MIN_WORDS`` words are never removed;
+are (null stays null); lines under ``MIN_WORDS`` words are never removed;
 documents with equal doc_id are told apart by their text, and of rows equal in
 both all count as one document; a null doc_id sorts first; other columns are ignored.
 """
@@ -32,7 +38,11 @@ from pulsekit.llm.storage import saved
 
 MIN_WORDS = 20
 LONG_WORDS = 60
-LINE, PIECE = 1, 2  # kinds of units, as bits: an uncut line is both
+# Windows start at the least word 5-gram of every ANCHOR_SPAN starts in a row, so every passage of
+# ANCHOR_SPAN + WINDOW - 1 = 50 words holds a whole one, and windows in a row leave no word between them.
+WINDOW = 26
+ANCHOR_SPAN = 25
+LINE, PIECE, WINDOWS = 1, 2, 4  # kinds of units, as bits: an uncut line is both of the first
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
 
@@ -68,6 +78,34 @@ def _sequence_ids(h: np.ndarray, number: np.ndarray, first: np.ndarray, count: n
     return TA.mix(np.add.reduceat(TA.mix(h + place * mult), first) + count.astype(np.uint64)).view(np.int64)
 
 
+def _anchors(h: np.ndarray, line: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Words at which a window starts: minimizers among the starts whose window lies in the line."""
+    starts = count - WINDOW + 1  # possible starts a line
+    n = len(h)
+    if n < WINDOW or (starts <= 0).all():
+        return np.zeros(0, np.int64)
+    g = h[:n - 4].copy()
+    for j in range(1, 5):
+        g = g * np.uint64(0xC2B2AE3D27D4EB4F) + h[j:n - 4 + j]
+    place = np.arange(n) - first[line]
+    at = np.flatnonzero(place < starts[line])
+    value, mine = TA.mix(g[at]), line[at]
+    # rightmost least value of each ANCHOR_SPAN starts in a row; a line with fewer starts is one such row
+    run = np.concatenate([[True], mine[1:] != mine[:-1]])
+    lo = np.flatnonzero(run)
+    size = np.diff(np.append(lo, len(at)))
+    best = np.arange(len(at))  # index of the least of the last `reach` starts of the line
+    reach = 1
+    back = np.arange(len(at)) - np.repeat(lo, size)  # starts of the line before this one
+    while reach < ANCHOR_SPAN:
+        step = min(reach, ANCHOR_SPAN - reach)
+        other = best[np.arange(len(at)) - np.minimum(step, back)]
+        best = np.where(value[other] < value[best], other, best)
+        reach += step
+    full = back >= np.minimum(ANCHOR_SPAN, np.repeat(size, size)) - 1
+    return at[np.unique(best[full])]
+
+
 @dataclass
 class _Units:
     """Compared units of a chunk, ordered by text and place; ``first`` and ``count`` are in words."""
@@ -91,7 +129,7 @@ class _Units:
         return self.words.end[self.first + self.count - 1]
 
 
-def _units(c: TA.Chunk, k: int, min_words: int, long_words: int):
+def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool = False):
     """The units of a chunk, and the grams of its lines and pieces with the index of their unit."""
     w = TA.words_of(c)
     h = TA.word_hashes(c, w)
@@ -114,6 +152,14 @@ def _units(c: TA.Chunk, k: int, min_words: int, long_words: int):
         keep = use[owner]
         parts.append((ids[use], kind[use], first[use], count[use], lfirst[line[first[use]]],
                       grams[keep], (np.cumsum(use) - 1)[owner[keep]]))
+    at = _anchors(h, line, lfirst, lcount) if windows else none
+    if len(at):
+        mult = np.uint64(0xE7037ED1A0B428DB)
+        ids = np.zeros(len(at), np.uint64)
+        for j in range(WINDOW):
+            ids += TA.mix(h[at + j] + np.uint64(j) * mult)
+        parts.append((TA.mix(ids + np.uint64(WINDOW)).view(np.int64), np.full(len(at), WINDOWS), at,
+                      np.full(len(at), WINDOW), lfirst[line[at]], np.zeros(0, np.uint64), none))
     if not parts:
         return _Units(w, none, none, none, none, none), np.zeros(0, np.uint64), none
     base = np.cumsum([0] + [len(x[0]) for x in parts])
@@ -141,7 +187,7 @@ def _unit_rows(k, min_words, long_words):
             doc = batch.column("doc_id")
             key = batch.column("k2").to_numpy()
             for c in TA.text_chunks(batch.column("text")):
-                u = _units(c, k, min_words, long_words)[0]
+                u = _units(c, k, min_words, long_words, True)[0]
                 text = u.text
                 base = c.offsets[text]
                 yield pa.RecordBatch.from_arrays(
@@ -183,7 +229,7 @@ def _cut_texts(k, min_words, long_words):
         for batch in batches:
             drop = batch.column("drop")
             for c in TA.text_chunks(batch.column("text")):
-                u = _units(c, k, min_words, long_words)[0]
+                u = _units(c, k, min_words, long_words, True)[0]
                 n_units = np.bincount(u.text, minlength=c.n)
                 spans, texts = [], []
                 for t in range(c.n):
@@ -262,7 +308,8 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
     # coarse to fine: what a removed line or piece holds does not stand for copies of it elsewhere
     lines = _repeats(spark, found.where(F.col("kind").bitwiseAND(LINE) > 0), "comp", "line")
     pieces = _repeats(spark, _outside(found.where(F.col("kind").bitwiseAND(PIECE) > 0), lines), "comp", "piece")
-    removed = lines.unionByName(pieces)
+    coarse = lines.unionByName(pieces)
+    removed = coarse.unionByName(_repeats(spark, _outside(found.where(F.col("kind") == WINDOWS), coarse), "id", "window"))
     drops = removed.select(F.col("doc_id").alias("xdoc"), F.col("k2").alias("xk2"), "pos", "end").groupBy(
         "xdoc", "xk2").agg(F.collect_list(F.struct("pos", "end")).alias("drop"))
     out = d.join(drops, F.col("doc_id").eqNullSafe(F.col("xdoc")) & (F.col("k2") == F.col("xk2")), "left") \

@@ -295,6 +295,25 @@ def test_op6_compares_whole_lines_of_any_length(spark):
         assert out[i].kept_text == (t if i < 1000 else ""), i
 
 
+
+def test_op6_sees_passages_of_fifty_words_inside_lines(spark):
+    rng = random.Random(26)
+    fresh = lambda n: [f"u{rng.randrange(10 ** 9)}" for _ in range(n)]
+    rows, cases = [], []
+    for n, size in enumerate((50, 50, 55, 80, 120, 200) * 4):
+        passage = fresh(size)
+        rows += [(n, " ".join(fresh(120) + passage + fresh(130))), (1000 + n, " ".join(fresh(140) + passage + fresh(90)))]
+        cases.append((n, passage))
+    d = spark.createDataFrame([(i, t, None, None, 0, "", 1, "", 1) for i, t in rows], SCHEMA)
+    out = {r.doc_id: r.kept_text for r in paragraph_dedup.dedup_paragraphs(spark, d).collect()}
+    text = dict(rows)
+    for n, passage in cases:
+        assert out[n] == text[n]
+        left = out[1000 + n].split()
+        assert len(passage) - 48 <= 230 + len(passage) - len(left) <= len(passage) and len(left) < 230 + len(passage) - 25
+        assert set(text[1000 + n].split()) - set(left) <= set(passage)
+
+
 # ------------------------------------------------------------------ operator 7
 def test_op7_equals_exact_counts(spark, docs):
     rows = [(r.doc_id, r.text, r.source) for r in docs.select("doc_id", "text", "source").collect()]
