@@ -12,7 +12,7 @@ fixed ``2**BITMAP_BITS`` bits, however large the benchmark), so only likely
 hits are shuffled; the join itself is exact.
 
 Defined results: null and empty texts have no hits; items of fewer than
-``MIN_ITEM`` words are not searched for; equal items count once each by their
+``MIN_ITEM`` words are found only by all their words in a row, unchanged; equal items count once each by their
 item_id; copies of a text get the same result; a null doc_id comes back null;
 an empty benchmark leaves every document clean; other columns are ignored.
 """
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from pulsekit.llm import textarrays as TA
 from pulsekit.llm.storage import saved
 
-# The masks (six of eight to ten positions).
-MASKS = ("11011011", "1110010101", "1010110011")
+# The masks (six of seven to ten positions). Wherever the substitutions that AGREE allows stand in 10 to
+# 15 words, one of the masks has a place without any.
+MASKS = ("11011011", "1110010101", "1010110011", "1111101", "110001111", "101110011")
 MIN_ITEM = 10
 WINDOW = 15
 AGREE = 0.8
@@ -45,35 +46,38 @@ def _words(c: TA.Chunk):
     return w, TA.word_hashes(c, w)
 
 
-def _seeds(w: TA.Words, h: np.ndarray):
-    """(seed, word index of its start) for every mask and every start whose span stays in one text."""
+def _seeds(w: TA.Words, h: np.ndarray, lengths: tuple[int, ...]):
+    """(word count of a short item or 0, seed, word index of its start) for every mask, and every length of a short
+    item, and every start whose span stays in one text."""
     n = len(h)
-    for m, mask in enumerate(MASKS):
+    masks = [(0, m + 1, mask) for m, mask in enumerate(MASKS)] + [(x, 100 + x, "1" * x) for x in lengths]
+    for short, tag, mask in masks:
         span = len(mask)
         if n < span:
             continue
-        g = np.full(n - span + 1, m + 1, dtype=np.uint64)
+        g = np.full(n - span + 1, tag, dtype=np.uint64)
         for j, on in enumerate(mask):
             if on == "1":
                 g = g * np.uint64(0xC2B2AE3D27D4EB4F) + h[j:n - span + 1 + j]
         at = np.flatnonzero(w.text[:n - span + 1] == w.text[span - 1:])
-        yield TA.mix(g[at]), at
+        yield short, TA.mix(g[at]), at
 
 
-def _seed_rows(bitmap=None):
+def _seed_rows(lengths: tuple[int, ...], bitmap=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if bitmap is None else bitmap.value
         for batch in batches:
             key = batch.column("key").to_numpy()
             for c in TA.text_chunks(batch.column("text")):
                 w, h = _words(c)
-                for seed, at in _seeds(w, h):
+                for short, seed, at in _seeds(w, h, lengths):
                     if bits is not None:
                         slot = (seed & np.uint64((1 << BITMAP_BITS) - 1)).astype(np.int64)
                         ok = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
                         seed, at = seed[ok], at[ok]
                     elif len(seed):
-                        ok = w.count[w.text[at]] >= MIN_ITEM
+                        count = w.count[w.text[at]]
+                        ok = count == short if short else count >= MIN_ITEM
                         seed, at = seed[ok], at[ok]
                     t = w.text[at]
                     yield pa.RecordBatch.from_arrays(
@@ -82,6 +86,14 @@ def _seed_rows(bitmap=None):
     return run
 
 
+def _short_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word counts of the items that are too short for the masks."""
+    for batch in batches:
+        for c in TA.text_chunks(batch.column("text")):
+            n = np.unique(_words(c)[0].count)
+            yield pa.RecordBatch.from_arrays([pa.array(n[(n > 0) & (n < MIN_ITEM)].astype(np.int32))], ["n"])
+
+
 def _bitmap(seeds: DataFrame) -> np.ndarray:
     """Bitmap of the seeds: at most 2**BITMAP_BITS / 64 words reach the driver."""
     slot = F.col("seed").bitwiseAND((1 << BITMAP_BITS) - 1)
@@ -132,12 +144,13 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFra
     """(key, item, overlap, equal, start, item_words): verified overlaps of distinct texts (key: text hash) and items."""
     items = benchmark.where("text is not null").select(F.xxhash64("text").alias("key"), F.lower("text").alias("text"))
     items = saved(spark, items.dropDuplicates(["key"]), "items")
-    seeds = saved(spark, items.mapInArrow(_seed_rows(), "seed long, key long, pos long").select(
+    seeds = saved(spark, items.mapInArrow(_seed_rows(tuple(range(1, MIN_ITEM))), "seed long, key long, pos long").select(
         "seed", F.col("key").alias("item"), F.col("pos").alias("at")), "item-seeds")
     bitmap = spark.sparkContext.broadcast(_bitmap(seeds))
+    lengths = tuple(r.n for r in items.mapInArrow(_short_lengths, "n int").distinct().collect())  # at most MIN_ITEM - 1
     texts = docs.where("text is not null").select(F.xxhash64("text").alias("key"), "doc_id",
                                                   F.lower("text").alias("text"))
-    found = texts.select("key", "text").mapInArrow(_seed_rows(bitmap), "seed long, key long, pos long")
+    found = texts.select("key", "text").mapInArrow(_seed_rows(lengths, bitmap), "seed long, key long, pos long")
     hits = saved(spark, found.join(seeds, "seed").select("key", "item", (F.col("pos") - F.col("at")).alias("shift"))
                  .distinct(), "hits")
     near = hits.groupBy("key", "item").agg(F.collect_list("shift").alias("shifts"))

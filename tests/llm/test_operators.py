@@ -217,6 +217,24 @@ def test_op4_finds_substituted_passages(spark, docs):
     assert decontaminate.find_leaks(spark, d.limit(0), b).count() == 0
 
 
+
+def test_op4_masks_reach_every_placement():
+    from itertools import combinations
+    for n, changed in ((10, 2), (11, 2), (12, 2), (13, 2), (14, 2), (15, 3)):
+        for gone in combinations(range(n), changed):
+            assert any(all(mask[j] == "0" or s + j not in gone for j in range(len(mask)))
+                       for mask in decontaminate.MASKS for s in range(n - len(mask) + 1)), (n, gone)
+
+
+def test_op4_finds_short_items(spark):
+    items = [(0, "seven little words stand here in row"), (1, "\u4eca\u65e5\u306f\u3044\u3044\u5929\u6c17"), (2, "a b c d e f g h i j")]
+    rows = [(0, "so SEVEN little words, stand here in row too"), (1, "x \u4eca\u65e5\u306f\u3044\u3044\u5929\u6c17 y"),
+            (2, "q z b z d e f g h i j q"), (3, "seven little words stood here in row")]
+    d = spark.createDataFrame([(i, t, "en", "s", 0, "", 1, "", 1) for i, t in rows], SCHEMA)
+    out = decontaminate.find_leaks(spark, d, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.item_ids for r in out} == {0: [0], 1: [1], 2: [2], 3: []}
+
+
 # ------------------------------------------------------------------ operator 5
 def test_op5_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
