@@ -141,7 +141,7 @@ def _fit(texts: pa.Array, labels: list[str], epochs: int = EPOCHS) -> dict:
     batch = 256
     for _ in range(epochs):
         order = rng.permutation(len(pieces))
-        for at in range(0, len(order) - batch, batch):
+        for at in range(0, len(order), batch):
             mine = order[at:at + batch]
             follow = np.minimum(mine + 1, len(pieces) - 1)
             other = np.where(rng.random(len(mine)) < SWITCHED, rng.permutation(mine), follow)

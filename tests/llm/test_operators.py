@@ -276,6 +276,14 @@ def test_op5_labels_languages_and_switches(spark):
     assert {r.lang_pred for r in nothing} == {"und"}
 
 
+
+def test_op5_learns_from_few_pieces():
+    texts = ["the thing that", "le que eau"] * 20
+    model = language_crf._fit(pa.array(texts), ["en", "fr"] * 20)
+    post, _ = language_crf.word_posteriors(pa.array(["the thing", "que eau"]), model)
+    assert post.argmax(1).tolist() == [0, 0, 1, 1] and post.max(1).min() > 0.6
+
+
 # ------------------------------------------------------------------ operator 6
 def test_op6_removes_near_copies_of_paragraphs(spark, docs):
     rng = random.Random(6)
