@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsekit.llm import (
-    decontaminate, language_crf, license_scan, line_spread, mixing, ngram_join, paragraph_dedup, quality_rules,
-    substring_dedup, toxicity_fm,
+    conversation_repair, decontaminate, language_crf, license_scan, line_spread, mixing, ngram_join, packing,
+    paragraph_dedup, periodic_runs, quality_rules, substring_dedup, toxicity_fm,
 )
 from pulsekit.llm.storage import read_table
 
@@ -56,11 +57,26 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.find_runs(
+        read_table(spark, sf_dir, "documents"), periodic_runs.planted_loop))
+
+
+def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(packing.pack_documents(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damaged(conversations), conversations.select("conv_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_array_dedup, op2_toxicity_fm, op3_ngram_jaccard_join, op4_benchmark_decontamination,
         op5_language_crf, op6_paragraph_dedup, op7_line_spread, op8_license_scan, op9_quality_rules,
-        op10_temperature_mixing)
+        op10_temperature_mixing, op11_periodic_runs, op12_cost_packing, op13_conversation_repair)
 }
 
 
