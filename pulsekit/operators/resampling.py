@@ -5,16 +5,17 @@ results do not depend on partitioning, task retries or executor loss - a
 recomputed partition draws the same numbers.
 
 * ``bootstrap_means``: with-replacement resampling of n values per group.
-  Values get a dense index 0..n-1 (hash-prefix bins + bin offsets, so no
-  group is sorted in one task); each (replicate, slot) draws an index, and an
-  equi-join on (group, index) fetches the value; the mean is a partial/final
-  aggregate per (replicate, group).
+  Binomial splits deal the n draws of a replicate over bins of users, the draws
+  are made inside the bins, and only their sums leave them (``split_draws``).
 * ``poisson_bootstrap_ctr``: each user gets a Poisson(1) weight per replicate
   (inverse CDF of a hashed uniform); weighted sums are combined map-side, so
   only (replicate, group) partial sums are shuffled.
 * ``aa_simulation``: per iteration, a uniform sample of n users without
-  replacement per group from hashed sequential draws into the dense index
-  (see ``aa_samples``), then Welch's test per iteration.
+  replacement per group, dealt over bins by hypergeometric splits; bins return
+  moments, and Welch's test follows per iteration.
+* ``aa_samples``: the rows of such samples, from hashed sequential draws into a
+  dense index 0..n-1 (hash-prefix bins + bin offsets, so no group is sorted in
+  one task).
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from pyspark.sql import types as T
 
 from pulsekit.functions.columns import poisson1_draw, stable_hash32, stable_uniform
 from pulsekit.functions.joins import join_known_small
-from pulsekit.operators.hypothesis import welch_ttest
+from pulsekit.operators.hypothesis import welch_from_moments
+from pulsekit.operators.split_draws import moments_inside, split_draws, sum_inside
 from pulsekit.session import shared_dir
 
 INDEX_BITS = 12  # 4096 hash-prefix bins per group
@@ -57,31 +59,33 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _total_rows(sizes: DataFrame, col: str = "_n") -> int:
-    """Sum of per-group sizes (one row per group is fetched)."""
-    return int(sum(r[col] for r in sizes.collect()))
+# Values enter the bootstrap's sums as decimals of 12 places, in two whole numbers (units of 2^24 and the rest):
+# sums are exact, so equal draws give equal means under any partitioning and rank tests see stable ties.
+_PLACES, _UNIT = 12, 1 << 24
 
 
 def bootstrap_means(df: DataFrame, group: str, value: str, replicates: int, seed: int,
                     key: str = "user_id") -> DataFrame:
-    """Mean of n draws with replacement from each group's n non-null values, per replicate."""
-    vals = df.where(F.col(value).isNotNull()).select(group, key, value)
-    indexed = dense_index(vals, group, key)
+    """Mean of n draws with replacement from each group's n non-null values, per replicate.
+
+    The draws of a replicate are dealt over bins of users by binomial splits and
+    drawn inside the bins (``split_draws``), which return their exact sums.
+    """
+    dec = T.DecimalType(38, 0)
+    whole = F.floor(F.col(value).cast(T.DecimalType(38, _PLACES)) * F.lit(10 ** _PLACES).cast(T.DecimalType(13, 0)))
+    vals = df.where(F.col(value).isNotNull()).select(group, key, whole.cast(dec).alias("_w"))
+    vals = vals.select(group, key, F.floor(F.col("_w") / _UNIT).cast("long").alias("_hi"),
+                       F.pmod("_w", F.lit(_UNIT)).cast("long").alias("_lo"))
+    sums = split_draws(vals, group, key, ["_hi", "_lo"], replicates, lambda n: n, seed, True, sum_inside,
+                       "replicate long, hi long, lo long")
     sizes = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))  # one row per group
-    draws = (
-        _spread(indexed.select(group, F.col("idx").alias("_slot")))
+    total = F.sum("hi").cast(dec) * F.lit(_UNIT) + F.sum("lo").cast(dec)
+    return (
+        sums.groupBy("replicate", F.col("_g").alias(group)).agg(total.alias("_sum"))
         .join(F.broadcast(sizes), group)
-        .select(group, "_n", "_slot", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-        .select(group, "replicate",
-                F.floor(stable_uniform(seed, group, "replicate", "_slot") * F.col("_n")).alias("idx"))
+        .select(F.col("replicate").cast("int").alias("replicate"), group,
+                (F.col("_sum").cast("double") / float(10 ** _PLACES) / F.col("_n")).alias("mean"))
     )
-    # the indexed side has exactly sum(sizes) rows: one bounded summary row per group tells
-    picked = join_known_small(draws, indexed.select(group, "idx", value), [group, "idx"],
-                              small_rows=_total_rows(sizes))
-    # exact decimal sums: a replicate's mean does not depend on summation order, so equal
-    # draws give equal means under any partitioning (rank tests over replicates see stable ties)
-    exact_sum = F.sum(F.col(value).cast(T.DecimalType(38, 12))).cast("double")
-    return picked.groupBy("replicate", group).agg((exact_sum / F.count(value)).alias("mean"))
 
 
 def poisson_bootstrap_ctr(um: DataFrame, replicates: int, seed: int, group: str = "exp_group") -> DataFrame:
@@ -173,9 +177,40 @@ def aa_samples(um: DataFrame, groups, iterations: int, n: int, seed: int, value:
 
 def aa_simulation(um: DataFrame, a, b, iterations: int, n: int, seed: int, value: str = "ctr",
                   group: str = "exp_group", key: str = "user_id") -> DataFrame:
-    """Welch two-sided test of group a vs b on a fresh subsample per iteration."""
-    sample = aa_samples(um, (a, b), iterations, n, seed, value, group, key)
-    return welch_ttest(sample, group, value, [(a, b)], ["two-sided"], by=["iteration"])
+    """Welch two-sided test of group a vs b on a fresh subsample of n users a group per iteration.
+
+    The n users of a cell are dealt over bins by hypergeometric splits and drawn
+    without replacement inside the bins (``split_draws``); a bin returns moments
+    about the group's mean, so no task holds a cell and no sampled user is a row.
+    A group of fewer than n users is an error.
+    """
+    vals = um.where(F.col(group).isin(a, b) & F.col(value).isNotNull()).select(
+        group, key, F.col(value).cast("double").alias("_x"))
+    about = {r[group]: r for r in vals.groupBy(group).agg(  # one row per group
+        F.count(F.lit(1)).alias("_n"), F.avg("_x").alias("_c")).collect()}
+    for g in (a, b):
+        if (have := about[g]["_n"] if g in about else 0) < n:
+            raise ValueError(f"group {g!r} holds {have} users, fewer than the sample of {n}")
+    centre = F.when(F.col(group) == F.lit(a), F.lit(about[a]["_c"])).otherwise(F.lit(about[b]["_c"]))
+    moments = split_draws(
+        vals.withColumn("_x", F.col("_x") - centre), group, key, ["_x"], iterations, lambda _: n, seed, False,
+        moments_inside, "iteration long, n long, s1 double, s2 double")
+
+    def side(name, g):
+        return [F.sum(F.when(F.col("_g") == F.lit(g), F.col(c))).alias(f"{c}_{name}") for c in ("n", "s1", "s2")]
+
+    both = moments.groupBy(F.col("iteration").cast("int").alias("iteration")).agg(*side("a", a), *side("b", b))
+
+    def stats(name, g):
+        count, s1, s2 = (F.col(f"{c}_{name}") for c in ("n", "s1", "s2"))
+        spread = F.greatest(s2 - s1 * s1 / count, F.lit(0.0))
+        return [count.alias(f"n_{name}"), (F.lit(about[g]["_c"]) + s1 / count).alias(f"mean_{name}"),
+                F.when(count >= 2, spread / (count - 1)).alias(f"var_{name}")]
+
+    kind = um.schema[group].dataType
+    return welch_from_moments(
+        both.select("iteration", F.lit(a).cast(kind).alias("group_a"), F.lit(b).cast(kind).alias("group_b"),
+                    *stats("a", a), *stats("b", b)), ["iteration"], ["two-sided"])
 
 
 def false_positive_rate(tests: DataFrame, alpha: float = 0.05) -> DataFrame:

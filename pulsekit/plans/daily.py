@@ -15,13 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsekit.operators import etl, user_state as US
 from pulsekit.plans import reports
-from pulsekit.sources import write_mart, write_mart_table
+from pulsekit.sources import publish_mart, write_mart, write_mart_table
 
 
-def load_daily_mart(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date, target: str) -> None:
-    """The ETL job: the mart rows of ``as_of - 1`` into ``target`` (a path or a catalog table name)."""
+def load_daily_mart(spark: SparkSession, feed: DataFrame, messages: DataFrame, as_of: date, target: str,
+                    published: bool = False) -> None:
+    """The ETL job: the mart rows of ``as_of - 1`` into ``target`` (a path or a catalog table name).
+
+    ``published`` (paths only) loads by a manifest: readers (``read_published_mart``)
+    never see a day half replaced."""
     mart = etl.metrics_mart(feed, messages, as_of)
-    if "/" in target:
+    if published:
+        publish_mart(spark, mart, target)
+    elif "/" in target:
         write_mart(mart, target)
     else:
         write_mart_table(spark, mart, target)

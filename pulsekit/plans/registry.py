@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pulsekit import params as P
 from pulsekit.operators import etl
 from pulsekit.session import shared_dir
-from pulsekit.sources import load_fixture_logs, read_mart, write_mart
+from pulsekit.sources import load_fixture_logs, publish_mart, read_mart, read_published_mart, write_mart
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -95,6 +95,17 @@ def _etl_mart_roundtrip(spark, sf_dir):
     return read_mart(spark, path)
 
 
+@query("etl_mart_published")
+def _etl_mart_published(spark, sf_dir):
+    """Load two days, one of them twice, by the manifest and read the report day back."""
+    lg = logs(spark, sf_dir)
+    path = shared_dir(spark, "published-mart")
+    for as_of in (P.AS_OF, P.AS_OF.replace(day=P.AS_OF.day - 1), P.AS_OF):
+        publish_mart(spark, etl.metrics_mart(lg.feed, lg.messages, as_of), path)
+    day = P.AS_OF.replace(day=P.AS_OF.day - 1).isoformat()
+    return read_published_mart(spark, path, day, day)
+
+
 # ---------------------------------------------------------------- feed / app metrics
 from pulsekit.operators import audience, pivots  # noqa: E402
 from pulsekit.plans import reports  # noqa: E402
@@ -272,13 +283,13 @@ query("aa_false_positive_rate", rounded=True)(lambda s, d: RS.false_positive_rat
 
 
 # ---------------------------------------------------------------- streaming
-from pulsekit.streaming.live import run_live_feed_metrics  # noqa: E402
+from pulsekit.streaming.live import run_live_feed_metrics, run_today_panel  # noqa: E402
 
 query("live_feed_metrics", rounded=True)(lambda s, d: run_live_feed_metrics(s, d, glob="events.parquet").drop(
     "active_users"))
 query("live_feed_users")(lambda s, d: run_live_feed_metrics(s, d, glob="events.parquet").select(
     "window_start", "window_end", "active_users"))
-
+query("live_today_panel", rounded=True)(lambda s, d: run_today_panel(s, d, glob="events.parquet"))
 
 
 # ---------------------------------------------------------------- history dashboard, SQL entry, inspection

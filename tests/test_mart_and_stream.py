@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pulsekit.session import shared_dir
@@ -45,6 +46,37 @@ def test_mart_catalog_table_created_if_absent_and_reloaded_idempotently(spark):
         sorted(map(tuple, day1.select(got.columns).collect()))
 
 
+def test_published_mart_shows_a_day_before_or_after_a_load(spark, monkeypatch):
+    from pulsekit.plans.daily import load_daily_mart
+    from pulsekit.sources import clean_mart, publish_mart, read_published_mart
+    from pulsekit.sources import mart as M
+    lg = load_fixture_logs(spark, SF_SMALL)
+    path = shared_dir(spark, "published-mart-test")
+    assert read_published_mart(spark, path).collect() == []
+    load_daily_mart(spark, lg.feed, lg.messages, AS_OF, path, published=True)
+    day = AS_OF.replace(day=30)
+    whole = etl.metrics_mart(lg.feed, lg.messages, AS_OF)
+    cols = read_published_mart(spark, path).columns
+    want = sorted(map(tuple, whole.select(cols).collect()))
+    assert sorted(map(tuple, read_published_mart(spark, path).collect())) == want
+    # a load of a changed day that dies after some files: the old day stays readable
+    with monkeypatch.context() as m:
+        m.setattr(M, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            publish_mart(spark, whole.limit(2), path)
+    assert sorted(map(tuple, read_published_mart(spark, path).collect())) == want
+    reader = read_published_mart(spark, path)  # planned before the next load
+    publish_mart(spark, whole.withColumn("views", F.lit(7).cast("long")), path)
+    assert sorted(map(tuple, reader.collect())) == want  # still the version it started with
+    assert {r.views for r in read_published_mart(spark, path).collect()} == {7}
+    publish_mart(spark, etl.metrics_mart(lg.feed, lg.messages, day), path)
+    assert read_published_mart(spark, path).select("event_date").distinct().count() == 2
+    one = read_published_mart(spark, path, day.isoformat(), day.isoformat())
+    assert one.select("event_date").distinct().count() == 1
+    assert clean_mart(spark, path) == 2 and clean_mart(spark, path) == 0
+    assert read_published_mart(spark, path).select("event_date").distinct().count() == 2
+
+
 def _local(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pulsekit.functions.pvalues import betainc_reg, normal_sf_np, t_pvalue_np, t_sf_np
+from pulsekit.functions.pvalues import betainc_reg, mwu_exact_sf, normal_sf_np, t_pvalue_np, t_sf_np
 from pulsekit.operators import ranks, resampling as RS
 from pulsekit.operators.hypothesis import mann_whitney_u, welch_ttest
 
@@ -243,9 +243,7 @@ def test_histogram_of_nothing_and_of_infinite_values(spark):
     assert equal_width_histogram(df.where("v > 99 and v < 100"), "v", 4).collect() == []
 
 
-def test_mann_whitney_methods(spark, monkeypatch):
-    from pulsekit.operators import hypothesis
-
+def test_mann_whitney_methods(spark):
     df = spark.createDataFrame([(1, float(x)) for x in (1, 4, 6, 9)] + [(2, float(x)) for x in (2, 3, 7, 8, 10)],
                                "g int, v double")
 
@@ -256,7 +254,14 @@ def test_mann_whitney_methods(spark, monkeypatch):
     tied = df.unionByName(df.where("v = 2"))
     assert set(p(tied, method="exact").values()) == {None}
     assert p(tied) == p(tied, method="asymptotic")
-    monkeypatch.setattr(hypothesis, "EXACT_MAX_STEPS", 79)  # 4 * 4 * 5 steps are needed
-    assert p() == p(method="asymptotic") and set(p(method="exact").values()) == {None}
+    # any sizes: 3 against 40,000 and 60 against 70 (far above the old bound on steps)
+    for m, n in ((3, 40_000), (60, 70)):
+        wide = spark.createDataFrame([(1, 17.5 * i + 0.25) for i in range(m)] + [(2, float(i)) for i in range(n)],
+                                     "g int, v double")
+        u1 = sum(min(n, math.floor(17.5 * i + 0.25) + 1) for i in range(m))
+        for alternative, got in p(wide, method="exact").items():
+            u = {"greater": u1, "less": m * n - u1}.get(alternative, max(u1, m * n - u1))
+            want = mwu_exact_sf(u, m, n) * (2 if alternative == "two-sided" else 1)
+            assert got == pytest.approx(min(1.0, want), abs=1e-12)
     with pytest.raises(ValueError):
         p(method="normal")
