@@ -398,3 +398,49 @@ def _feed_history_state(spark, sf_dir):
 def _rate_state(spark, sf_dir):
     lg, fs, _ = _state(spark, sf_dir)
     return US.retention_rate_from_state(lg.feed, lg.messages, fs, P.AS_OF, P.RETENTION_COHORTS)
+
+
+# ---------------------------------------------------------------- activity bitsets, bitmaps, sketches
+from datetime import date as _date  # noqa: E402
+
+from pulsekit.operators import activity_bits as AB, audience_sketches as AS, drilldown  # noqa: E402
+
+_ACTIVITY: dict[tuple[str, str], str] = {}
+
+
+def _activity(spark, sf_dir):
+    """The bitset state, built once a session: a backfill, a day loaded ahead, a late day, a repeated day and the rest."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _ACTIVITY:
+        lg, root = logs(spark, sf_dir), shared_dir(spark, "activity-bits")
+        AB.load_activity(spark, root, lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF - _td(days=5))
+        for before in (3, 4, 3):
+            AB.load_activity(spark, root, lg.feed, lg.messages, P.AS_OF - _td(days=before))
+        AB.load_activity(spark, root, lg.feed, lg.messages, P.AS_OF - _td(days=2), P.AS_OF)
+        _ACTIVITY[at] = root
+    return AB.read_activity(spark, _ACTIVITY[at])
+
+
+def _bits(fn, *args, **kw):
+    return lambda s, d: fn(_activity(s, d), P.AS_OF, *args, **kw)
+
+
+QUERIES["retention_from_bits"] = _bits(AB.retention_from_bits)
+QUERIES["acquisition_from_bits"] = _bits(AB.acquisition_from_bits)
+QUERIES["ads_cohort_dau_from_bits"] = _bits(AB.cohort_dau_from_bits, "ads", P.CAMPAIGN_START, P.CAMPAIGN_END)
+QUERIES["ads_cohort_feed_dau_from_bits"] = _bits(AB.cohort_dau_from_bits, "ads", P.CAMPAIGN_START, P.CAMPAIGN_END, True)
+QUERIES["dau_segments_from_bits"] = _bits(AB.dau_segments_from_bits)
+QUERIES["dau_both_same_day_from_bits"] = _bits(AB.dau_both_same_day_from_bits)
+query("retention_rate_from_bits", rounded=True)(_bits(AB.retention_rate_from_bits, P.RETENTION_COHORTS))
+for _source in ("organic", "ads"):
+    QUERIES[f"retention_matrix_{_source}_from_bits"] = lambda s, d, _source=_source: pivots.retention_matrix_from(
+        AB.retention_from_bits(_activity(s, d), P.AS_OF), P.AS_OF, _source)
+query("dau_drop_by_dimension", rounded=True)(_feed_only(drilldown.dau_change_by_dimensions))
+
+
+@query("audience_from_sketches")
+def _audience_sketches(spark, sf_dir):
+    """Segments from day sketches of up to 65,536 users each (exact while a service has no more)."""
+    lg = logs(spark, sf_dir)
+    sketches = AS.daily_sketches(lg.feed, lg.messages, _date(1970, 1, 1), P.AS_OF, lg_k=16)
+    return AS.segments_from_sketches(sketches, P.AS_OF, lg_k=16).drop("margin")
