@@ -75,6 +75,36 @@ def candidate_groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return saved(spark, groups.join(sizes, "grp"), "candidates")
 
 
+def _hub_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows in (bucket, id) order, a link from every other item of a bucket to its first."""
+    bucket = hub = before = None
+    for batch in batches:
+        b, ids = batch.column("bucket").to_numpy(), batch.column("id").to_numpy()
+        if not len(b):
+            continue
+        new = np.concatenate([[b[0] != bucket], b[1:] != b[:-1]])
+        first = np.where(new, np.arange(len(b)), -1)
+        first = np.maximum.accumulate(first)
+        hubs = np.where(first >= 0, ids[first], 0 if hub is None else hub)
+        again = np.concatenate([[not new[0] and ids[0] == before], (ids[1:] == ids[:-1]) & ~new[1:]])
+        keep = (ids != hubs) & ~again
+        bucket, hub, before = b[-1], hubs[-1], ids[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(hubs[keep])], ["a", "b"])
+
+
+def linked_groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """As ``candidate_groups``, with the band rows shuffled once: each partition reads its buckets in order.
+
+    The makers of ``rows`` send an item's rows once a task, so a hot item is at most
+    a row a task in each of its buckets.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    links = rows.repartition(n, "bucket").sortWithinPartitions("bucket", "id").mapInArrow(_hub_links, "a long, b long")
+    groups = saved(spark, connected_components(spark, links).withColumnRenamed("comp", "grp"), "groups")
+    sizes = saved(spark, groups.groupBy("grp").agg(F.count("*").alias("size")), "group-sizes")
+    return saved(spark, groups.join(sizes, "grp"), "candidates")
+
+
 def _similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     """Boolean matrix of pairs of sets with Jaccard similarity of at least ``threshold``."""
     n = len(sets)

@@ -10,16 +10,23 @@ the classes. Of every class the one with the least (doc_id, position) stays; all
 others are removed, repeats within one document included. Lines go first, then
 the pieces of the lines that are left (an uncut line is its own piece).
 
-Last, windows of ``WINDOW`` words at content-anchored places of the lines are
-compared word by word in what is left, so any passage of 50 equal words or more
-is seen wherever it stands in its line, with or without sentence ends. Of equal
-windows the first stays; the parts of a passage before its first and after its
-last window (fewer than 25 words each) stay too.
+Last, passages inside or across lines, with or without sentence ends: windows of
+``WINDOW`` words at content-anchored places bring equal stretches together, so
+that every passage of 50 words has one, and around a window that comes up again
+all stretches of ``PASSAGE`` words that hold it are compared. Of equal stretches
+the first stays, so a passage of 50 equal words or more is cut from end to end.
+
+Unit ids alone are counted first (8 bytes each); rows with places are made only
+for ids that come up again or have a similar one, which a bitmap of at most
+``2**FILTER_BITS`` bits tells in advance (it may let others pass, never stop one).
 
 Defined results: null and empty texts have no paragraphs and are kept as they
 are (null stays null); lines under ``MIN_WORDS`` words are never removed;
-documents with equal doc_id are told apart by their text, and of rows equal in
-both all count as one document; a null doc_id sorts first; other columns are ignored.
+a passage of fewer than 50 words that is no line or piece stays; very long texts are handled
+whole, in memory proportional to them; documents with equal doc_id are told apart
+by their text, and of rows equal in both all count as one document; ties go to the
+least (doc_id, text hash, position); a null doc_id sorts first; an empty table gives
+an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,6 +49,10 @@ LONG_WORDS = 60
 # ANCHOR_SPAN + WINDOW - 1 = 50 words holds a whole one, and windows in a row leave no word between them.
 WINDOW = 26
 ANCHOR_SPAN = 25
+PASSAGE = 50
+NEAR = 4096  # bytes
+FILTER_BITS = 26
+_REMEMBERED = 1 << 18
 LINE, PIECE, WINDOWS = 1, 2, 4  # kinds of units, as bits: an uncut line is both of the first
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
@@ -78,25 +89,25 @@ def _sequence_ids(h: np.ndarray, number: np.ndarray, first: np.ndarray, count: n
     return TA.mix(np.add.reduceat(TA.mix(h + place * mult), first) + count.astype(np.uint64)).view(np.int64)
 
 
-def _anchors(h: np.ndarray, line: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Words at which a window starts: minimizers among the starts whose window lies in the line."""
-    starts = count - WINDOW + 1  # possible starts a line
+def _anchors(h: np.ndarray, text: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Words at which a window starts: minimizers among the starts whose window lies in the text."""
+    starts = count - WINDOW + 1  # possible starts a text
     n = len(h)
     if n < WINDOW or (starts <= 0).all():
         return np.zeros(0, np.int64)
     g = h[:n - 4].copy()
     for j in range(1, 5):
         g = g * np.uint64(0xC2B2AE3D27D4EB4F) + h[j:n - 4 + j]
-    place = np.arange(n) - first[line]
-    at = np.flatnonzero(place < starts[line])
-    value, mine = TA.mix(g[at]), line[at]
-    # rightmost least value of each ANCHOR_SPAN starts in a row; a line with fewer starts is one such row
+    place = np.arange(n) - first[text]
+    at = np.flatnonzero(place < starts[text])
+    value, mine = TA.mix(g[at]), text[at]
+    # rightmost least value of each ANCHOR_SPAN starts in a row; a text with fewer starts is one such row
     run = np.concatenate([[True], mine[1:] != mine[:-1]])
     lo = np.flatnonzero(run)
     size = np.diff(np.append(lo, len(at)))
-    best = np.arange(len(at))  # index of the least of the last `reach` starts of the line
+    best = np.arange(len(at))  # index of the least of the last `reach` starts of the text
     reach = 1
-    back = np.arange(len(at)) - np.repeat(lo, size)  # starts of the line before this one
+    back = np.arange(len(at)) - np.repeat(lo, size)  # starts of the text before this one
     while reach < ANCHOR_SPAN:
         step = min(reach, ANCHOR_SPAN - reach)
         other = best[np.arange(len(at)) - np.minimum(step, back)]
@@ -114,7 +125,7 @@ class _Units:
     kind: np.ndarray
     first: np.ndarray
     count: np.ndarray
-    line: np.ndarray   # first word of the unit's line
+    line: np.ndarray   # first word of the unit's line (of a window: of its text)
 
     @property
     def text(self) -> np.ndarray:
@@ -152,14 +163,14 @@ def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool =
         keep = use[owner]
         parts.append((ids[use], kind[use], first[use], count[use], lfirst[line[first[use]]],
                       grams[keep], (np.cumsum(use) - 1)[owner[keep]]))
-    at = _anchors(h, line, lfirst, lcount) if windows else none
+    at = _anchors(h, w.text, w.first, w.count) if windows else none
     if len(at):
         mult = np.uint64(0xE7037ED1A0B428DB)
         ids = np.zeros(len(at), np.uint64)
         for j in range(WINDOW):
             ids += TA.mix(h[at + j] + np.uint64(j) * mult)
         parts.append((TA.mix(ids + np.uint64(WINDOW)).view(np.int64), np.full(len(at), WINDOWS), at,
-                      np.full(len(at), WINDOW), lfirst[line[at]], np.zeros(0, np.uint64), none))
+                      np.full(len(at), WINDOW), w.first[w.text[at]], np.zeros(0, np.uint64), none))
     if not parts:
         return _Units(w, none, none, none, none, none), np.zeros(0, np.uint64), none
     base = np.cumsum([0] + [len(x[0]) for x in parts])
@@ -171,29 +182,91 @@ def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool =
 
 def _band_rows(k, bands, rows, min_words, long_words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = np.zeros(0, np.int64)  # ids of this task's last units: copies need no second row
         for batch in batches:
             for c in TA.text_chunks(batch.column("text")):
                 u, grams, owner = _units(c, k, min_words, long_words)
-                h, own = ND.band_hashes(grams, owner, bands, rows)
+                _, first = np.unique(u.ids, return_index=True)
+                new = np.zeros(len(u.ids), dtype=bool)
+                new[first] = ~np.isin(u.ids[first], sent)
+                keep = new[owner]
+                h, own = ND.band_hashes(grams[keep], owner[keep], bands, rows)
+                sent = np.concatenate([sent, u.ids[new]])[-_REMEMBERED:]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.ravel()), pa.array(np.repeat(u.ids[own], bands))], ["bucket", "id"])
     return run
 
 
-def _unit_rows(k, min_words, long_words):
-    """(id, kind, k1, k2, byte start and end, byte start of the line) of every unit."""
+def _unit_ids(k, min_words, long_words):
+    """(id, n) of all units, counted within a chunk."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in TA.text_chunks(batch.column("text")):
+                ids, n = np.unique(_units(c, k, min_words, long_words, True)[0].ids, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], ["id", "n"])
+    return run
+
+
+def _filter_bits(wanted: DataFrame) -> np.ndarray:
+    """Bitmap of the ids, about eight bits an id and at most 2**FILTER_BITS: at most 2**(FILTER_BITS - 6) words reach the driver."""
+    bits = min(FILTER_BITS, max(12, (8 * wanted.count()).bit_length()))
+    slot = F.col("id").bitwiseAND((1 << bits) - 1)
+    words = wanted.groupBy(F.shiftright(slot, 6).alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast((id & {(1 << bits) - 1}) & 63 AS int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
+    out[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def _may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    slot = ids & (len(bits) * 8 - 1)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def _unit_rows(k, min_words, long_words, bitmap):
+    """(id, kind, k1, k2, byte start and end, byte start of the line) of the units whose id may be wanted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch.column("doc_id")
+            key = batch.column("k2").to_numpy()
+            for c in TA.text_chunks(batch.column("text")):
+                u = _units(c, k, min_words, long_words, True)[0]
+                at = np.flatnonzero(_may_hold(bitmap.value, u.ids))
+                text = u.text[at]
+                base = c.offsets[text]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(u.ids[at]), pa.array(u.kind[at].astype(np.int32)), doc.slice(c.lo, c.n).take(pa.array(text)),
+                     pa.array(key[c.lo:c.hi][text]), pa.array(u.start[at] - base), pa.array(u.end[at] - base),
+                     pa.array(u.words.start[u.line[at]] - base)],
+                    ["id", "kind", "doc_id", "k2", "pos", "end", "line"])
+    return run
+
+
+def _stretch_rows(k, min_words, long_words, texts, windows):
+    """(id, doc_id, k2, byte start and end) of the stretches of PASSAGE words that hold a window whose id may be
+    wanted, of texts whose key may be."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_may_hold(texts.value, batch.column("dk").to_numpy())))
             doc = batch.column("doc_id")
             key = batch.column("k2").to_numpy()
             for c in TA.text_chunks(batch.column("text")):
                 u = _units(c, k, min_words, long_words, True)[0]
-                text = u.text
+                w, h = u.words, TA.word_hashes(c, u.words)
+                at = np.flatnonzero((u.kind == WINDOWS) & _may_hold(windows.value, u.ids))
+                low = np.maximum(u.line[at], u.first[at] + WINDOW - PASSAGE)
+                high = np.minimum(u.first[at], u.line[at] + w.count[u.text[at]] - PASSAGE)
+                n = np.maximum(high - low + 1, 0)
+                start = np.unique(np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n))
+                g = np.zeros(len(start), np.uint64)
+                for j in range(PASSAGE):
+                    g = g * np.uint64(0x9FB21C651E98DF25) + h[start + j]
+                text = w.text[start]
                 base = c.offsets[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(u.ids), pa.array(u.kind.astype(np.int32)), doc.slice(c.lo, c.n).take(pa.array(text)),
-                     pa.array(key[c.lo:c.hi][text]), pa.array(u.start - base), pa.array(u.end - base),
-                     pa.array(u.words.start[u.line] - base)], ["id", "kind", "doc_id", "k2", "pos", "end", "line"])
+                    [pa.array(TA.mix(g).view(np.int64)), doc.slice(c.lo, c.n).take(pa.array(text)),
+                     pa.array(key[c.lo:c.hi][text]), pa.array(w.start[start] - base),
+                     pa.array(w.end[start + PASSAGE - 1] - base)], ["id", "doc_id", "k2", "pos", "end"])
     return run
 
 
@@ -223,14 +296,16 @@ def _gram_sets(k, min_words, long_words):
     return run
 
 
-def _cut_texts(k, min_words, long_words):
+def _cut_texts(min_words):
     """Cut the removed spans out of each text; ``drop`` lists (pos, end) in bytes, overlaps are merged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             drop = batch.column("drop")
             for c in TA.text_chunks(batch.column("text")):
-                u = _units(c, k, min_words, long_words, True)[0]
-                n_units = np.bincount(u.text, minlength=c.n)
+                w = TA.words_of(c)
+                newline = np.concatenate([[0], np.cumsum(c.data[:c.size] == 0x0A)])
+                _, first, count = np.unique(newline[w.start] + w.text, return_index=True, return_counts=True)
+                n_units = np.bincount(w.text[first[count >= min_words]], minlength=c.n)
                 spans, texts = [], []
                 for t in range(c.n):
                     raw = c.data[int(c.offsets[t]):int(c.offsets[t + 1])].tobytes()
@@ -249,47 +324,70 @@ def _cut_texts(k, min_words, long_words):
                     texts.append(b"".join(kept).decode("utf-8", "replace"))
                 part = batch.slice(c.lo, c.n)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n_units.astype(np.int64)),
+                    [part.column("doc_id"), pa.array(n_units.astype(np.int64)), part.column("n_shared"),
                      pa.array([len(x) for x in spans], pa.int64()),
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                      pa.array(texts, pa.string())],
-                    ["doc_id", "n_paragraphs", "n_removed", "spans", "kept_text"])
+                    ["doc_id", "n_paragraphs", "n_shared", "n_removed", "spans", "kept_text"])
     return run
 
 
 def _repeats(spark: SparkSession, units: DataFrame, by: str, name: str) -> DataFrame:
-    """Units whose class ``by`` has one at a lesser (doc_id, k2, pos)."""
+    """Units of the classes ``by`` that stand at several places; all but the least (doc_id, k2, pos) are ``gone``."""
     units = saved(spark, units, f"{name}-units")
-    least = saved(spark, units.groupBy(F.col(by).alias("class")).agg(F.min(F.struct("doc_id", "k2", "pos")).alias("win"),
-                                                                     F.max(F.struct("doc_id", "k2", "pos")).alias("top"))
-                  .where("win < top").select("class", "win"), f"{name}-winners")
     there = F.struct("doc_id", "k2", "pos")
-    return saved(spark, units.join(least, F.col(by) == F.col("class")).where(there > F.col("win"))
-                 .select("doc_id", "k2", "pos", "end", "line"), f"{name}-removed")
+    least = saved(spark, units.groupBy(F.col(by).alias("class")).agg(F.min(there).alias("win"), F.max(there).alias("top"))
+                  .where("win < top").select("class", "win"), f"{name}-winners")
+    return saved(spark, units.join(least, F.col(by) == F.col("class"))
+                 .select("doc_id", "k2", "pos", "end", "line", (there > F.col("win")).alias("gone")), f"{name}-repeats")
 
 
-def _outside(units: DataFrame, removed: DataFrame) -> DataFrame:
+def _outside(units: DataFrame, repeats: DataFrame) -> DataFrame:
     """Units that overlap no removed span of their line."""
-    r = removed.select(F.col("doc_id").alias("rdoc"), F.col("k2").alias("rk2"), F.col("line").alias("rline"),
-                       F.col("pos").alias("rpos"), F.col("end").alias("rend"))
+    r = repeats.where("gone").select(
+        F.col("doc_id").alias("rdoc"), F.col("k2").alias("rk2"), F.col("line").alias("rline"),
+        F.col("pos").alias("rpos"), F.col("end").alias("rend"))
     return units.join(r, F.col("doc_id").eqNullSafe(F.col("rdoc")) & (F.col("k2") == F.col("rk2"))
                       & (F.col("line") == F.col("rline")) & (F.col("pos") < F.col("rend"))
                       & (F.col("end") > F.col("rpos")), "left_anti")
 
 
+def _untouched(spark: SparkSession, units: DataFrame, repeats: DataFrame, name: str) -> DataFrame:
+    """Units that overlap no removed span of their text; both are met by stretches of ``NEAR`` bytes."""
+    def buckets(start, stop):
+        return F.explode(F.sequence(F.floor(F.col(start) / NEAR), F.floor((F.col(stop) - 1) / NEAR)))
+
+    r = repeats.where("gone").select(F.col("doc_id").alias("rdoc"), F.col("k2").alias("rk2"), F.col("pos").alias("rpos"),
+                                     F.col("end").alias("rend"), buckets("pos", "end").alias("rb"))
+    hit = saved(spark, units.select("doc_id", "k2", "pos", "end", buckets("pos", "end").alias("b")).distinct().join(
+        r, F.col("doc_id").eqNullSafe(F.col("rdoc")) & (F.col("k2") == F.col("rk2")) & (F.col("b") == F.col("rb"))
+        & (F.col("pos") < F.col("rend")) & (F.col("end") > F.col("rpos")), "left_semi")
+        .select(F.col("doc_id").alias("hdoc"), F.col("k2").alias("hk2"), F.col("pos").alias("hpos"),
+                F.col("end").alias("hend")).distinct(), f"{name}-touched")
+    return units.join(hit, F.col("doc_id").eqNullSafe(F.col("hdoc")) & (F.col("k2") == F.col("hk2"))
+                      & (F.col("pos") == F.col("hpos")) & (F.col("end") == F.col("hend")), "left_anti")
+
+
 def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND.THRESHOLD,
                      k: int = ND.SHINGLE_WORDS, target_recall: float = ND.TARGET_RECALL,
                      min_words: int = MIN_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_paragraphs (units compared), n_removed (ranges cut),
-    spans (removed byte ranges of the UTF-8 text) and kept_text."""
+    """One row per document: doc_id, n_paragraphs (lines of ``min_words`` words or more), n_shared (its lines, pieces
+    and stretches that stand elsewhere too, those that stay included), n_removed (ranges cut), spans (removed byte
+    ranges of the UTF-8 text) and kept_text."""
     bands, rows = ND.choose_bands(threshold, target_recall)
     d = docs.select("doc_id", F.xxhash64("text").alias("k2"), "text").where("text is not null")
-    buckets = d.select("text").mapInArrow(_band_rows(k, bands, rows, min_words, long_words), "bucket long, id long")
-    groups = ND.candidate_groups(spark, buckets)
-    # where each repeated unit stands first: minima are combined before the shuffle
-    units = d.mapInArrow(_unit_rows(k, min_words, long_words),
-                         "id long, kind int, doc_id long, k2 long, pos long, end long, line long")
-    first = units.groupBy("id").agg(F.min(F.struct("doc_id", "k2")).alias("at"), F.count("*").alias("n"))
+    groups = ND.linked_groups(
+        spark, d.select("text").mapInArrow(_band_rows(k, bands, rows, min_words, long_words), "bucket long, id long"))
+    often = d.select("text").mapInArrow(_unit_ids(k, min_words, long_words), "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n")).where("n > 1").select("id")
+    wanted = saved(spark, often.unionByName(groups.select("id")).distinct(), "wanted")
+    bitmap = spark.sparkContext.broadcast(_filter_bits(wanted))
+    units = d.mapInArrow(
+        _unit_rows(k, min_words, long_words, bitmap),
+        "id long, kind int, doc_id long, k2 long, pos long, end long, line long")
+    units = saved(spark, units.dropDuplicates(["doc_id", "k2", "pos", "end", "kind"]), "units")
+    coarse_units = units.where(F.col("kind") != WINDOWS)
+    first = coarse_units.groupBy("id").agg(F.min(F.struct("doc_id", "k2")).alias("at"), F.count("*").alias("n"))
     first = saved(spark, first.join(groups, "id", "left").where("n > 1 or grp is not null"), "first")
     # gram sets of one copy of each candidate paragraph
     wants = first.where("grp is not null").groupBy("at.doc_id", "at.k2").agg(
@@ -304,21 +402,30 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
     classes = ND.verified_classes(spark, items, threshold)
     member = saved(spark, first.join(classes.select("id", "comp"), "id", "left").where("n > 1 or comp is not null")
                    .select(F.col("id").alias("rid"), F.coalesce("comp", "id").alias("comp")), "members")
-    found = saved(spark, units.join(member, F.col("id") == F.col("rid")).drop("rid").distinct(), "found")
+    found = saved(spark, coarse_units.join(member, F.col("id") == F.col("rid")).drop("rid"), "found")
     # coarse to fine: what a removed line or piece holds does not stand for copies of it elsewhere
     lines = _repeats(spark, found.where(F.col("kind").bitwiseAND(LINE) > 0), "comp", "line")
     pieces = _repeats(spark, _outside(found.where(F.col("kind").bitwiseAND(PIECE) > 0), lines), "comp", "piece")
     coarse = lines.unionByName(pieces)
-    removed = coarse.unionByName(_repeats(spark, _outside(found.where(F.col("kind") == WINDOWS), coarse), "id", "window"))
-    drops = removed.select(F.col("doc_id").alias("xdoc"), F.col("k2").alias("xk2"), "pos", "end").groupBy(
-        "xdoc", "xk2").agg(F.collect_list(F.struct("pos", "end")).alias("drop"))
-    out = d.join(drops, F.col("doc_id").eqNullSafe(F.col("xdoc")) & (F.col("k2") == F.col("xk2")), "left") \
-        .select("doc_id", "text", "drop").mapInArrow(
-            _cut_texts(k, min_words, long_words),
-            "doc_id long, n_paragraphs long, n_removed long, "
+    windows = saved(spark, _untouched(spark, units.where(F.col("kind") == WINDOWS), coarse, "window")
+                    .select("id", F.xxhash64("doc_id", "k2").alias("dk")), "windows")
+    held_texts, held_windows = (spark.sparkContext.broadcast(_filter_bits(windows.select(F.col(c).alias("id")).distinct()))
+                                for c in ("dk", "id"))
+    stretches = saved(spark, d.select("doc_id", "k2", F.xxhash64("doc_id", "k2").alias("dk"), "text").mapInArrow(
+        _stretch_rows(k, min_words, long_words, held_texts, held_windows),
+        "id long, doc_id long, k2 long, pos long, end long").distinct(), "stretches")
+    passages = _repeats(spark, _untouched(spark, stretches, coarse, "stretch").withColumn(
+        "line", F.lit(0).cast("long")), "id", "passage")
+    per_text = coarse.unionByName(passages).groupBy(F.col("doc_id").alias("xdoc"), F.col("k2").alias("xk2")).agg(
+        F.collect_list(F.when(F.col("gone"), F.struct("pos", "end"))).alias("drop"), F.count("*").alias("shared"))
+    out = d.join(per_text, F.col("doc_id").eqNullSafe(F.col("xdoc")) & (F.col("k2") == F.col("xk2")), "left") \
+        .select("doc_id", "text", "drop", F.coalesce("shared", F.lit(0)).cast("long").alias("n_shared")).mapInArrow(
+            _cut_texts(min_words),
+            "doc_id long, n_paragraphs long, n_shared long, n_removed long, "
             "spans array<struct<start: long, end: long>>, kept_text string")
+    none = F.lit(0).cast("long")
     empty = docs.where("text is null").select(
-        "doc_id", F.lit(0).cast("long").alias("n_paragraphs"), F.lit(0).cast("long").alias("n_removed"),
+        "doc_id", none.alias("n_paragraphs"), none.alias("n_shared"), none.alias("n_removed"),
         F.array().cast("array<struct<start: bigint, end: bigint>>").alias("spans"),
         F.lit(None).cast("string").alias("kept_text"))
     return out.unionByName(empty)
