@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.llm.storage import saved
+from pulsekit.llm.storage import discard, saved
 
 MAX_ROUNDS = 60
 
@@ -39,7 +39,8 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        e = saved(spark, small.where("u <> v").distinct(), "cc-edges")
+        old, e = e, saved(spark, small.where("u <> v").distinct(), "cc-edges")
+        discard(spark, old, least)
         now = _measure(e)
         if now == seen:
             break

@@ -11,9 +11,14 @@ Seeds of texts are first held against a bitmap of the benchmark's seeds (a
 fixed ``2**BITMAP_BITS`` bits, however large the benchmark), so only likely
 hits are shuffled; the join itself is exact.
 
-Defined results: null and empty texts have no hits; items of fewer than
-``MIN_ITEM`` words are found only by all their words in a row, unchanged; equal items count once each by their
-item_id; copies of a text get the same result; a null doc_id comes back null;
+Items of fewer than ``MIN_ITEM`` words are found only by all their words in a row,
+unchanged, and only if they say enough to tell a copy from common speech: at least
+``SHORT_WORDS`` words, or ``SHORT_BYTES`` bytes in words (scripts without spaces).
+Items shorter than that are not searched; ``unsearchable`` lists them.
+
+Defined results: null and empty texts have no hits; equal items count once each by their
+item_id; the longest verified overlap is reported, ties by more equal words, then
+the later place; very long texts are searched whole, in memory proportional to them; copies of a text get the same result; a null doc_id comes back null;
 an empty benchmark leaves every document clean; other columns are ignored.
 """
 
@@ -33,6 +38,7 @@ from pulsekit.llm.storage import saved
 # 15 words, one of the masks has a place without any.
 MASKS = ("11011011", "1110010101", "1010110011", "1111101", "110001111", "101110011")
 MIN_ITEM = 10
+SHORT_WORDS, SHORT_BYTES = 5, 30
 WINDOW = 15
 AGREE = 0.8
 BITMAP_BITS = 26
@@ -94,6 +100,31 @@ def _short_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(n[(n > 0) & (n < MIN_ITEM)].astype(np.int32))], ["n"])
 
 
+def _told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The items with a flag: long enough to be searched."""
+    for batch in batches:
+        for c in TA.text_chunks(batch.column("text")):
+            w = _words(c)[0]
+            size = np.bincount(w.text, (w.end - w.start).astype(np.float64), minlength=c.n)
+            part = batch.slice(c.lo, c.n)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("key"), part.column("text"), pa.array((w.count >= SHORT_WORDS) | (size >= SHORT_BYTES))],
+                ["key", "text", "searched"])
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(key, text, searched) of the different items; key is the hash of the text as given."""
+    items = benchmark.where("text is not null").select(F.xxhash64("text").alias("key"), F.lower("text").alias("text"))
+    return items.dropDuplicates(["key"]).mapInArrow(_told_apart, "key long, text string, searched boolean")
+
+
+def unsearchable(benchmark: DataFrame) -> DataFrame:
+    """(item_id) of the items too short to be searched, null texts included."""
+    short = _items(benchmark).where("not searched").select(F.col("key").alias("skey"))
+    named = benchmark.select("item_id", F.xxhash64("text").alias("tkey"), F.col("text").isNull().alias("none"))
+    return named.join(short, F.col("tkey") == F.col("skey"), "left").where("none or skey is not null").select("item_id")
+
+
 def _bitmap(seeds: DataFrame) -> np.ndarray:
     """Bitmap of the seeds: at most 2**BITMAP_BITS / 64 words reach the driver."""
     slot = F.col("seed").bitwiseAND((1 << BITMAP_BITS) - 1)
@@ -142,8 +173,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(key, item, overlap, equal, start, item_words): verified overlaps of distinct texts (key: text hash) and items."""
-    items = benchmark.where("text is not null").select(F.xxhash64("text").alias("key"), F.lower("text").alias("text"))
-    items = saved(spark, items.dropDuplicates(["key"]), "items")
+    items = saved(spark, _items(benchmark).where("searched").drop("searched"), "items")
     seeds = saved(spark, items.mapInArrow(_seed_rows(tuple(range(1, MIN_ITEM))), "seed long, key long, pos long").select(
         "seed", F.col("key").alias("item"), F.col("pos").alias("at")), "item-seeds")
     bitmap = spark.sparkContext.broadcast(_bitmap(seeds))
@@ -182,5 +212,5 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) without a verified overlap with a benchmark item."""
-    found = saved(spark, leaks(spark, docs, benchmark).select(F.col("key").alias("_leak_key")).distinct(), "leaked")
-    return docs.join(found, docs["text"].isNotNull() & (F.xxhash64(docs["text"]) == F.col("_leak_key")), "left_anti")
+    found = saved(spark, leaks(spark, docs, benchmark).select("key").distinct(), "leaked")
+    return docs.join(found, docs["text"].isNotNull() & (F.xxhash64(docs["text"]) == found["key"]), "left_anti")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm import textarrays as TA
 from pulsekit.llm.components import connected_components
-from pulsekit.llm.storage import saved
+from pulsekit.llm.storage import discard, saved
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -102,7 +102,9 @@ def linked_groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
     links = rows.repartition(n, "bucket").sortWithinPartitions("bucket", "id").mapInArrow(_hub_links, "a long, b long")
     groups = saved(spark, connected_components(spark, links).withColumnRenamed("comp", "grp"), "groups")
     sizes = saved(spark, groups.groupBy("grp").agg(F.count("*").alias("size")), "group-sizes")
-    return saved(spark, groups.join(sizes, "grp"), "candidates")
+    out = saved(spark, groups.join(sizes, "grp"), "candidates")
+    discard(spark, groups, sizes)
+    return out
 
 
 def _similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:

@@ -93,11 +93,13 @@ def keep_one_per_class(spark: SparkSession, docs: DataFrame, **kw) -> DataFrame:
     """
     classes = similarity_classes(spark, docs, **kw).where("id is not null")
     winners = saved(spark, classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-                    .select(F.col("id").alias("_wid"), F.col("doc_id").alias("_wdoc")).distinct(), "winners")
+                    .select(F.col("id").alias("wid"), F.col("doc_id").alias("wdoc")).distinct(), "winners")
     wordy = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # the whole row travels as one column, so that no name of it can clash
+    rows = docs.where(wordy).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                                    F.xxhash64("text").alias("id"), F.col("doc_id").alias("doc"))
     kept = (
-        docs.where(wordy)
-        .join(winners, (F.xxhash64("text") == F.col("_wid")) & F.col("doc_id").eqNullSafe(F.col("_wdoc")))
-        .dropDuplicates(["_wid", "_wdoc"]).drop("_wid", "_wdoc")
+        rows.join(winners, (F.col("id") == F.col("wid")) & F.col("doc").eqNullSafe(F.col("wdoc")))
+        .dropDuplicates(["wid", "wdoc"]).select("row.*")
     )
     return kept.unionByName(docs.where(~wordy))

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from pulsekit.llm import neardup as ND
 from pulsekit.llm import textarrays as TA
-from pulsekit.llm.storage import saved
+from pulsekit.llm.storage import discard, saved
 
 MIN_WORDS = 20
 LONG_WORDS = 60
@@ -338,8 +338,10 @@ def _repeats(spark: SparkSession, units: DataFrame, by: str, name: str) -> DataF
     there = F.struct("doc_id", "k2", "pos")
     least = saved(spark, units.groupBy(F.col(by).alias("class")).agg(F.min(there).alias("win"), F.max(there).alias("top"))
                   .where("win < top").select("class", "win"), f"{name}-winners")
-    return saved(spark, units.join(least, F.col(by) == F.col("class"))
-                 .select("doc_id", "k2", "pos", "end", "line", (there > F.col("win")).alias("gone")), f"{name}-repeats")
+    out = saved(spark, units.join(least, F.col(by) == F.col("class"))
+                .select("doc_id", "k2", "pos", "end", "line", (there > F.col("win")).alias("gone")), f"{name}-repeats")
+    discard(spark, units, least)
+    return out
 
 
 def _outside(units: DataFrame, repeats: DataFrame) -> DataFrame:
@@ -402,13 +404,18 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
     classes = ND.verified_classes(spark, items, threshold)
     member = saved(spark, first.join(classes.select("id", "comp"), "id", "left").where("n > 1 or comp is not null")
                    .select(F.col("id").alias("rid"), F.coalesce("comp", "id").alias("comp")), "members")
+    discard(spark, first, groups, wanted)
     found = saved(spark, coarse_units.join(member, F.col("id") == F.col("rid")).drop("rid"), "found")
     # coarse to fine: what a removed line or piece holds does not stand for copies of it elsewhere
     lines = _repeats(spark, found.where(F.col("kind").bitwiseAND(LINE) > 0), "comp", "line")
     pieces = _repeats(spark, _outside(found.where(F.col("kind").bitwiseAND(PIECE) > 0), lines), "comp", "piece")
     coarse = lines.unionByName(pieces)
-    windows = saved(spark, _untouched(spark, units.where(F.col("kind") == WINDOWS), coarse, "window")
-                    .select("id", F.xxhash64("doc_id", "k2").alias("dk")), "windows")
+    free = saved(spark, _untouched(spark, units.where(F.col("kind") == WINDOWS), coarse, "window")
+                 .select("id", F.xxhash64("doc_id", "k2").alias("dk")), "free-windows")
+    discard(spark, units, found)
+    again = free.groupBy(F.col("id").alias("aid")).agg(F.count("*").alias("n")).where("n > 1").select("aid")
+    windows = saved(spark, free.join(again, F.col("id") == F.col("aid")).select("id", "dk"), "windows")
+    discard(spark, free)
     held_texts, held_windows = (spark.sparkContext.broadcast(_filter_bits(windows.select(F.col(c).alias("id")).distinct()))
                                 for c in ("dk", "id"))
     stretches = saved(spark, d.select("doc_id", "k2", F.xxhash64("doc_id", "k2").alias("dk"), "text").mapInArrow(

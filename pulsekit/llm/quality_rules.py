@@ -7,15 +7,21 @@ test rejects "more than its share of alpha of the good documents of this stratum
 beyond it". Within a stratum and rule the fixed grid is tested from the mildest
 cutoff on and testing stops at the first failure (fixed sequence); across rules
 and strata the level is divided (Bonferroni), and alpha is divided over the
-rules so that their union stays below alpha. Of the certified cutoffs the one that
+rules so that their union stays below alpha. All certified cutoffs hold at once with
+probability 1 - delta, so any choice among them keeps the guarantee: the one that
 rejects the most bad documents per good one is used, the mildest on ties; a rule that
 finds no bad documents is not used.
 
+A trial is a document: of the rows of a doc_id one counts (least text hash), and of
+documents with one text and stratum one counts (with the least quality), so copies
+and repeated rows certify nothing that the documents alone do not.
+
 Defined results: null text has no words (and fails the base rules); documents
-without a label take no part in calibration; strata without a certified cutoff
+without a label (or without a doc_id) take no part in calibration; strata without a certified cutoff
 reject nothing by it; a null language is a stratum of its own; several labels
-of a doc_id count as one with the least quality; empty tables give empty tables;
-other columns are ignored.
+of a doc_id count as one with the least quality; ties between cutoffs go to the
+mildest; texts of any length are measured whole, in memory proportional to them;
+empty tables give empty tables; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -105,8 +111,8 @@ def _measure(k: int):
             for c in TA.text_chunks(batch.column("text")):
                 part = batch.slice(c.lo, c.n)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("stratum")]
-                    + [pa.array(x.astype(np.int64)) for x in _counts(c, k)], ["doc_id", "stratum", *COUNTS])
+                    [part.column("doc_id"), part.column("stratum"), part.column("key")]
+                    + [pa.array(x.astype(np.int64)) for x in _counts(c, k)], ["doc_id", "stratum", "key", *COUNTS])
     return run
 
 
@@ -146,9 +152,11 @@ def certified_cutoffs(spark: SparkSession, measured: DataFrame, labels: DataFram
     """(stratum, rule, index): cutoff ``index`` (1 = mildest) of the rule's grid to use in the stratum."""
     one = labels.where("quality is not null").groupBy(F.col("doc_id").alias("lid")).agg(
         F.min("quality").alias("quality"))
+    labelled = measured.join(one, F.col("doc_id") == F.col("lid"))
+    per_doc = labelled.groupBy("doc_id").agg(F.min(F.struct("key", "stratum", "quality", *COUNTS)).alias("r")).select("r.*")
+    trials = per_doc.groupBy("key", "stratum").agg(F.min(F.struct("quality", *COUNTS)).alias("r")).select("stratum", "r.*")
     long = (
-        measured.join(one, F.col("doc_id") == F.col("lid"))
-        .select("stratum", "quality", F.explode(_levels()).alias("x"))
+        trials.select("stratum", "quality", F.explode(_levels()).alias("x"))
         .groupBy("stratum", F.col("x.rule").alias("rule"), F.col("x.level").alias("level"))
         .agg(F.sum(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"),
              F.sum(F.when(F.col("quality") == 0, 1).otherwise(0)).alias("bad"))
@@ -180,8 +188,9 @@ def apply_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, alpha:
                 stratum: str = "lang", k: int = WINDOW_WORDS) -> DataFrame:
     """One row per document: doc_id, the counts, base_failed, kept, and failed_rules (names)."""
     measured = saved(spark, docs.select(
-        "doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("\x00null")).alias("stratum"), "text").mapInArrow(
-            _measure(k), "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS)), "measured")
+        "doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("\x00null")).alias("stratum"),
+        F.xxhash64("text").alias("key"), "text").mapInArrow(
+            _measure(k), "doc_id long, stratum string, key long, " + ", ".join(f"{c} long" for c in COUNTS)), "measured")
     chosen = saved(spark, certified_cutoffs(spark, measured, labels, alpha, delta)
                    .groupBy(F.col("stratum").alias("sname"))
                    .agg(F.collect_list(F.struct("rule", "index")).alias("cuts")), "cutoffs")

@@ -112,10 +112,10 @@ FROM d LEFT JOIN t ON t.text = d.text LEFT JOIN class ON class.rep = t.rep LEFT
 _BARE = "trim({0}, ' ' || chr(9) || chr(11) || chr(12) || chr(13))"
 
 _LINE_SPREAD = f"""
-WITH texts AS (
-  SELECT text, min(coalesce(source, 'null')) AS site FROM documents WHERE text IS NOT NULL GROUP BY text
-), lines AS (
-  SELECT {_BARE.format('u')} AS line, site FROM (SELECT unnest(string_split(text, chr(10))) AS u, site FROM texts)
+WITH lines AS (
+  SELECT {_BARE.format('u')} AS line, site FROM (
+    SELECT unnest(string_split(text, chr(10))) AS u, coalesce(source, chr(0) || 'null') AS site
+    FROM documents WHERE text IS NOT NULL)
 ), spread AS (
   SELECT line FROM lines WHERE length(line) > 0 GROUP BY line HAVING count(DISTINCT site) >= {line_spread.MIN_SITES}
 ), found AS (SELECT coalesce(list(line), []) AS gone FROM spread

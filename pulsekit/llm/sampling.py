@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,14 +29,28 @@ def bounded_sample(rows: DataFrame, label: str, per_label: int, max_labels: int)
     return rows.withColumn("rate", rate).where(draw < F.col("rate")), counts
 
 
-def log_binomial_tail(n: int, k: int, p: float) -> float:
-    """log P(X <= k) for X ~ Binomial(n, p), summed exactly from the largest term down."""
+def log_binomial_tail(n: int, k: int, p: float, block: int = 1 << 14) -> float:
+    """log P(X <= k) for X ~ Binomial(n, p), summed from X = k down until nothing is left that counts.
+
+    Going down, each term is a smaller part of the one above, so what is left
+    below a term is at most a geometric series; its bound is added, which keeps the
+    result an upper bound, exact to about 1e-15.
+    """
     if k >= n:
         return 0.0
     if k < 0:
         return -math.inf
-    log_q = math.log1p(-p)
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * log_q
-            for i in range(max(0, k - 20_000), k + 1)]
-    top = max(logs)
-    return top + math.log(math.fsum(math.exp(x - top) for x in logs))
+    top = (math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+           + k * math.log(p) + (n - k) * math.log1p(-p))
+    total, scale, at = 1.0, 0.0, k  # in units of exp(top); scale is the log of the last term
+    while at > 0:
+        i = np.arange(at, max(at - block, 0), -1, dtype=np.float64)
+        ratio = i * ((1 - p) / p) / (n - i + 1)  # of the term at i - 1 to the one at i
+        logs = scale + np.cumsum(np.log(ratio))
+        total += float(np.exp(logs).sum())
+        scale, at = float(logs[-1]), at - len(i)
+        r = at * ((1 - p) / p) / (n - at + 1)
+        if r < 1 and (rest := math.exp(scale) * r / (1 - r)) < 1e-16 * total:
+            total += rest
+            break
+    return min(0.0, top + math.log(total))

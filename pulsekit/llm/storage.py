@@ -15,7 +15,16 @@ def saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into a fresh shared folder and read it back."""
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.saved_path = path
+    return table
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove saved tables that nothing still to be computed reads: what came of them is saved itself."""
+    for table in tables:
+        at = spark._jvm.org.apache.hadoop.fs.Path(table.saved_path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

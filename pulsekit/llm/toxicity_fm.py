@@ -203,7 +203,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, per_label: int
     chosen = chosen.select(F.col("doc_id").alias("lid"), "label", "rate",
                            F.xxhash64("doc_id", F.lit(11)).alias("draw"))
     # bounded by per_label rows of each label (in expectation), so it is sent to every task
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("lid")).groupBy("doc_id", "label", "rate", "draw").agg(
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("lid")).groupBy("doc_id", "label", "rate", "draw").agg(
         F.lower(F.min("text")).alias("text"))
     got = rows.repartition(1).mapInPandas(_trainer, "model binary").collect()
     if not got:
@@ -234,8 +234,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, labelled: DataFrame, labels
     model = fit(spark, labelled, labels, per_label)
     if "w" not in model:
         return docs.where(F.lit(model["b"] < 0))
-    names = docs.columns
-    held = docs.select(F.lower("text").alias("text"), F.struct(*names).alias("row"))
+    held = docs.select(F.lower("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     kinds = docs.schema.simpleString().removeprefix("struct")
     scored = held.mapInArrow(_scorer(spark.sparkContext.broadcast(model)), f"row struct{kinds}, score double")
     return scored.where("score < 0.5").select("row.*")
