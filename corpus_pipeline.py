@@ -24,8 +24,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on many sites are cut out of the texts; every document stays."""
-    return line_spread.strip_lines(spark, docs)
+    """Lines on many sites are cut out of the texts; every document stays. Copies of a text count as one site:
+    they go in the next stage, and must not be emptied before."""
+    return line_spread.strip_lines(spark, docs, copies_once=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
