@@ -413,9 +413,10 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
     free = saved(spark, _untouched(spark, units.where(F.col("kind") == WINDOWS), coarse, "window")
                  .select("id", F.xxhash64("doc_id", "k2").alias("dk")), "free-windows")
     discard(spark, units, found)
-    again = free.groupBy(F.col("id").alias("aid")).agg(F.count("*").alias("n")).where("n > 1").select("aid")
+    again = saved(spark, free.groupBy(F.col("id").alias("aid")).agg(F.count("*").alias("n")).where("n > 1").select("aid"),
+                  "again")
     windows = saved(spark, free.join(again, F.col("id") == F.col("aid")).select("id", "dk"), "windows")
-    discard(spark, free)
+    discard(spark, free, again)
     held_texts, held_windows = (spark.sparkContext.broadcast(_filter_bits(windows.select(F.col(c).alias("id")).distinct()))
                                 for c in ("dk", "id"))
     stretches = saved(spark, d.select("doc_id", "k2", F.xxhash64("doc_id", "k2").alias("dk"), "text").mapInArrow(
