@@ -38,7 +38,7 @@ from pulsekit.llm.storage import saved
 # 15 words, one of the masks has a place without any.
 MASKS = ("11011011", "1110010101", "1010110011", "1111101", "110001111", "101110011")
 MIN_ITEM = 10
-SHORT_WORDS, SHORT_BYTES = 5, 30
+SHORT_WORDS, SHORT_BYTES = 5, 21
 WINDOW = 15
 AGREE = 0.8
 BITMAP_BITS = 26

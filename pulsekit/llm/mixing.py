@@ -4,24 +4,31 @@ The weight of a source is its share of the tokens to the power of an exponent
 between 0 (uniform) and 1 (natural shares), normalised. The exponent is the
 greatest whose weights reach a target entropy (as a share of the entropy of
 uniform weights), raised where needed until no source is repeated more than
-``max_repeats`` times; both are found by bisection inside one SQL expression
-over the table of source totals, which has one row a source.
+``max_repeats`` times. Both are found by bisection: a round cuts the interval into
+``GRID`` parts, and one aggregate over the table of source totals (a row a source,
+however many) tells on which side of the answer each cut lies. Only these sums
+reach the driver.
 
 The weights are realised as budgeted block permutations. A source's documents
 are dealt into ``n_blocks`` blocks by a hash; every epoch of a source visits its
 blocks in an order of its own; whole epochs take all blocks, the last one stops
 where the source's budget (weight x token budget) ends. Only the block where it
-ends is resolved document by document, so no task sees more than one block.
+ends is resolved further: by ranges of the hash that orders its documents, and
+document by document inside the range where the budget ends, so no task sees more
+than one block's share of one range in ``RANGES``.
 
 Defined results: documents without a word (null text too) carry no tokens and
 are never drawn; a null source is a source of its own; the total never exceeds
 the budget, and a source falls short of its own by less than one document of
-the last block; documents with equal doc_id are told apart by their text, rows
-equal in both are all drawn alike; an empty table gives an empty table; other columns are ignored.
+the last block; only the count of words matters, however long a text; blocks of one
+rank by hash go by number; documents with equal doc_id are told apart by their text,
+rows equal in both are all drawn alike; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -31,25 +38,41 @@ from pulsekit.llm.storage import saved
 TARGET_ENTROPY = 0.97   # share of the entropy of uniform weights
 MAX_REPEATS = 4.0
 N_BLOCKS = 1024
-ROUNDS = 50
+ROUNDS = 50              # halvings of [0, 1]
+GRID_BITS = 5            # halvings a round
+GRID = 1 << GRID_BITS
+RANGES = 1 << 16
 NULL_SOURCE = "\x00null"
 
 
-def _powers(exponent: str) -> str:
-    return f"transform(totals, t -> pow(t.tokens / total, {exponent}))"
-
-
-def _weights_at(exponent: str) -> str:
-    p = _powers(exponent)
-    return f"transform({p}, x -> x / aggregate({p}, 0D, (a, y) -> a + y))"
-
-
-def _bisect(low_is_right: str) -> str:
-    """Bisect [0, 1]: ``low_is_right`` tells of the middle m whether the answer lies at or above it."""
-    return (f"aggregate(sequence(1, {ROUNDS}), named_struct('lo', 0D, 'hi', 1D), (s, i) -> "
-            f"CASE WHEN {low_is_right.replace('@m', '((s.lo + s.hi) / 2)')} "
-            "THEN named_struct('lo', (s.lo + s.hi) / 2, 'hi', s.hi) "
-            "ELSE named_struct('lo', s.lo, 'hi', (s.lo + s.hi) / 2) END)")
+def _figures(totals: DataFrame, total: float, size: float, exponents: list[float]) -> list[tuple[float, float]]:
+    """(entropy, greatest repetition) of the weights at each exponent: one row of sums over the sources."""
+    p = F.col("tokens") / F.lit(total)
+    sums = []
+    for j, x in enumerate(exponents):
+        power = F.pow(p, F.lit(x))
+        sums += [F.sum(power).alias(f"s{j}"), F.sum(power * F.log(p)).alias(f"t{j}"),
+                 F.max(power / F.col("tokens")).alias(f"r{j}")]
+    row = totals.agg(*sums).first()
+    return [(math.log(row[f"s{j}"]) - x * row[f"t{j}"] / row[f"s{j}"], size * row[f"r{j}"] / row[f"s{j}"])
+            for j, x in enumerate(exponents)]
+
+
+def _exponent(totals: DataFrame, total: float, sources: int, size: float, target_entropy: float, max_repeats: float) -> float:
+    """The greatest exponent with the target entropy, or the least with the repetition limit if that is greater."""
+    goal = target_entropy * math.log(sources)
+    (least_entropy, _), (_, most_repeats) = _figures(totals, total, size, [1.0, 0.0])
+    by_entropy, by_repeats = [0.0, 1.0], [0.0, 1.0]
+    for _ in range(ROUNDS // GRID_BITS):
+        cuts = [[lo + (hi - lo) * j / GRID for j in range(1, GRID)] for lo, hi in (by_entropy, by_repeats)]
+        found = _figures(totals, total, size, cuts[0] + cuts[1])
+        # entropy falls and the greatest repetition falls as the exponent grows
+        high = sum(h >= goal for h, _ in found[:GRID - 1])
+        much = sum(r > max_repeats for _, r in found[GRID - 1:])
+        for interval, k in ((by_entropy, high), (by_repeats, much)):
+            lo, hi = interval
+            interval[:] = [lo + (hi - lo) * k / GRID, lo + (hi - lo) * (k + 1) / GRID]
+    return round(max(1.0 if least_entropy >= goal else by_entropy[0], 0.0 if most_repeats <= max_repeats else by_repeats[1]), 9)
 
 
 def mixing_weights(docs_tokens: DataFrame, target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS,
@@ -59,29 +82,19 @@ def mixing_weights(docs_tokens: DataFrame, target_entropy: float = TARGET_ENTROP
     ``budget`` in tokens, all tokens by default; a budget above ``max_repeats``
     times all tokens cannot be met within the limit and ends at natural shares.
     """
-    totals = docs_tokens.groupBy("source").agg(F.sum("n_tokens").alias("tokens"))
-    row = totals.agg(F.array_sort(F.collect_list(F.struct("source", "tokens"))).alias("totals"),
-                     F.sum("tokens").alias("total"))
-    entropy = f"-aggregate({_weights_at('@m')}, 0D, (a, q) -> a + q * ln(q))"
-    goal = f"{float(target_entropy)}D * ln(size(totals))"
-    size = "cast(total AS double)" if budget is None else f"{float(budget)}D"
-    repeats = f"array_max(zip_with({_weights_at('@m')}, totals, (q, t) -> q * {size} / t.tokens))"
-    # entropy falls and the greatest repetition falls as the exponent grows
-    found = (
-        row.where("total > 0")
-        .withColumn("natural", F.expr(f"{entropy.replace('@m', '1D')} >= {goal}"))
-        .withColumn("by_entropy", F.when(F.col("natural"), F.lit(1.0)).otherwise(
-            F.expr(_bisect(f"{entropy} >= {goal}"))["lo"]))
-        .withColumn("gentle", F.expr(f"{repeats.replace('@m', '0D')} <= {float(max_repeats)}D"))
-        .withColumn("by_repeats", F.when(F.col("gentle"), F.lit(0.0)).otherwise(
-            F.expr(_bisect(f"{repeats} > {float(max_repeats)}D"))["hi"]))
-        .withColumn("exponent", F.round(F.greatest("by_entropy", "by_repeats"), 9))
-        .withColumn("weights", F.expr(_weights_at("exponent")))
-        .select("exponent", F.expr(size).alias("size"), F.explode(F.arrays_zip("totals", "weights")).alias("x"))
-    )
-    weight = F.round("x.weights", 9)
-    return found.select(F.col("x.totals.source").alias("source"), F.col("x.totals.tokens").alias("tokens"),
-                        weight.alias("weight"), F.floor(weight * F.col("size")).cast("long").alias("target"), "exponent")
+    totals = saved(docs_tokens.sparkSession, docs_tokens.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "totals")
+    row = totals.agg(F.sum("tokens").alias("total"), F.count("*").alias("n")).first()
+    if not row["n"]:
+        return totals.select("source", "tokens", F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("target"),
+                             F.lit(1.0).alias("exponent"))
+    total = float(row["total"])
+    size = total if budget is None else float(budget)
+    x = _exponent(totals, total, row["n"], size, target_entropy, max_repeats)
+    power = F.pow(F.col("tokens") / F.lit(total), F.lit(x))
+    whole = totals.agg(F.sum(power)).first()[0]
+    weight = F.round(power / F.lit(whole), 9)
+    return totals.select("source", "tokens", weight.alias("weight"),
+                         F.floor(weight * F.lit(size)).cast("long").alias("target"), F.lit(x).alias("exponent"))
 
 
 def _order(*parts: Column) -> Column:
@@ -117,7 +130,19 @@ def mix(spark: SparkSession, docs: DataFrame, target_entropy: float = TARGET_ENT
     plan = saved(spark, plan, "mix-plan")
     drawn = d.join(plan, (F.col("source") == F.col("s")) & (F.col("block") == F.col("b")))
     cols = ["doc_id", "source", "epoch", "block", "block_rank", "n_tokens"]
-    # the block where the budget ends: documents in order of their mark while they fit
-    inside = Window.partitionBy("source", "epoch").orderBy("mark").rangeBetween(Window.unboundedPreceding, 0)
-    part = drawn.where("not whole").withColumn("used", F.sum("n_tokens").over(inside)).where("used <= room")
+    # the block where the budget ends: documents in order of their mark while they fit; ranges of the mark first
+    ending = drawn.where("not whole").withColumn("range", F.conv(F.substring("mark", 1, 4), 16, 10).cast("int"))
+    visit_ranges = Window.partitionBy("source", "epoch").orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = (  # at most RANGES rows an epoch of a source
+        ending.groupBy("source", "epoch", "range").agg(F.sum("n_tokens").alias("in_range"))
+        .withColumn("to_range", F.sum("in_range").over(visit_ranges))
+        .select(F.col("source").alias("rs"), F.col("epoch").alias("re"), F.col("range").alias("rr"),
+                (F.col("to_range") - F.col("in_range")).alias("offset"))
+    )
+    inside = Window.partitionBy("source", "epoch", "range").orderBy("mark").rangeBetween(Window.unboundedPreceding, 0)
+    part = (
+        ending.join(ranges, (F.col("source") == F.col("rs")) & (F.col("epoch") == F.col("re")) & (F.col("range") == F.col("rr")))
+        .where("offset < room")
+        .withColumn("used", F.col("offset") + F.sum("n_tokens").over(inside)).where("used <= room")
+    )
     return drawn.where("whole").select(*cols).unionByName(part.select(*cols))

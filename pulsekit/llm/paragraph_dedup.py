@@ -89,6 +89,21 @@ def _sequence_ids(h: np.ndarray, number: np.ndarray, first: np.ndarray, count: n
     return TA.mix(np.add.reduceat(TA.mix(h + place * mult), first) + count.astype(np.uint64)).view(np.int64)
 
 
+def _prefix_hash(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of h[i] * M^i and the powers of 1 / M (mod 2^64), from which any stretch's hash follows."""
+    mult = np.uint64(0xE7037ED1A0B428DB)
+    back = np.uint64(pow(0xE7037ED1A0B428DB, -1, 1 << 64))
+    power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(h), mult)]))[:len(h)]
+    return (np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * power)]),
+            np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(h), back)]))[:len(h)])
+
+
+def _stretch_hash(prefix: tuple[np.ndarray, np.ndarray], start: np.ndarray, words: int) -> np.ndarray:
+    """Hash of the ``words`` words from each start on."""
+    sums, back = prefix
+    return TA.mix((sums[start + words] - sums[start]) * back[start] + np.uint64(words)).view(np.int64)
+
+
 def _anchors(h: np.ndarray, text: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Words at which a window starts: minimizers among the starts whose window lies in the text."""
     starts = count - WINDOW + 1  # possible starts a text
@@ -165,11 +180,7 @@ def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool =
                       grams[keep], (np.cumsum(use) - 1)[owner[keep]]))
     at = _anchors(h, w.text, w.first, w.count) if windows else none
     if len(at):
-        mult = np.uint64(0xE7037ED1A0B428DB)
-        ids = np.zeros(len(at), np.uint64)
-        for j in range(WINDOW):
-            ids += TA.mix(h[at + j] + np.uint64(j) * mult)
-        parts.append((TA.mix(ids + np.uint64(WINDOW)).view(np.int64), np.full(len(at), WINDOWS), at,
+        parts.append((_stretch_hash(_prefix_hash(h), at, WINDOW), np.full(len(at), WINDOWS), at,
                       np.full(len(at), WINDOW), w.first[w.text[at]], np.zeros(0, np.uint64), none))
     if not parts:
         return _Units(w, none, none, none, none, none), np.zeros(0, np.uint64), none
@@ -258,13 +269,10 @@ def _stretch_rows(k, min_words, long_words, texts, windows):
                 high = np.minimum(u.first[at], u.line[at] + w.count[u.text[at]] - PASSAGE)
                 n = np.maximum(high - low + 1, 0)
                 start = np.unique(np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n))
-                g = np.zeros(len(start), np.uint64)
-                for j in range(PASSAGE):
-                    g = g * np.uint64(0x9FB21C651E98DF25) + h[start + j]
                 text = w.text[start]
                 base = c.offsets[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(TA.mix(g).view(np.int64)), doc.slice(c.lo, c.n).take(pa.array(text)),
+                    [pa.array(_stretch_hash(_prefix_hash(h), start, PASSAGE)), doc.slice(c.lo, c.n).take(pa.array(text)),
                      pa.array(key[c.lo:c.hi][text]), pa.array(w.start[start] - base),
                      pa.array(w.end[start + PASSAGE - 1] - base)], ["id", "doc_id", "k2", "pos", "end"])
     return run
@@ -419,13 +427,14 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
     discard(spark, free, again)
     held_texts, held_windows = (spark.sparkContext.broadcast(_filter_bits(windows.select(F.col(c).alias("id")).distinct()))
                                 for c in ("dk", "id"))
-    stretches = saved(spark, d.select("doc_id", "k2", F.xxhash64("doc_id", "k2").alias("dk"), "text").mapInArrow(
+    # a stretch may reach into a removed span: its words stand at an earlier place all the same
+    stretches = d.select("doc_id", "k2", F.xxhash64("doc_id", "k2").alias("dk"), "text").mapInArrow(
         _stretch_rows(k, min_words, long_words, held_texts, held_windows),
-        "id long, doc_id long, k2 long, pos long, end long").distinct(), "stretches")
-    passages = _repeats(spark, _untouched(spark, stretches, coarse, "stretch").withColumn(
-        "line", F.lit(0).cast("long")), "id", "passage")
+        "id long, doc_id long, k2 long, pos long, end long")
+    passages = _repeats(spark, stretches.withColumn("line", F.lit(0).cast("long")), "id", "passage")
     per_text = coarse.unionByName(passages).groupBy(F.col("doc_id").alias("xdoc"), F.col("k2").alias("xk2")).agg(
-        F.collect_list(F.when(F.col("gone"), F.struct("pos", "end"))).alias("drop"), F.count("*").alias("shared"))
+        F.collect_set(F.struct("pos", "end", "gone")).alias("found"))  # a set: equal rows count as one document
+    per_text = per_text.select("xdoc", "xk2", F.filter("found", lambda x: x["gone"]).alias("drop"), F.size("found").alias("shared"))
     out = d.join(per_text, F.col("doc_id").eqNullSafe(F.col("xdoc")) & (F.col("k2") == F.col("xk2")), "left") \
         .select("doc_id", "text", "drop", F.coalesce("shared", F.lit(0)).cast("long").alias("n_shared")).mapInArrow(
             _cut_texts(min_words),

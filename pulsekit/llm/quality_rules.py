@@ -149,7 +149,8 @@ def _levels() -> Column:
 
 def certified_cutoffs(spark: SparkSession, measured: DataFrame, labels: DataFrame, alpha: float = ALPHA,
                       delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, index): cutoff ``index`` (1 = mildest) of the rule's grid to use in the stratum."""
+    """(stratum, rule, index): reject the stratum's documents that reach at least ``index`` of the rule's cutoffs
+    (the whole grid: the mildest cutoff)."""
     one = labels.where("quality is not null").groupBy(F.col("doc_id").alias("lid")).agg(
         F.min("quality").alias("quality"))
     labelled = measured.join(one, F.col("doc_id") == F.col("lid"))
@@ -174,14 +175,14 @@ def certified_cutoffs(spark: SparkSession, measured: DataFrame, labels: DataFram
     tested = hits.mapInArrow(
         _p_values(alpha / len(GRIDS)),
         "stratum string, rule string, index int, n_good long, good_hit long, bad_hit long, log_p double")
-    path = Window.partitionBy("stratum", "rule").orderBy("index").rowsBetween(Window.unboundedPreceding, 0)
+    path = Window.partitionBy("stratum", "rule").orderBy(F.desc("index")).rowsBetween(Window.unboundedPreceding, 0)
     passed = (
         tested.withColumn("ok", F.col("log_p") <= math.log(delta / (len(GRIDS) * n_strata)))
         .withColumn("certified", F.min("ok").over(path)).where("certified and bad_hit > 0")
         .withColumn("gain", F.col("bad_hit") - 5 * F.col("good_hit")).where("gain > 0")
     )
-    return passed.groupBy("stratum", "rule").agg(F.max(F.struct("gain", (-F.col("index")).alias("i"))).alias("best")) \
-        .select("stratum", "rule", (-F.col("best.i")).alias("index"))
+    return passed.groupBy("stratum", "rule").agg(F.max(F.struct("gain", "index")).alias("best")).select(
+        "stratum", "rule", "best.index")
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
