@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 from pulsekit import params as P
 from pulsekit.operators import etl
 from pulsekit.session import shared_dir
-from pulsekit.sources import load_fixture_logs, publish_mart, read_mart, read_published_mart, write_mart
+from pulsekit.sources import (
+    FEED_SCHEMA, load_fixture_logs, publish_mart, read_log, read_mart, read_published_mart, write_mart,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -308,6 +310,22 @@ def _feed_daily_sql(spark, sf_dir):
                       first=P.AS_OF - _td(days=7), last=P.AS_OF - _td(days=1))
 
 
+_TABLES: dict[tuple[str, str], str] = {}
+
+
+@query("feed_daily_metrics_table")
+def _feed_daily_table(spark, sf_dir):
+    """The feed KPIs from a namespaced catalog table (made from the log once a session, in the shared folder)."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _TABLES:
+        location = shared_dir(spark, "feed-table")
+        name = "pulsekit_" + location.rsplit("-", 1)[1]
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{location}'")
+        logs(spark, sf_dir).feed.write.saveAsTable(f"{name}.feed_actions")
+        _TABLES[at] = f"{name}.feed_actions"
+    return audience.feed_daily_metrics(read_log(spark, _TABLES[at], FEED_SCHEMA), P.AS_OF)
+
+
 query("user_ctr_preview", rounded=True)(lambda s, d: reports.preview(user_metrics(s, d), ["exp_group", "user_id"]))
 query("user_ctr_shape")(lambda s, d: reports.shape(user_metrics(s, d)))
 
