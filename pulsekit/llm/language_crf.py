@@ -17,7 +17,9 @@ Defined results: ``und`` with score 0 for null texts and texts without a
 letter, and for all texts when nothing can be learned; only the ``MAX_LANGS``
 most frequent languages are learned; of several rows of a doc_id and language the
 least text is learned from; a null doc_id is never learned from and not held out;
-other columns are ignored.
+of equally likely languages the alphabetically first is taken; a text is labelled whole,
+in memory of its words x languages; repeated rows get equal results; an empty table
+gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations

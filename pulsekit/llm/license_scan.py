@@ -9,7 +9,9 @@ bigram is looked up. The templates are a fixed list, so they travel with the tas
 
 Defined results: null and empty texts have no match; units of one word have no
 bigrams and match nothing; a line that is the whole text counts once; repeated
-rows each get their row; a null doc_id comes back null; other columns are ignored.
+rows each get their row; of equally similar templates the least name is the best; a
+very long text is one unit more, in memory proportional to it; a null doc_id comes back
+null; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations

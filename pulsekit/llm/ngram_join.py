@@ -8,7 +8,9 @@ candidate is verified on the whole shingle sets.
 Defined results: null texts and texts without a word link to nothing and form a
 class of their own; a text of one to four words has one shingle of all its
 words; equal texts are copies of each other (each a link); repeated rows count
-as copies; a null doc_id takes part and comes back null; other columns are ignored.
+as copies; the class id is the least doc_id, null first; a very long text is one row of
+one task, in memory proportional to it; a null doc_id takes part and comes back null;
+an empty table gives an empty table; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

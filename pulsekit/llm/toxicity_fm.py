@@ -22,7 +22,10 @@ clean texts flagged.
 Defined results: null and empty texts have no terms and score the intercept;
 without both labels in the learning folds the score is the share of label 1 (0
 if there are no labels); several labels of a doc_id count as the greatest, and
-of several rows of a labelled doc_id the least text is learned from; a null doc_id is never learned from and not held out; other columns are ignored.
+of several rows of a labelled doc_id the least text is learned from; a null doc_id is
+never learned from and not held out; very long texts are scored whole, in memory
+proportional to them; a score of exactly 0.5 counts as toxic; repeated rows get equal
+scores; an empty table gives an empty table; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
