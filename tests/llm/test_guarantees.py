@@ -291,3 +291,64 @@ def test_scores_equal_the_sum_over_all_pairs_of_terms(spark):
             g = np.array(v) @ np.array(v).T
             z += float(np.triu(g, 1).sum()) / len(terms)  # each pair once, each term with 1 / sqrt(n)
         assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), abs=2e-4)
+
+
+# ------------------------------------------------------------------ empty tables and repeated rows
+
+def test_empty_tables_of_the_learned_operators(spark):
+    from pulsekit.llm import language_crf
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert language_crf.identify(spark, docs).collect() == []
+    assert QR.apply_rules(spark, docs, labels).collect() == []
+    assert toxicity_fm.score_toxicity(spark, docs, labels).collect() == []
+
+
+def test_mixing_draws_equal_rows_alike_and_keeps_to_the_budget(spark):
+    from pulsekit.llm import mixing
+    rng = random.Random(31)
+    rows = [(i, " ".join(["w"] * rng.randrange(0, 30)), ["a", "a", "a", "a", "b", "c", None][i % 7]) for i in range(700)]
+    rows += rows[:40] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = mixing.mix(spark, docs).collect()
+    drawn = defaultdict(int)
+    for r in out:
+        drawn[r.doc_id, r.epoch] += 1
+    for (doc, _), n in drawn.items():
+        assert n == (4 if doc < 40 else 1)  # all copies of a row or none
+    tokens, target = defaultdict(int), {}
+    for r in out:
+        tokens[r.source] += r.n_tokens
+    per = docs.selectExpr("coalesce(source, '\\0null') AS source", "regexp_count(text, 'w') AS n_tokens").where("n_tokens > 0")
+    for r in mixing.mixing_weights(per).collect():
+        target[r.source] = r.target
+    longest = 4 * 29  # the last document of a block and its copies may not fit
+    assert all(target[s] - longest < tokens[s] <= target[s] for s in target)
+
+
+def test_many_sources_meet_no_single_row(spark):
+    """Weights of 200,000 sources: sums only, and the same exponent as the sums in plain arithmetic."""
+    from pulsekit.llm import mixing
+    per = spark.range(200_000).select(F.concat(F.lit("s"), F.col("id").cast("string")).alias("source"),
+                                      (F.col("id") % 97 * 13 + 5).alias("n_tokens"))
+    got = mixing.mixing_weights(per, target_entropy=0.995, max_repeats=3.0)
+    x = got.first().exponent
+    t = np.array([i % 97 * 13 + 5 for i in range(200_000)], dtype=float)
+
+    def figures(e):
+        q = (t / t.sum()) ** e
+        q /= q.sum()
+        return -(q * np.log(q)).sum(), (q * t.sum() / t).max()
+    goal = 0.995 * math.log(len(t))
+    lo, hi = 0.0, 1.0
+    for _ in range(50):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if figures(mid)[0] >= goal else (lo, mid)
+    by_entropy = 1.0 if figures(1.0)[0] >= goal else lo
+    lo, hi = 0.0, 1.0
+    for _ in range(50):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if figures(mid)[1] > 3.0 else (lo, mid)
+    assert x == pytest.approx(max(by_entropy, 0.0 if figures(0.0)[1] <= 3.0 else hi), abs=1e-8)
+    assert got.agg(F.sum("weight")).first()[0] == pytest.approx(1.0, abs=1e-4)
+    assert "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()
