@@ -178,7 +178,9 @@ def upsert_panel(updates: DataFrame, batch_id: int, root: str) -> None:
     )
     before = read_today_panel(spark, root).where(~F.date_format("window_start", _SLOT).isin(touched))
     folder = f"panel/{batch_id:012d}-{uuid.uuid4().hex[:12]}"
-    before.unionByName(windows).coalesce(1).write.parquet(f"{root}/{folder}")  # one row a window
+    # the files follow the size of the panel, after a shuffle: a plain coalesce would pull the aggregation of
+    # all shuffle partitions into its one task, each with a hash map of its own
+    before.unionByName(windows).hint("rebalance").write.parquet(f"{root}/{folder}")
     old = read_manifest(spark, root).get("panel")
     publish(spark, root, {"panel": folder})
     for name in list_names(spark, f"{root}/panel"):  # a reader may still be on the version just replaced

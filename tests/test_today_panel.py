@@ -1,6 +1,7 @@
 """The live panel with the open hour: stored table = batch aggregate after every micro-batch."""
 
 import os
+import re
 from datetime import datetime
 
 import pytest
@@ -108,6 +109,26 @@ def test_a_batch_that_dies_before_publishing_leaves_the_panel(spark, batches, mo
         live.live_feed_metrics(logs_from_events(batches[0].unionByName(batches[1])).feed))
 
 
+def test_the_aggregation_of_a_batch_stays_spread_over_its_tasks(spark, batches, monkeypatch):
+    root = shared_dir(spark, "panel-plan")
+    writer, plans = type(batches[0].write), []
+    real = writer.parquet
+
+    def spy(self, path, *args, **kwargs):
+        if "/panel/" in path:
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return real(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(writer, "parquet", spy)
+    for i in range(2):
+        live.upsert_panel(live.user_window_updates(logs_from_events(batches[i]).feed), i, root)
+    assert len(plans) == 2
+    for plan in plans:
+        # the last step before the write is a shuffle, so no task holds the hash maps of several partitions
+        assert not re.search(r"^\W*Coalesce\b", plan, re.MULTILINE)
+        assert plan.index("Exchange") < plan.index("Aggregate")
+
+
 def test_empty_panel(spark):
     assert live.read_today_panel(spark, shared_dir(spark, "panel-none")).collect() == []
 
