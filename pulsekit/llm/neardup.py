@@ -32,6 +32,8 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
 BLOCK = 256
 COLUMNS = 4096
+SMALL = 16               # units of up to so many items are verified together,
+SMALL_LOAD = 1 << 19     # until they hold about so many grams
 _SEEDS = TA.mix(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
@@ -76,7 +78,7 @@ def candidate_groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def _hub_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in (bucket, id) order, a link from every other item of a bucket to its first."""
+    """From rows in the order of their buckets, a link from every other item of a bucket to its first."""
     bucket = hub = before = None
     for batch in batches:
         b, ids = batch.column("bucket").to_numpy(), batch.column("id").to_numpy()
@@ -99,7 +101,7 @@ def linked_groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
     a row a task in each of its buckets.
     """
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = rows.repartition(n, "bucket").sortWithinPartitions("bucket", "id").mapInArrow(_hub_links, "a long, b long")
+    links = rows.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_hub_links, "a long, b long")
     groups = saved(spark, connected_components(spark, links).withColumnRenamed("comp", "grp"), "groups")
     sizes = saved(spark, groups.groupBy("grp").agg(F.count("*").alias("size")), "group-sizes")
     out = saved(spark, groups.join(sizes, "grp"), "candidates")
@@ -148,30 +150,99 @@ def _verify_unit(ids, weights, side, sets, diagonal: bool, threshold: float):
     return ids[keep], links[keep], label[keep]
 
 
+def _verify_small(units: list, threshold: float):
+    """Links and spanning labels of many units of at most ``SMALL`` items, each one the only block of its group.
+
+    The n-gram sets of all are sorted together; ``inter[i, j]`` counts what item i shares with the j-th item of its unit.
+    """
+    count = np.array([len(u[0]) for u in units])
+    ids, weights, size, grams = (np.concatenate([u[i] for u in units]) for i in (0, 1, 3, 4))
+    n = len(ids)
+    unit = np.repeat(np.arange(len(units)), count)
+    head = (np.cumsum(count) - count)[unit]
+    place = np.arange(n) - head
+    row = np.repeat(np.arange(n), size)
+    # grams of different units are told apart by a mark (and by the check of the unit below)
+    value = grams ^ TA.mix(unit[row].astype(np.uint64))
+    order = np.argsort(value)
+    value, row = value[order], row[order]
+    inter = np.zeros(n * SMALL)
+    at, step = np.arange(len(value)), 0
+    while at.size:
+        step += 1
+        at = at[at + step < len(value)]
+        at = at[value[at] == value[at + step]]
+        x, y = row[at], row[at + step]
+        own = unit[x] == unit[y]
+        x, y = x[own], y[own]
+        inter += np.bincount(np.concatenate([x * SMALL + place[y], y * SMALL + place[x]]), minlength=n * SMALL)
+    inter = inter.reshape(n, SMALL)
+    j = np.arange(SMALL)[None, :]
+    there = j < count[unit][:, None]
+    other = np.where(there, head[:, None] + j, 0)
+    similar = there & (j != place[:, None]) & (
+        inter >= threshold * (size[:, None] + size[other] - inter) - 1e-9)
+    links = np.where(similar, weights[other], 0).sum(axis=1)
+    label = ids.copy()
+    top = np.iinfo(np.int64).max
+    while True:
+        low = np.minimum(label, np.where(similar, label[other], top).min(axis=1))
+        if (low == label).all():
+            break
+        label = low
+    keep = links > 0
+    return ids[keep], links[keep], label[keep]
+
+
 def _verifier(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        small, load = [], 0   # small units wait for each other
+        key, many, held = None, False, []
 
-        def close():
-            ids, weights, side, grams = zip(*held)
-            got = _verify_unit(np.array(ids, np.int64), np.array(weights, np.float64), np.array(side),
-                               [np.frombuffer(g, np.uint64) for g in grams], key[1] == key[2], threshold)
+        def out(got, multi):
             return pa.RecordBatch.from_arrays(
                 [pa.array(got[0]), pa.array(got[1].astype(np.int64)), pa.array(got[2]),
                  pa.array([multi] * len(got[0]), pa.bool_())], ["id", "links", "root", "multi"])
 
-        multi = False
+        def close():
+            nonlocal small, load
+            unit = held[0] if len(held) == 1 else [np.concatenate(x) for x in zip(*held)]
+            if len(unit[0]) < 2:
+                return
+            if many or len(unit[0]) > SMALL:
+                ids, weights, side, size, grams = unit
+                yield out(_verify_unit(ids, weights.astype(np.float64), side, np.split(grams, np.cumsum(size)[:-1]),
+                                       key[1] == key[2], threshold), many)
+                return
+            small.append([x.copy() for x in unit])  # not to hold the batches they came in
+            load += len(unit[4]) + SMALL * len(unit[0])
+            if load >= SMALL_LOAD:
+                yield out(_verify_small(small, threshold), False)
+                small, load = [], 0
+
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("grp", "bi", "bj", "id", "weight", "block", "blocks")]
-            grams = batch.column("grams")
-            for i, (g, bi, bj, id_, weight, block, blocks) in enumerate(zip(*cols)):
-                if key != (g, bi, bj):
-                    if len(held) > 1:
-                        yield close()
-                    key, held, multi = (g, bi, bj), [], blocks > 1
-                held.append((id_, weight, block, grams[i].as_py()))
-        if len(held) > 1:
-            yield close()
+            if not batch.num_rows:
+                continue
+            g, bi, bj, ids, weight, block, blocks = (
+                batch.column(c).to_numpy() for c in ("grp", "bi", "bj", "id", "weight", "block", "blocks"))
+            column = batch.column("grams").cast(pa.large_binary())
+            _, off, buf = column.buffers()
+            offsets = np.frombuffer(off, np.int64)[column.offset:column.offset + len(column) + 1] // 8
+            grams = np.frombuffer(buf, np.uint64, buf.size // 8) if buf is not None and buf.size else np.zeros(0, np.uint64)
+            size = np.diff(offsets)
+            new = np.ones(len(g), dtype=bool)
+            new[1:] = (g[1:] != g[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])
+            cuts = np.append(np.flatnonzero(new), len(g))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if key != (g[a], bi[a], bj[a]):
+                    if held:
+                        yield from close()
+                    key, many, held = (g[a], bi[a], bj[a]), bool(blocks[a] > 1), []
+                held.append((ids[a:b], weight[a:b], block[a:b], size[a:b], grams[offsets[a]:offsets[b]]))
+        if held:
+            yield from close()
+        if small:
+            yield out(_verify_small(small, threshold), False)
     return run
 
 

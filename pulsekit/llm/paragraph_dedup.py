@@ -155,8 +155,8 @@ class _Units:
         return self.words.end[self.first + self.count - 1]
 
 
-def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool = False):
-    """The units of a chunk, and the grams of its lines and pieces with the index of their unit."""
+def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool = False, with_grams: bool = True):
+    """The units of a chunk, and the grams of its lines and pieces with the index of their unit (none if not wanted)."""
     w = TA.words_of(c)
     h = TA.word_hashes(c, w)
     none = np.zeros(0, np.int64)
@@ -174,7 +174,7 @@ def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool =
         if not use.any():
             continue
         ids = _sequence_ids(h, number, first, count)
-        grams, owner = TA.ngrams(h, number, k, len(first))
+        grams, owner = TA.ngrams(h, number, k, len(first)) if with_grams else (np.zeros(0, np.uint64), none)
         keep = use[owner]
         parts.append((ids[use], kind[use], first[use], count[use], lfirst[line[first[use]]],
                       grams[keep], (np.cumsum(use) - 1)[owner[keep]]))
@@ -193,16 +193,17 @@ def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool =
 
 def _band_rows(k, bands, rows, min_words, long_words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = np.zeros(0, np.int64)  # ids of this task's last units: copies need no second row
+        sent = ~np.arange(_REMEMBERED)  # by the last bits, the id this task sent last: copies need no second row (no id fits its slot yet)
         for batch in batches:
             for c in TA.text_chunks(batch.column("text")):
                 u, grams, owner = _units(c, k, min_words, long_words)
                 _, first = np.unique(u.ids, return_index=True)
+                first = first[sent[u.ids[first] & (_REMEMBERED - 1)] != u.ids[first]]
+                sent[u.ids[first] & (_REMEMBERED - 1)] = u.ids[first]
                 new = np.zeros(len(u.ids), dtype=bool)
-                new[first] = ~np.isin(u.ids[first], sent)
+                new[first] = True
                 keep = new[owner]
                 h, own = ND.band_hashes(grams[keep], owner[keep], bands, rows)
-                sent = np.concatenate([sent, u.ids[new]])[-_REMEMBERED:]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.ravel()), pa.array(np.repeat(u.ids[own], bands))], ["bucket", "id"])
     return run
@@ -213,7 +214,7 @@ def _unit_ids(k, min_words, long_words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in TA.text_chunks(batch.column("text")):
-                ids, n = np.unique(_units(c, k, min_words, long_words, True)[0].ids, return_counts=True)
+                ids, n = np.unique(_units(c, k, min_words, long_words, True, False)[0].ids, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], ["id", "n"])
     return run
 
@@ -241,7 +242,7 @@ def _unit_rows(k, min_words, long_words, bitmap):
             doc = batch.column("doc_id")
             key = batch.column("k2").to_numpy()
             for c in TA.text_chunks(batch.column("text")):
-                u = _units(c, k, min_words, long_words, True)[0]
+                u = _units(c, k, min_words, long_words, True, False)[0]
                 at = np.flatnonzero(_may_hold(bitmap.value, u.ids))
                 text = u.text[at]
                 base = c.offsets[text]
@@ -253,7 +254,7 @@ def _unit_rows(k, min_words, long_words, bitmap):
     return run
 
 
-def _stretch_rows(k, min_words, long_words, texts, windows):
+def _stretch_rows(texts, windows):
     """(id, doc_id, k2, byte start and end) of the stretches of PASSAGE words that hold a window whose id may be
     wanted, of texts whose key may be."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,17 +263,20 @@ def _stretch_rows(k, min_words, long_words, texts, windows):
             doc = batch.column("doc_id")
             key = batch.column("k2").to_numpy()
             for c in TA.text_chunks(batch.column("text")):
-                u = _units(c, k, min_words, long_words, True)[0]
-                w, h = u.words, TA.word_hashes(c, u.words)
-                at = np.flatnonzero((u.kind == WINDOWS) & _may_hold(windows.value, u.ids))
-                low = np.maximum(u.line[at], u.first[at] + WINDOW - PASSAGE)
-                high = np.minimum(u.first[at], u.line[at] + w.count[u.text[at]] - PASSAGE)
+                w = TA.words_of(c)
+                h = TA.word_hashes(c, w)
+                prefix = _prefix_hash(h)
+                at = _anchors(h, w.text, w.first, w.count)
+                at = at[_may_hold(windows.value, _stretch_hash(prefix, at, WINDOW))]
+                top = w.first[w.text[at]]
+                low = np.maximum(top, at + WINDOW - PASSAGE)
+                high = np.minimum(at, top + w.count[w.text[at]] - PASSAGE)
                 n = np.maximum(high - low + 1, 0)
                 start = np.unique(np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n))
                 text = w.text[start]
                 base = c.offsets[text]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_stretch_hash(_prefix_hash(h), start, PASSAGE)), doc.slice(c.lo, c.n).take(pa.array(text)),
+                    [pa.array(_stretch_hash(prefix, start, PASSAGE)), doc.slice(c.lo, c.n).take(pa.array(text)),
                      pa.array(key[c.lo:c.hi][text]), pa.array(w.start[start] - base),
                      pa.array(w.end[start + PASSAGE - 1] - base)], ["id", "doc_id", "k2", "pos", "end"])
     return run
@@ -312,7 +316,9 @@ def _cut_texts(min_words):
             for c in TA.text_chunks(batch.column("text")):
                 w = TA.words_of(c)
                 newline = np.concatenate([[0], np.cumsum(c.data[:c.size] == 0x0A)])
-                _, first, count = np.unique(newline[w.start] + w.text, return_index=True, return_counts=True)
+                line = newline[w.start] + w.text  # ascending
+                first = np.flatnonzero(np.diff(line, prepend=-1))
+                count = np.diff(first, append=len(line))
                 n_units = np.bincount(w.text[first[count >= min_words]], minlength=c.n)
                 spans, texts = [], []
                 for t in range(c.n):
@@ -340,6 +346,10 @@ def _cut_texts(min_words):
     return run
 
 
+def _has_repeated_rows(d: DataFrame) -> bool:
+    return not d.groupBy("doc_id", "k2").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
 def _repeats(spark: SparkSession, units: DataFrame, by: str, name: str) -> DataFrame:
     """Units of the classes ``by`` that stand at several places; all but the least (doc_id, k2, pos) are ``gone``."""
     units = saved(spark, units, f"{name}-units")
@@ -395,7 +405,9 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
     units = d.mapInArrow(
         _unit_rows(k, min_words, long_words, bitmap),
         "id long, kind int, doc_id long, k2 long, pos long, end long, line long")
-    units = saved(spark, units.dropDuplicates(["doc_id", "k2", "pos", "end", "kind"]), "units")
+    if _has_repeated_rows(d):  # rows equal in doc_id and text give the same units: all count as one document
+        units = units.dropDuplicates(["doc_id", "k2", "pos", "end", "kind"])
+    units = saved(spark, units, "units")
     coarse_units = units.where(F.col("kind") != WINDOWS)
     first = coarse_units.groupBy("id").agg(F.min(F.struct("doc_id", "k2")).alias("at"), F.count("*").alias("n"))
     first = saved(spark, first.join(groups, "id", "left").where("n > 1 or grp is not null"), "first")
@@ -429,7 +441,7 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
                                 for c in ("dk", "id"))
     # a stretch may reach into a removed span: its words stand at an earlier place all the same
     stretches = d.select("doc_id", "k2", F.xxhash64("doc_id", "k2").alias("dk"), "text").mapInArrow(
-        _stretch_rows(k, min_words, long_words, held_texts, held_windows),
+        _stretch_rows(held_texts, held_windows),
         "id long, doc_id long, k2 long, pos long, end long")
     passages = _repeats(spark, stretches.withColumn("line", F.lit(0).cast("long")), "id", "passage")
     per_text = coarse.unionByName(passages).groupBy(F.col("doc_id").alias("xdoc"), F.col("k2").alias("xk2")).agg(

@@ -12,6 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsekit.llm import decontaminate as DC
+from pulsekit.llm import neardup as ND
+from pulsekit.llm import paragraph_dedup as PD
 from pulsekit.llm import line_spread, ngram_join, paragraph_dedup, quality_rules as QR, toxicity_fm
 from pulsekit.llm import textarrays as TA
 from pulsekit.llm.sampling import log_binomial_tail
@@ -352,3 +354,35 @@ def test_many_sources_meet_no_single_row(spark):
     assert x == pytest.approx(max(by_entropy, 0.0 if figures(0.0)[1] <= 3.0 else hi), abs=1e-8)
     assert got.agg(F.sum("weight")).first()[0] == pytest.approx(1.0, abs=1e-4)
     assert "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_groups_verified_together_equal_one_by_one():
+    rng = np.random.default_rng(7)
+    units = []
+    for g in range(200):
+        base = rng.integers(0, 1 << 62, 40, dtype=np.uint64)
+        sets = []
+        for _ in range(int(rng.integers(2, ND.SMALL + 1))):
+            s = base.copy()
+            s[rng.integers(0, 40, int(rng.integers(0, 7)))] = rng.integers(0, 1 << 62, dtype=np.uint64)
+            sets.append(np.unique(s))
+        n = len(sets)
+        units.append((rng.integers(-1 << 60, 1 << 60, n), rng.integers(1, 4, n), np.zeros(n, np.int64),
+                      np.array([len(s) for s in sets]), np.concatenate(sets)))
+    # a unit that holds the very grams of another stays apart from it
+    units.append((units[0][0] + 1, *units[0][1:]))
+    got = sorted(zip(*(x.tolist() for x in ND._verify_small(units, ND.THRESHOLD))))
+    want = []
+    for ids, weights, side, size, grams in units:
+        one = ND._verify_unit(ids, weights.astype(float), side, np.split(grams, np.cumsum(size)[:-1]), True, ND.THRESHOLD)
+        want += zip(one[0].tolist(), one[1].astype(int).tolist(), one[2].tolist())
+    assert got == sorted(want) and got
+
+
+def test_passes_without_grams_see_the_same_units():
+    text = pa.array([" ".join(f"w{i}." for i in range(130)) + "\n" + " ".join(f"v{i}" for i in range(30)), "", None, "a b"])
+    (c,) = TA.text_chunks(text)
+    full, bare = PD._units(c, 5, 20, 60, True)[0], PD._units(c, 5, 20, 60, True, False)[0]
+    assert len(full.ids) and (full.ids == bare.ids).all() and (full.first == bare.first).all()
+    assert (full.kind == bare.kind).all() and (full.count == bare.count).all() and (full.line == bare.line).all()
+    assert not len(PD._units(c, 5, 20, 60, True, False)[1])
