@@ -32,6 +32,8 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
 BLOCK = 256
 COLUMNS = 4096
+PARTS = 8                # parts of packed keys a shuffle partition
+PACKED_KEYS = "part long, buckets binary, ids binary, units binary"
 SMALL = 16               # units of up to so many items are verified together,
 SMALL_LOAD = 1 << 19     # until they hold about so many grams
 _SEEDS = TA.mix(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
@@ -57,12 +59,14 @@ def band_hashes(grams: np.ndarray, owner: np.ndarray, bands: int, rows: int) ->
         return np.zeros((0, bands), np.int64), np.zeros(0, np.int64)
     first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     out = np.empty((len(first), bands), dtype=np.uint64)
+    mixed = np.empty_like(grams)
     for b in range(bands):
         h = np.full(len(first), b, dtype=np.uint64)
         for r in range(rows):
             i = 2 * (b * rows + r)
-            least = np.minimum.reduceat((grams ^ _SEEDS[i % 1024]) * (_SEEDS[(i + 1) % 1024] | np.uint64(1)), first)
-            h = h * np.uint64(0x9FB21C651E98DF25) + least
+            np.bitwise_xor(grams, _SEEDS[i % 1024], out=mixed)
+            np.multiply(mixed, _SEEDS[(i + 1) % 1024] | np.uint64(1), out=mixed)
+            h = h * np.uint64(0x9FB21C651E98DF25) + np.minimum.reduceat(mixed, first)
         out[:, b] = TA.mix(h + np.uint64(b))
     return out.view(np.int64), owner[first]
 
@@ -94,19 +98,68 @@ def _hub_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(hubs[keep])], ["a", "b"])
 
 
-def linked_groups(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """As ``candidate_groups``, with the band rows shuffled once: each partition reads its buckets in order.
+def key_parts(spark: SparkSession) -> int:
+    """Parts of packed keys: several to a shuffle partition, so that partitions are even and a part is small."""
+    return PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def packed_keys(held: list, n_parts: int) -> pa.RecordBatch:
+    """Arrays (buckets, ids of the buckets' items, unit ids) as one row (part, buckets, ids, units) of each part."""
+    def cut(key, *values):
+        part = (key.view(np.uint64) % np.uint64(n_parts)).astype(np.int64)
+        order = np.argsort(part.astype(np.uint16) if n_parts <= 1 << 16 else part, kind="stable")
+        return [x[order] for x in (key, *values)], np.bincount(part, minlength=n_parts)
+
+    bucket, ids, units = (np.concatenate(x) for x in zip(*held))
+    (bucket, ids), n = cut(bucket, ids)
+    (units,), m = cut(units)
+    row = np.flatnonzero(n + m)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row), TA.binary_array(bucket, n[row]), TA.binary_array(ids, n[row]), TA.binary_array(units, m[row])],
+        ["part", "buckets", "ids", "units"])
+
+
+def _part_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From packed keys in the order of their parts: the links of the buckets, and a link to itself of each unit id
+    that comes up again."""
+    def close(held):
+        bucket, ids, units = (np.frombuffer(b"".join(x), np.int64) for x in zip(*held))
+        order = np.argsort(bucket)
+        rows = pa.RecordBatch.from_arrays([pa.array(bucket[order]), pa.array(ids[order])], ["bucket", "id"])
+        yield from _hub_links(iter([rows]))
+        units = np.sort(units)
+        again = pa.array(np.unique(units[1:][units[1:] == units[:-1]]))
+        yield pa.RecordBatch.from_arrays([again, again], ["a", "b"])
+
+    part, held = None, []
+    for batch in batches:
+        cols = [batch.column(x) for x in ("buckets", "ids", "units")]
+        for at, p in enumerate(batch.column("part").to_pylist()):
+            if p != part and held:
+                yield from close(held)
+                held = []
+            part = p
+            held.append(tuple(x[at].as_buffer() for x in cols))
+    if held:
+        yield from close(held)
+
+
+def linked_groups(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``candidate_groups``, from packed keys shuffled once, and the table (id) of the unit ids that come up again.
 
     The makers of ``rows`` send an item's rows once a task, so a hot item is at most
     a row a task in each of its buckets.
     """
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = rows.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_hub_links, "a long, b long")
+    links = saved(spark, rows.repartition(n, "part").sortWithinPartitions("part").mapInArrow(
+        _part_links, "a long, b long"), "links")
+    often = saved(spark, links.where("a = b").select(F.col("a").alias("id")), "often")
     groups = saved(spark, connected_components(spark, links).withColumnRenamed("comp", "grp"), "groups")
+    discard(spark, links)
     sizes = saved(spark, groups.groupBy("grp").agg(F.count("*").alias("size")), "group-sizes")
     out = saved(spark, groups.join(sizes, "grp"), "candidates")
     discard(spark, groups, sizes)
-    return out
+    return out, often
 
 
 def _similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:

@@ -16,7 +16,8 @@ that every passage of 50 words has one, and around a window that comes up again
 all stretches of ``PASSAGE`` words that hold it are compared. Of equal stretches
 the first stays, so a passage of 50 equal words or more is cut from end to end.
 
-Unit ids alone are counted first (8 bytes each); rows with places are made only
+Band hashes and unit ids are shuffled first, packed by remainders of the key (16 and 8
+bytes each), and met in order one remainder at a time; rows with places are made only
 for ids that come up again or have a similar one, which a bitmap of at most
 ``2**FILTER_BITS`` bits tells in advance (it may let others pass, never stop one).
 
@@ -36,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,8 +53,11 @@ WINDOW = 26
 ANCHOR_SPAN = 25
 PASSAGE = 50
 NEAR = 4096  # bytes
-FILTER_BITS = 26
+FILTER_BITS = 28
+CHUNK_BYTES = 1 << 18  # texts handled together: their arrays stay in the cache
+HELD_ROWS = 1 << 19  # keys that a task packs together
 _REMEMBERED = 1 << 18
+_PLACE_BITS = 30  # no string has more words
 LINE, PIECE, WINDOWS = 1, 2, 4  # kinds of units, as bits: an uncut line is both of the first
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
@@ -63,16 +68,16 @@ def _cuts(c: TA.Chunk, w: TA.Words, hashes: np.ndarray, long_words: int):
     n = len(w.start)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    newline = np.concatenate([[0], np.cumsum(c.data[:c.size] == 0x0A)])
-    cut = np.ones(n, dtype=bool)
-    cut[1:] = (newline[w.start[1:]] != newline[w.start[:-1]]) | (w.text[1:] != w.text[:-1])
+    cut = np.zeros(n + 1, dtype=bool)  # the first word after each newline and of each text begins a line
+    cut[np.searchsorted(w.start, np.flatnonzero(c.data[:c.size] == 0x0A))] = True
+    cut[w.first[w.count > 0]] = True
+    cut = cut[:n]
     line = np.cumsum(cut) - 1
-    words_in_line = np.bincount(line)[line]
-    pair = TA.mix(hashes[1:-1] + hashes[:-2] * np.uint64(3))  # of words i, i+1; a cut may follow word i+1
-    inner = np.zeros(n, dtype=bool)
-    if n > 2:
-        inner[2:] = _ENDS[c.data[w.end[1:-1] - 1]] & (pair & np.uint64(3) == 0)
-    cut |= inner & (words_in_line > long_words)
+    after = np.flatnonzero(_ENDS[c.data[w.end[1:-1] - 1]]) + 2  # a cut may come before these words
+    # not after the first word of a text: what stands before it is another text
+    after = after[(w.text[after - 2] == w.text[after - 1]) & (np.bincount(line)[line[after]] > long_words)]
+    pair = TA.mix(hashes[after - 1] + hashes[after - 2] * np.uint64(3))
+    cut[after[pair & np.uint64(3) == 0]] = True
     return line, np.cumsum(cut) - 1
 
 
@@ -115,27 +120,30 @@ def _anchors(h: np.ndarray, text: np.ndarray, first: np.ndarray, count: np.ndarr
         g = g * np.uint64(0xC2B2AE3D27D4EB4F) + h[j:n - 4 + j]
     place = np.arange(n) - first[text]
     at = np.flatnonzero(place < starts[text])
-    value, mine = TA.mix(g[at]), text[at]
-    # rightmost least value of each ANCHOR_SPAN starts in a row; a text with fewer starts is one such row
-    run = np.concatenate([[True], mine[1:] != mine[:-1]])
-    lo = np.flatnonzero(run)
+    mine = text[at]
+    # rightmost least value (by its first bits) of each ANCHOR_SPAN starts in a row; a text with fewer starts is one such row
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    key = (TA.mix(g[at]) & ~low) | (low - np.arange(len(at), dtype=np.uint64))
+    lo = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
     size = np.diff(np.append(lo, len(at)))
-    best = np.arange(len(at))  # index of the least of the last `reach` starts of the text
-    reach = 1
-    back = np.arange(len(at)) - np.repeat(lo, size)  # starts of the text before this one
-    while reach < ANCHOR_SPAN:
-        step = min(reach, ANCHOR_SPAN - reach)
-        other = best[np.arange(len(at)) - np.minimum(step, back)]
-        best = np.where(value[other] < value[best], other, best)
-        reach += step
-    full = back >= np.minimum(ANCHOR_SPAN, np.repeat(size, size)) - 1
-    return at[np.unique(best[full])]
+    best = np.minimum.reduceat(key, lo)[size < ANCHOR_SPAN]
+    if len(at) >= ANCHOR_SPAN:
+        least, reach = key, 1  # least of `reach` starts in a row
+        while reach < ANCHOR_SPAN:
+            step = min(reach, ANCHOR_SPAN - reach)
+            least = np.minimum(least[step:], least[:-step])
+            reach += step
+        best = np.concatenate([best, least[mine[ANCHOR_SPAN - 1:] == mine[:len(least)]]])
+    chosen = np.zeros(len(at), dtype=bool)
+    chosen[low - (best & low)] = True
+    return at[chosen]
 
 
 @dataclass
 class _Units:
     """Compared units of a chunk, ordered by text and place; ``first`` and ``count`` are in words."""
     words: TA.Words
+    hashes: np.ndarray  # of the words
     ids: np.ndarray
     kind: np.ndarray
     first: np.ndarray
@@ -154,85 +162,87 @@ class _Units:
     def end(self) -> np.ndarray:
         return self.words.end[self.first + self.count - 1]
 
+    def grams(self, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """N-grams of the units ``at``, with the index into ``at`` of their unit."""
+        n = self.count[at]
+        owner = np.repeat(np.arange(len(at)), n)
+        word = np.arange(len(owner)) + (self.first[at] - np.cumsum(n) + n)[owner]
+        return TA.ngrams(self.hashes[word], owner, k, len(at))
+
 
 def _units(c: TA.Chunk, k: int, min_words: int, long_words: int, windows: bool = False, with_grams: bool = True):
     """The units of a chunk, and the grams of its lines and pieces with the index of their unit (none if not wanted)."""
     w = TA.words_of(c)
     h = TA.word_hashes(c, w)
     none = np.zeros(0, np.int64)
-    if not len(h):
-        return _Units(w, none, none, none, none, none), np.zeros(0, np.uint64), none
-    line, piece = _cuts(c, w, h, long_words)
-    lfirst, lcount = _runs(line)
-    pfirst, pcount = _runs(piece)
-    whole = pcount == lcount[line[pfirst]]  # pieces that are their whole line
-    lkind = np.full(len(lfirst), LINE)
-    lkind[line[pfirst[whole]]] = LINE | PIECE
     parts = []
-    for number, first, count, kind, use in ((line, lfirst, lcount, lkind, lcount >= min_words),
-                                            (piece, pfirst, pcount, np.full(len(pfirst), PIECE), ~whole & (pcount >= min_words))):
-        if not use.any():
-            continue
-        ids = _sequence_ids(h, number, first, count)
-        grams, owner = TA.ngrams(h, number, k, len(first)) if with_grams else (np.zeros(0, np.uint64), none)
-        keep = use[owner]
-        parts.append((ids[use], kind[use], first[use], count[use], lfirst[line[first[use]]],
-                      grams[keep], (np.cumsum(use) - 1)[owner[keep]]))
-    at = _anchors(h, w.text, w.first, w.count) if windows else none
-    if len(at):
-        parts.append((_stretch_hash(_prefix_hash(h), at, WINDOW), np.full(len(at), WINDOWS), at,
-                      np.full(len(at), WINDOW), w.first[w.text[at]], np.zeros(0, np.uint64), none))
-    if not parts:
-        return _Units(w, none, none, none, none, none), np.zeros(0, np.uint64), none
-    base = np.cumsum([0] + [len(x[0]) for x in parts])
-    grams = np.concatenate([x[5] for x in parts])
-    owner = np.concatenate([x[6] + at for x, at in zip(parts, base)])
-    cols = [np.concatenate([x[i] for x in parts]) for i in range(5)]
-    return _Units(w, *cols), grams, owner
-
-
-def _band_rows(k, bands, rows, min_words, long_words):
+    if len(h):
+        line, piece = _cuts(c, w, h, long_words)
+        lfirst, lcount = _runs(line)
+        pfirst, pcount = _runs(piece)
+        whole = pcount == lcount[line[pfirst]]  # pieces that are their whole line
+        lkind = np.full(len(lfirst), LINE)
+        lkind[line[pfirst[whole]]] = LINE | PIECE
+        for number, first, count, kind, use in (
+                (line, lfirst, lcount, lkind, lcount >= min_words),
+                (piece, pfirst, pcount, np.full(len(pfirst), PIECE), ~whole & (pcount >= min_words))):
+            if use.any():
+                ids = _sequence_ids(h, number, first, count)
+                parts.append((ids[use], kind[use], first[use], count[use], lfirst[line[first[use]]]))
+        at = _anchors(h, w.text, w.first, w.count) if windows else none
+        if len(at):
+            parts.append((_stretch_hash(_prefix_hash(h), at, WINDOW), np.full(len(at), WINDOWS), at,
+                          np.full(len(at), WINDOW), w.first[w.text[at]]))
+    u = _Units(w, h, *([np.concatenate(x) for x in zip(*parts)] if parts else [none] * 5))
+    if not with_grams or not parts:
+        return u, np.zeros(0, np.uint64), none
+    return u, *u.grams(np.flatnonzero(u.kind != WINDOWS), k)  # lines and pieces come first
+
+
+def _keyed_rows(k, bands, rows, min_words, long_words, n_parts):
+    """Per part (the key's remainder by ``n_parts``) the band hashes of lines and pieces with their ids, and the ids
+    of all units (twice if they come up again within a chunk), as packed arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = ~np.arange(_REMEMBERED)  # by the last bits, the id this task sent last: copies need no second row (no id fits its slot yet)
+        held, load = [], 0
         for batch in batches:
-            for c in TA.text_chunks(batch.column("text")):
-                u, grams, owner = _units(c, k, min_words, long_words)
-                _, first = np.unique(u.ids, return_index=True)
+            for c in TA.text_chunks(batch.column("text"), CHUNK_BYTES):
+                u = _units(c, k, min_words, long_words, True, False)[0]
+                coarse = np.flatnonzero(u.kind != WINDOWS)
+                _, first = np.unique(u.ids[coarse], return_index=True)
+                first = np.sort(coarse[first])
                 first = first[sent[u.ids[first] & (_REMEMBERED - 1)] != u.ids[first]]
                 sent[u.ids[first] & (_REMEMBERED - 1)] = u.ids[first]
-                new = np.zeros(len(u.ids), dtype=bool)
-                new[first] = True
-                keep = new[owner]
-                h, own = ND.band_hashes(grams[keep], owner[keep], bands, rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.ravel()), pa.array(np.repeat(u.ids[own], bands))], ["bucket", "id"])
-    return run
-
-
-def _unit_ids(k, min_words, long_words):
-    """(id, n) of all units, counted within a chunk."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for c in TA.text_chunks(batch.column("text")):
-                ids, n = np.unique(_units(c, k, min_words, long_words, True, False)[0].ids, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], ["id", "n"])
+                h, own = ND.band_hashes(*u.grams(first, k), bands, rows)
+                ids, n = np.unique(u.ids, return_counts=True)
+                held.append((h.ravel(), np.repeat(u.ids[first][own], bands), np.concatenate([ids, ids[n > 1]])))
+                load += len(held[-1][0]) + len(held[-1][2])
+                if load >= HELD_ROWS:
+                    yield ND.packed_keys(held, n_parts)
+                    held, load = [], 0
+        if held:
+            yield ND.packed_keys(held, n_parts)
     return run
 
 
-def _filter_bits(wanted: DataFrame) -> np.ndarray:
-    """Bitmap of the ids, about eight bits an id and at most 2**FILTER_BITS: at most 2**(FILTER_BITS - 6) words reach the driver."""
-    bits = min(FILTER_BITS, max(12, (8 * wanted.count()).bit_length()))
-    slot = F.col("id").bitwiseAND((1 << bits) - 1)
-    words = wanted.groupBy(F.shiftright(slot, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast((id & {(1 << bits) - 1}) & 63 AS int))")).alias("bits")).toArrow()
+def _filter_bits(wanted: DataFrame, probes: int = 1) -> np.ndarray:
+    """Bitmap of the ids, ``probes`` bits an id among 8 to 16 times as many, and at most 2**FILTER_BITS: at most
+    2**(FILTER_BITS - 6) words reach the driver."""
+    bits = min(FILTER_BITS, max(12, (8 * probes * wanted.count()).bit_length()))
+    slots = F.explode(F.array(*[F.shiftrightunsigned("id", 32 * i).bitwiseAND((1 << bits) - 1) for i in range(probes)]))
+    words = wanted.select(slots.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), dtype=np.int64)
     out[words.column("at").to_numpy()] = words.column("bits").to_numpy()
     return out.view(np.uint8)
 
 
-def _may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    slot = ids & (len(bits) * 8 - 1)
-    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+def _may_hold(bits: np.ndarray, ids: np.ndarray, probes: int = 1) -> np.ndarray:
+    held = np.ones(len(ids), dtype=bool)
+    for i in range(probes):
+        slot = ((ids.view(np.uint64) >> np.uint64(32 * i)) & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
+        held &= (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+    return held
 
 
 def _unit_rows(k, min_words, long_words, bitmap):
@@ -241,9 +251,9 @@ def _unit_rows(k, min_words, long_words, bitmap):
         for batch in batches:
             doc = batch.column("doc_id")
             key = batch.column("k2").to_numpy()
-            for c in TA.text_chunks(batch.column("text")):
+            for c in TA.text_chunks(batch.column("text"), CHUNK_BYTES):
                 u = _units(c, k, min_words, long_words, True, False)[0]
-                at = np.flatnonzero(_may_hold(bitmap.value, u.ids))
+                at = np.flatnonzero(_may_hold(bitmap.value, u.ids, 2))
                 text = u.text[at]
                 base = c.offsets[text]
                 yield pa.RecordBatch.from_arrays(
@@ -262,7 +272,7 @@ def _stretch_rows(texts, windows):
             batch = batch.filter(pa.array(_may_hold(texts.value, batch.column("dk").to_numpy())))
             doc = batch.column("doc_id")
             key = batch.column("k2").to_numpy()
-            for c in TA.text_chunks(batch.column("text")):
+            for c in TA.text_chunks(batch.column("text"), CHUNK_BYTES):
                 w = TA.words_of(c)
                 h = TA.word_hashes(c, w)
                 prefix = _prefix_hash(h)
@@ -286,66 +296,90 @@ def _gram_sets(k, min_words, long_words):
     """Gram sets of the wanted lines and pieces of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            want = batch.column("want")
-            for c in TA.text_chunks(batch.column("text")):
-                u, grams, owner = _units(c, k, min_words, long_words)
-                cut = np.searchsorted(owner, np.arange(len(u.ids) + 1))
-                wanted = {}
-                for t in range(c.n):
-                    for x in want[c.lo + t].as_py():
-                        wanted[(t, x["id"])] = x
-                out, sets = [], []
-                for at, (t, i) in enumerate(zip(u.text.tolist(), u.ids.tolist())):
-                    x = wanted.pop((t, i), None) if cut[at] < cut[at + 1] else None
-                    if x is not None:
-                        out.append((i, x["grp"], x["size"]))
-                        sets.append(np.unique(grams[cut[at]:cut[at + 1]]).tobytes())
-                cols = list(zip(*out)) if out else [(), (), ()]
+            for c in TA.text_chunks(batch.column("text"), CHUNK_BYTES):
+                u = _units(c, k, min_words, long_words, False, False)[0]
+                text, (ids, grp, size) = _flat_lists(batch.column("want").slice(c.lo, c.n), ("id", "grp", "size"))
+                key = TA.mix(ids.view(np.uint64) ^ TA.mix(text.astype(np.uint64)))
+                order = np.argsort(key)
+                text, ids, grp, size, key = text[order], ids[order], grp[order], size[order], key[order]
+                # the first unit of each wanted text and id
+                at = np.flatnonzero(np.isin(u.ids, ids))
+                place = np.searchsorted(key, TA.mix(u.ids[at].view(np.uint64) ^ TA.mix(u.text[at].astype(np.uint64))))
+                place = np.minimum(place, len(key) - 1)
+                hit = (ids[place] == u.ids[at]) & (text[place] == u.text[at])
+                place, first = np.unique(place[hit], return_index=True)
+                grams, owner = u.grams(at[hit][first], k)
+                order = np.lexsort((grams, owner))
+                grams, owner = grams[order], owner[order]
+                new = np.ones(len(grams), dtype=bool)
+                new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+                n = np.bincount(owner[new], minlength=len(place))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in cols] + [pa.array([1] * len(out), pa.int64()),
-                                                              pa.array(sets, pa.binary())],
+                    [pa.array(ids[place]), pa.array(grp[place]), pa.array(size[place]),
+                     pa.array(np.ones(len(place), np.int64)), TA.binary_array(grams[new], n)],
                     ["id", "grp", "size", "weight", "grams"])
     return run
 
 
+def _flat_lists(lists: pa.ListArray, names: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of a column of lists of structs of longs: the row and the fields of every element (a null list has none)."""
+    count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    flat = lists.flatten()
+    return np.repeat(np.arange(len(lists)), count), [pc.struct_field(flat, x).to_numpy(zero_copy_only=False) for x in names]
+
+
 def _cut_texts(min_words):
     """Cut the removed spans out of each text; ``drop`` lists (pos, end) in bytes, overlaps are merged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            drop = batch.column("drop")
-            for c in TA.text_chunks(batch.column("text")):
+            for c in TA.text_chunks(batch.column("text"), CHUNK_BYTES):
                 w = TA.words_of(c)
-                newline = np.concatenate([[0], np.cumsum(c.data[:c.size] == 0x0A)])
-                line = newline[w.start] + w.text  # ascending
+                newline = c.data[:c.size] == 0x0A
+                line = np.concatenate([[0], np.cumsum(newline)])[w.start] + w.text  # ascending
                 first = np.flatnonzero(np.diff(line, prepend=-1))
                 count = np.diff(first, append=len(line))
                 n_units = np.bincount(w.text[first[count >= min_words]], minlength=c.n)
-                spans, texts = [], []
-                for t in range(c.n):
-                    raw = c.data[int(c.offsets[t]):int(c.offsets[t + 1])].tobytes()
-                    cut = []
-                    for s, e in sorted((x["pos"], x["end"]) for x in (drop[c.lo + t].as_py() or ())):
-                        if cut and s < cut[-1][1]:
-                            cut[-1][1] = max(cut[-1][1], e)
-                        else:
-                            cut.append([s, e])
-                    kept, at = [], 0
-                    for s, e in cut:
-                        kept.append(raw[at:s])
-                        at = e + 1 if raw[e:e + 1] == b"\n" and raw[max(s - 1, 0):s] in (b"", b"\n") else e
-                    kept.append(raw[at:])
-                    spans.append([{"start": s, "end": e} for s, e in cut])
-                    texts.append(b"".join(kept).decode("utf-8", "replace"))
+                text, (pos, end) = _flat_lists(batch.column("drop").slice(c.lo, c.n), ("pos", "end"))
+                pos, end = pos + c.offsets[text], end + c.offsets[text]
+                order = np.lexsort((end, pos))
+                text, pos, end = text[order], pos[order], end[order]
+                reach = np.maximum.accumulate(end) if len(end) else end
+                new = np.ones(len(pos), dtype=bool)
+                new[1:] = pos[1:] >= reach[:-1]
+                head = np.flatnonzero(new)
+                text, pos, end = text[head], pos[head], reach[np.append(head[1:], len(reach)) - 1] if len(head) else end
+                # a span of whole lines goes with the newline after it
+                lo, hi = c.offsets[text], c.offsets[text + 1]
+                alone = (end < hi) & (c.data[end] == 0x0A) & ((pos == lo) | (c.data[np.maximum(pos - 1, 0)] == 0x0A))
+                edge = np.bincount(pos, minlength=c.size + 1) - np.bincount(end + alone, minlength=c.size + 1)
+                keep = np.cumsum(edge[:c.size]) == 0
+                kept = c.data[:c.size][keep]
+                size = np.concatenate([[0], np.cumsum(keep)])[c.offsets]
+                n_spans = np.bincount(text, minlength=c.n)
+                spans = pa.StructArray.from_arrays([pa.array(pos - lo), pa.array(end - lo)], ["start", "end"])
                 part = batch.slice(c.lo, c.n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n_units.astype(np.int64)), part.column("n_shared"),
-                     pa.array([len(x) for x in spans], pa.int64()),
-                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                     pa.array(texts, pa.string())],
+                     pa.array(n_spans.astype(np.int64)),
+                     pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n_spans)]).astype(np.int32), spans),
+                     _strings(kept, size)],
                     ["doc_id", "n_paragraphs", "n_shared", "n_removed", "spans", "kept_text"])
     return run
 
 
+def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Texts of UTF-8 bytes; bytes that are none become U+FFFD."""
+    raw = data.tobytes()
+    first = data[offsets[:-1][offsets[:-1] < offsets[1:]]]
+    try:
+        if (first & 0xC0 == 0x80).any():  # no text may begin inside a character
+            raise UnicodeError
+        raw.decode()
+    except UnicodeError:
+        return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])], pa.string())
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw))
+
+
 def _has_repeated_rows(d: DataFrame) -> bool:
     return not d.groupBy("doc_id", "k2").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
 
@@ -396,16 +430,17 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
     ranges of the UTF-8 text) and kept_text."""
     bands, rows = ND.choose_bands(threshold, target_recall)
     d = docs.select("doc_id", F.xxhash64("text").alias("k2"), "text").where("text is not null")
-    groups = ND.linked_groups(
-        spark, d.select("text").mapInArrow(_band_rows(k, bands, rows, min_words, long_words), "bucket long, id long"))
-    often = d.select("text").mapInArrow(_unit_ids(k, min_words, long_words), "id long, n long").groupBy("id").agg(
-        F.sum("n").alias("n")).where("n > 1").select("id")
-    wanted = saved(spark, often.unionByName(groups.select("id")).distinct(), "wanted")
-    bitmap = spark.sparkContext.broadcast(_filter_bits(wanted))
+    n_parts = ND.key_parts(spark)
+    groups, often = ND.linked_groups(spark, d.select("text").mapInArrow(
+        _keyed_rows(k, bands, rows, min_words, long_words, n_parts), ND.PACKED_KEYS))
+    wanted = saved(spark, often.select("id").unionByName(groups.select("id")).distinct(), "wanted")
+    discard(spark, often)
+    repeated_rows = _has_repeated_rows(d)
+    bitmap = spark.sparkContext.broadcast(_filter_bits(wanted, 2))
     units = d.mapInArrow(
         _unit_rows(k, min_words, long_words, bitmap),
         "id long, kind int, doc_id long, k2 long, pos long, end long, line long")
-    if _has_repeated_rows(d):  # rows equal in doc_id and text give the same units: all count as one document
+    if repeated_rows:  # rows equal in doc_id and text give the same units: all count as one document
         units = units.dropDuplicates(["doc_id", "k2", "pos", "end", "kind"])
     units = saved(spark, units, "units")
     coarse_units = units.where(F.col("kind") != WINDOWS)
@@ -415,12 +450,11 @@ def dedup_paragraphs(spark: SparkSession, docs: DataFrame, threshold: float = ND
     wants = first.where("grp is not null").groupBy("at.doc_id", "at.k2").agg(
         F.collect_list(F.struct("id", "grp", "size")).alias("want"))
     wants = wants.select(F.col("doc_id").alias("wdoc"), F.col("k2").alias("wk2"), "want")
-    items = (
-        d.join(wants, F.col("doc_id").eqNullSafe(F.col("wdoc")) & (F.col("k2") == F.col("wk2")))
-        .dropDuplicates(["wdoc", "wk2"]).select("text", "want")
-        .mapInArrow(_gram_sets(k, min_words, long_words),
-                    "id long, grp long, size long, weight long, grams binary")
-    )
+    holders = d.join(wants, F.col("doc_id").eqNullSafe(F.col("wdoc")) & (F.col("k2") == F.col("wk2")))
+    if repeated_rows:
+        holders = holders.dropDuplicates(["wdoc", "wk2"])
+    items = holders.select("text", "want").mapInArrow(
+        _gram_sets(k, min_words, long_words), "id long, grp long, size long, weight long, grams binary")
     classes = ND.verified_classes(spark, items, threshold)
     member = saved(spark, first.join(classes.select("id", "comp"), "id", "left").where("n > 1 or comp is not null")
                    .select(F.col("id").alias("rid"), F.coalesce("comp", "id").alias("comp")), "members")

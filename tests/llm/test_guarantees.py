@@ -386,3 +386,58 @@ def test_passes_without_grams_see_the_same_units():
     assert len(full.ids) and (full.ids == bare.ids).all() and (full.first == bare.first).all()
     assert (full.kind == bare.kind).all() and (full.count == bare.count).all() and (full.line == bare.line).all()
     assert not len(PD._units(c, 5, 20, 60, True, False)[1])
+
+
+def test_packed_keys_link_buckets_and_name_repeated_units():
+    rng = np.random.default_rng(3)
+    held = [(rng.integers(-40, 40, 60), rng.integers(0, 9, 60), rng.integers(-200, 200, 50)) for _ in range(4)]
+    rows = [r for some in (held[:1], held[1:]) for r in ND.packed_keys(some, 7).to_pylist()]
+    rows.sort(key=lambda r: r["part"])
+    batches = [pa.RecordBatch.from_pylist(rows[a:a + 3], schema=pa.schema(
+        [("part", pa.int64()), *[(x, pa.binary()) for x in ("buckets", "ids", "units")]])) for a in range(0, len(rows), 3)]
+    got = [x for b in ND._part_links(iter(batches)) for x in zip(*(c.to_pylist() for c in b.columns))]
+    buckets, ids, units = (np.concatenate(x).tolist() for x in zip(*held))
+    own = [a for a, b in got if a == b]
+    assert sorted(own) == sorted(u for u in set(units) if units.count(u) > 1)
+    items = defaultdict(set)
+    for b, i in zip(buckets, ids):
+        items[b].add(i)
+    links = [set(x) for x in got if x[0] != x[1]]
+    for there in items.values():  # all items of a bucket hang together
+        reached, found = {min(there)}, True
+        while found:
+            found = [x for x in links if x & reached and not x <= reached]
+            reached |= set().union(*found)
+        assert there <= reached
+
+
+def test_texts_are_cut_as_span_by_span():
+    rng = random.Random(5)
+    texts, drops = [None, "", "a"], [None, [], None]
+    for _ in range(200):
+        words = [rng.choice(["é", "word", "x"]) + rng.choice([" ", "\n", "\n\n"]) for _ in range(rng.randrange(1, 40))]
+        raw = "".join(words).encode()
+        spans = [m.span() for m in re.finditer(rb"[^ \n]+(?:[ \n]+[^ \n]+){0,5}", raw)]
+        spans += [m.span() for m in re.finditer(rb"[^ \n]+", raw)]
+        texts.append(raw.decode())
+        drops.append([{"pos": a, "end": b} for a, b in rng.sample(spans, rng.randrange(len(spans) + 1) // 2)])
+    want = []
+    for text, drop in zip(texts, drops):
+        raw, cut = (text or "").encode(), []
+        for s, e in sorted((x["pos"], x["end"]) for x in drop or ()):
+            if cut and s < cut[-1][1]:
+                cut[-1][1] = max(cut[-1][1], e)
+            else:
+                cut.append([s, e])
+        kept, at = b"", 0
+        for s, e in cut:
+            kept += raw[at:s]
+            at = e + 1 if raw[e:e + 1] == b"\n" and raw[max(s - 1, 0):s] in (b"", b"\n") else e
+        want.append((len(cut), [{"start": s, "end": e} for s, e in cut], (kept + raw[at:]).decode()))
+    batch = pa.RecordBatch.from_pylist(
+        [{"doc_id": i, "text": t, "drop": d, "n_shared": 0} for i, (t, d) in enumerate(zip(texts, drops))], schema=pa.schema(
+            [("doc_id", pa.int64()), ("text", pa.string()), ("n_shared", pa.int64()),
+             ("drop", pa.list_(pa.struct([("pos", pa.int64()), ("end", pa.int64())])))]))
+    got = [r for part in (batch.slice(0, 50), batch.slice(50)) for b in PD._cut_texts(20)(iter([part])) for r in b.to_pylist()]
+    assert [(r["n_removed"], r["spans"], r["kept_text"]) for r in got] == want
+    assert PD._strings(np.frombuffer(b"ab\xc3\xa9\xff", np.uint8), np.array([0, 2, 3, 5])).to_pylist() == ["ab", "\ufffd", "\ufffd\ufffd"]
